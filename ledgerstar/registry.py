@@ -27,3 +27,10 @@ def _star_query(fn):
 for _name, _fn in analytics.QUERIES.items():
     QUERIES[_name] = _star_query(_fn)
     ORACLE_SQL[_name] = oracle.QUERY_SQL[_name]
+
+from .plans.stages import STAGE_QUERIES  # noqa: E402
+
+for _name, _fn in STAGE_QUERIES.items():
+    QUERIES[_name] = _fn
+    if _name in oracle.STAGE_SQL:
+        ORACLE_SQL[_name] = oracle.STAGE_SQL[_name]
