@@ -18,9 +18,10 @@ def hex_bucket(col: Column | str, start: int, n: int, width: int = 4) -> Column:
 
 def bucket_pick(col: Column | str, start: int, values: Sequence[str]) -> Column:
     """Pick ``values[hex_bucket]``; a NULL id gives the first value."""
+    c = F.col(col) if isinstance(col, str) else col
     arr = F.array(*[F.lit(v) for v in values])
-    picked = F.element_at(arr, hex_bucket(col, start, len(values)) + 1)
-    return F.coalesce(picked, F.lit(values[0]))
+    picked = F.element_at(arr, hex_bucket(c, start, len(values)) + 1)
+    return F.when(c.isNull(), F.lit(values[0])).otherwise(picked)
 
 
 def region_of(col: Column | str) -> Column:

@@ -89,6 +89,8 @@ def global_rank(df: DataFrame, key: list[str], descending: bool = False,
     order = [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first())
              for c in key] + [F.col(c).asc() for c in tie_breaker]
     rn = global_row_number(df, order, "_rn", num_partitions)
-    first = rn.groupBy(*key).agg(F.min("_rn").alias(name))
-    return rn.join(first, [rn[c].eqNullSafe(first[c]) for c in key], "inner") \
-        .select(*[rn[c] for c in df.columns], first[name].cast("long").alias(name))
+    first = rn.groupBy(*key).agg(F.min("_rn").alias(name)).select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], name)
+    cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
+    return rn.alias("_l").join(first, cond, "inner") \
+        .select(*[F.col(c) for c in df.columns], F.col(name).cast("long").alias(name))
