@@ -635,3 +635,119 @@ masked AS (SELECT {_mask('id')} AS id FROM ids)
     ("collisions", "(SELECT COUNT(DISTINCT id) FROM ids) - (SELECT COUNT(DISTINCT id) FROM masked)"),
     ("bad_format", "SELECT COUNT(*) FROM masked WHERE NOT regexp_full_match(id, '[0-9a-f]{32}')"),
 ]))
+
+
+# ---------------------------------------------------------------------------
+# Five-batch load scenario (closed-form set logic per batch)
+# ---------------------------------------------------------------------------
+def _hx(col: str) -> str:
+    return f"(('0x' || substr({col}, 9, 2))::INTEGER)"
+
+
+_SCEN = f""",
+early_ids AS (
+    SELECT orig_account_id AS account_id FROM txn WHERE calendar_date <= DATE '2024-01-15'
+    UNION
+    SELECT dest_id_masked FROM txn WHERE calendar_date <= DATE '2024-01-15' AND NOT dest_is_merchant
+),
+a1 AS (SELECT * FROM dim_account WHERE account_id IN (SELECT account_id FROM early_ids)),
+a2 AS (
+    SELECT account_id,
+        CASE WHEN {_hx('account_id')} % 11 = 0 THEN NULL
+             WHEN {_hx('account_id')} % 5 = 0 THEN 'Prairies' ELSE region END AS region,
+        CASE WHEN {_hx('account_id')} % 7 = 0 THEN 'DORMANT' ELSE account_status END AS account_status
+    FROM dim_account
+),
+changed AS (
+    SELECT a1.account_id FROM a1 JOIN a2 ON a1.account_id = a2.account_id
+    WHERE a1.region IS DISTINCT FROM a2.region OR a1.account_status IS DISTINCT FROM a2.account_status
+),
+batch_fact AS (
+    SELECT 1 AS batch, * FROM fact WHERE partition_date <= DATE '2024-01-15'
+    UNION ALL SELECT 2, * FROM fact
+    UNION ALL SELECT 3, * FROM fact
+    UNION ALL SELECT 4, * FROM fact WHERE partition_date = DATE '2024-01-10'
+    UNION ALL SELECT 5, * FROM fact WHERE partition_date = DATE '2024-01-01'
+),
+batch_flags AS (
+    SELECT batch, partition_date,
+        batch = 5 AND {_hx('orig_account_id')} % 17 = 0 AS bad_type,
+        batch = 5 AND {_hx('orig_account_id')} % 13 = 0 AS bad_acct
+    FROM batch_fact
+)"""
+
+STAGE_SQL["load_insert_if_new"] = with_star(_SCEN + """
+SELECT CAST(b AS BIGINT) AS batch, CAST(n AS BIGINT) AS inserted FROM (VALUES
+    (1, (SELECT COUNT(DISTINCT date_key) FROM txn WHERE calendar_date <= DATE '2024-01-15')),
+    (2, (SELECT COUNT(DISTINCT date_key) FROM txn WHERE calendar_date > DATE '2024-01-15')),
+    (3, 0), (4, 0), (5, 0)) AS t(b, n)""")
+
+STAGE_SQL["load_type1_upsert"] = with_star(f"""
+SELECT merchant_id, merchant_category,
+    CASE WHEN {_hx('merchant_id')} % 11 = 0 THEN NULL
+         WHEN {_hx('merchant_id')} % 5 = 0 THEN 'Prairies' ELSE region END AS region
+FROM dim_merchant""")
+
+STAGE_SQL["scd2_history"] = with_star(_SCEN + """
+SELECT account_id, region, account_status, TIMESTAMP '2024-02-01 00:00:00' AS effective_start,
+    CASE WHEN account_id IN (SELECT account_id FROM changed) THEN TIMESTAMP '2024-03-01 00:00:00' END AS effective_end,
+    account_id NOT IN (SELECT account_id FROM changed) AS is_current
+FROM a1
+UNION ALL
+SELECT account_id, region, account_status, TIMESTAMP '2024-03-01 00:00:00', CAST(NULL AS TIMESTAMP), TRUE
+FROM a2
+WHERE account_id NOT IN (SELECT account_id FROM a1) OR account_id IN (SELECT account_id FROM changed)""")
+
+STAGE_SQL["scd2_current"] = with_star(_SCEN + """
+SELECT account_id, region, account_status,
+    CASE WHEN account_id IN (SELECT account_id FROM a1) AND account_id NOT IN (SELECT account_id FROM changed)
+         THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-03-01 00:00:00' END AS effective_start
+FROM a2""")
+
+STAGE_SQL["scd2_changes"] = with_star(_SCEN + """
+SELECT CAST(b AS BIGINT) AS batch, CAST(c AS BIGINT) AS closed_and_reopened, CAST(n AS BIGINT) AS inserted_new
+FROM (VALUES
+    (1, 0, (SELECT COUNT(*) FROM a1)),
+    (2, (SELECT COUNT(*) FROM changed), (SELECT COUNT(*) FROM a2) - (SELECT COUNT(*) FROM a1)),
+    (3, 0, 0), (4, 0, 0), (5, 0, 0)) AS t(b, c, n)""")
+
+STAGE_SQL["fact_resolved"] = with_star("""
+SELECT orig_account_id, dest_account_id, dest_merchant_id, date_key, partition_date, type_code,
+    CAST(amount AS DOUBLE) AS amount, CAST(balance_before_orig AS DOUBLE) AS balance_before_orig,
+    CAST(balance_after_orig AS DOUBLE) AS balance_after_orig,
+    CAST(balance_before_dest AS DOUBLE) AS balance_before_dest,
+    CAST(balance_after_dest AS DOUBLE) AS balance_after_dest,
+    is_fraud, is_flagged_by_system, source_step
+FROM fact WHERE partition_date <= DATE '2024-01-15'""")
+
+STAGE_SQL["fact_replace_partitions"] = with_star(f"""
+SELECT partition_date, COUNT(*) AS rows, CAST(SUM(amount) AS DOUBLE) AS total_amount,
+    CAST(1 AS BIGINT) AS loads, MAX(loaded_at) AS loaded_at
+FROM (
+    SELECT partition_date, amount * 2 AS amount, TIMESTAMP '2024-05-01 00:00:00' AS loaded_at
+    FROM fact WHERE partition_date = DATE '2024-01-10'
+    UNION ALL
+    SELECT partition_date, amount, TIMESTAMP '2024-06-01 00:00:00'
+    FROM fact WHERE partition_date = DATE '2024-01-01'
+      AND NOT ({_hx('orig_account_id')} % 17 = 0 OR {_hx('orig_account_id')} % 13 = 0)
+    UNION ALL
+    SELECT partition_date, amount, TIMESTAMP '2024-04-01 00:00:00'
+    FROM fact WHERE partition_date NOT IN (DATE '2024-01-01', DATE '2024-01-10')
+)
+GROUP BY partition_date""")
+
+STAGE_SQL["load_audit"] = with_star(_SCEN + """,
+prior AS (
+    SELECT 1 AS batch, 0 AS deleted
+    UNION ALL SELECT 2, (SELECT COUNT(*) FROM fact WHERE partition_date <= DATE '2024-01-15')
+    UNION ALL SELECT 3, (SELECT COUNT(*) FROM fact)
+    UNION ALL SELECT 4, (SELECT COUNT(*) FROM fact WHERE partition_date = DATE '2024-01-10')
+    UNION ALL SELECT 5, (SELECT COUNT(*) FROM fact WHERE partition_date = DATE '2024-01-01')
+)
+SELECT CAST(f.batch AS BIGINT) AS batch, COUNT(*) AS staged,
+    COUNT(*) FILTER (WHERE NOT bad_type AND NOT bad_acct) AS inserted,
+    CAST(MAX(p.deleted) AS BIGINT) AS deleted,
+    COUNT(*) FILTER (WHERE bad_type) AS unresolved_type,
+    COUNT(*) FILTER (WHERE NOT bad_type AND bad_acct) AS unresolved_account
+FROM batch_flags f JOIN prior p ON p.batch = f.batch
+GROUP BY f.batch""")
