@@ -68,9 +68,9 @@ def clean_report(df: DataFrame, strict_types: bool = False) -> DataFrame:
     aggs.append(F.count_if(earlier & (F.col("nameOrig") != F.trim(F.col("nameOrig"))))
                 .cast("long").alias("padded_orig_ids"))
     per_rule = df.agg(*aggs)
-    out = _filtered(df, strict_types).dropDuplicates(RAW_COLUMNS).agg(
-        F.count(F.lit(1)).alias("rows_out"))
-    return (per_rule.crossJoin(out)  # 1 row x 1 row
+    rows_out = _filtered(df, strict_types).dropDuplicates(RAW_COLUMNS).agg(
+        F.count(F.lit(1))).scalar()
+    return (per_rule.withColumn("rows_out", rows_out)
             .withColumn("dropped_duplicates", F.col("_passed") - F.col("rows_out"))
             .select("rows_in", *[f"dropped_{n}" for n, _ in rules],
                     "dropped_duplicates", "padded_orig_ids", "rows_out"))

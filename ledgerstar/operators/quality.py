@@ -136,11 +136,10 @@ def masked_id_checks(raw_ids: DataFrame, masked: DataFrame) -> DataFrame:
     the same rows; distinct counts are compared (a collision lowers the
     masked count).
     """
-    r = raw_ids.agg(F.count_distinct(F.col("id")).alias("raw_distinct"))
+    raw_distinct = raw_ids.agg(F.count_distinct(F.col("id"))).scalar()
     m = masked.agg(F.count_distinct(F.col("id")).alias("masked_distinct"),
                    F.count_if(~is_masked_id(F.col("id"))).alias("bad_format"))
-    row = r.crossJoin(m).select((F.col("raw_distinct") - F.col("masked_distinct")).alias("collisions"),
-                                "bad_format")
+    row = m.select((raw_distinct - F.col("masked_distinct")).alias("collisions"), "bad_format")
     return _melt(row, ["collisions", "bad_format"])
 
 

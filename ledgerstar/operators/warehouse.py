@@ -242,9 +242,8 @@ def load_audit(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFra
     if existing_fact is None:
         return audit.withColumn("deleted", F.lit(0).cast("long"))
     days = staging.select("partition_date").distinct()
-    deleted = existing_fact.join(days, "partition_date", "left_semi").agg(
-        F.count(F.lit(1)).alias("deleted"))
-    return audit.crossJoin(deleted)  # 1 row x 1 row
+    deleted = existing_fact.join(days, "partition_date", "left_semi").agg(F.count(F.lit(1)))
+    return audit.withColumn("deleted", deleted.scalar())
 
 
 # ---------------------------------------------------------------------------

@@ -751,3 +751,120 @@ SELECT CAST(f.batch AS BIGINT) AS batch, COUNT(*) AS staged,
     COUNT(*) FILTER (WHERE NOT bad_type AND bad_acct) AS unresolved_account
 FROM batch_flags f JOIN prior p ON p.batch = f.batch
 GROUP BY f.batch""")
+
+
+# ---------------------------------------------------------------------------
+# Distributed ranking keys and the extra reports
+# ---------------------------------------------------------------------------
+_ACCT_VALUE = f""",
+acct_value AS (
+    SELECT orig_account_id AS account_id, SUM(amount) AS value, COUNT(*) AS txns
+    FROM fact GROUP BY orig_account_id
+)"""
+
+STAGE_SQL["global_ntile"] = with_star(_ACCT_VALUE + """
+SELECT account_id, CAST(round(value, 2) AS DOUBLE) AS total_value,
+       CAST(NTILE(10) OVER (ORDER BY value DESC, account_id) AS BIGINT) AS value_decile
+FROM acct_value""")
+
+STAGE_SQL["global_rank"] = with_star(_ACCT_VALUE + """
+SELECT account_id, txns, CAST(RANK() OVER (ORDER BY txns DESC) AS BIGINT) AS txn_rank
+FROM acct_value""")
+
+STAGE_SQL["x1_rolling_counts"] = with_star(""",
+hourly AS (
+    SELECT orig_account_id AS account_id, source_step AS step, COUNT(*) AS txns_in_hour
+    FROM fact GROUP BY orig_account_id, source_step
+)
+SELECT account_id, step, txns_in_hour,
+       CAST(SUM(txns_in_hour) OVER (PARTITION BY account_id ORDER BY step
+            RANGE BETWEEN 23 PRECEDING AND CURRENT ROW) AS BIGINT) AS txns_last_24h
+FROM hourly""")
+
+STAGE_SQL["x2_hourly_spikes"] = with_star(""",
+hourly AS (
+    SELECT f.date_key, d.step, COUNT(*) AS txns FROM fact f JOIN dim_date d ON d.date_key = f.date_key
+    GROUP BY f.date_key, d.step
+),
+s AS (
+    SELECT date_key, step, txns,
+        AVG(txns) OVER (ORDER BY step ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS m,
+        STDDEV_SAMP(txns) OVER (ORDER BY step ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS sd
+    FROM hourly
+)
+SELECT date_key, step, txns, round(m, 3) AS baseline_mean,
+       round((txns - m) / NULLIF(sd, 0.0), 3) AS z_score,
+       COALESCE((txns - m) / NULLIF(sd, 0.0) > 3.0, FALSE) AS is_spike
+FROM s""")
+
+STAGE_SQL["x2_off_hours_accounts"] = with_star(f""",
+g AS (
+    SELECT f.orig_account_id AS account_id,
+           COUNT(*) FILTER (WHERE d.hour_of_day BETWEEN 0 AND 5) AS off_hours_txns, COUNT(*) AS txns
+    FROM fact f JOIN dim_date d ON d.date_key = f.date_key GROUP BY f.orig_account_id
+)
+SELECT account_id, off_hours_txns, txns, {_pct('off_hours_txns', 'txns', 1)} AS off_hours_pct,
+       off_hours_txns > txns * 0.5 AS is_flagged
+FROM g WHERE txns >= 5""")
+
+STAGE_SQL["x3_cohorts"] = with_star(""",
+per_day AS (
+    SELECT f.orig_account_id AS account_id, d.calendar_date, COUNT(*) AS n
+    FROM fact f JOIN dim_date d ON d.date_key = f.date_key GROUP BY 1, 2
+),
+firsts AS (SELECT account_id, MIN(calendar_date) AS first_day FROM per_day GROUP BY 1)
+SELECT CAST(date_trunc('week', first_day) AS DATE) AS cohort_week,
+       CAST(date_diff('day', CAST(date_trunc('week', first_day) AS DATE),
+                      CAST(date_trunc('week', calendar_date) AS DATE)) / 7 AS BIGINT) AS weeks_since_first,
+       COUNT(DISTINCT p.account_id) AS active_accounts, CAST(SUM(n) AS BIGINT) AS txns
+FROM per_day p JOIN firsts USING (account_id)
+GROUP BY 1, 2""")
+
+STAGE_SQL["x4_counterparties"] = with_star("""
+SELECT dest_account_id AS counterparty_id, 'customer' AS kind, COUNT(*) AS txns,
+       CAST(round(SUM(amount), 2) AS DOUBLE) AS total_value
+FROM fact WHERE dest_account_id IS NOT NULL GROUP BY dest_account_id
+UNION ALL
+SELECT dest_merchant_id, 'merchant', COUNT(*), CAST(round(SUM(amount), 2) AS DOUBLE)
+FROM fact WHERE dest_merchant_id IS NOT NULL GROUP BY dest_merchant_id""")
+
+STAGE_SQL["x5_account_recent"] = with_star(f"""
+SELECT orig_account_id AS account_id, partition_date AS calendar_date, COUNT(*) AS txns,
+       CAST(round(SUM(amount), 2) AS DOUBLE) AS total_value
+FROM fact
+WHERE orig_account_id = {_mask("'C7'")}
+  AND partition_date > (SELECT MAX(calendar_date) FROM dim_date) - INTERVAL 7 DAY
+GROUP BY 1, 2""")
+
+STAGE_SQL["x6_zero_balance_profile"] = with_star(f""",
+g AS (
+    SELECT is_fraud, COUNT(*) AS txns,
+        COUNT(*) FILTER (WHERE COALESCE(balance_before_orig, 0) = 0 AND COALESCE(balance_after_orig, 0) = 0
+                           AND COALESCE(balance_before_dest, 0) = 0 AND COALESCE(balance_after_dest, 0) = 0)
+            AS all_balances_zero
+    FROM fact GROUP BY is_fraud
+)
+SELECT CASE WHEN is_fraud THEN 'Actual fraud' ELSE 'Legitimate' END AS actual, txns, all_balances_zero,
+       {_pct('all_balances_zero', 'txns', 2)} AS pct_all_zero
+FROM g""")
+
+STAGE_SQL["x7_rule_flag"] = with_star("""
+SELECT (type_code = 'TRANSFER' AND amount > 200.0) AS rule_flag, is_flagged_by_system, is_fraud,
+       COUNT(*) AS txns
+FROM fact GROUP BY 1, 2, 3""")
+
+STAGE_SQL["x8_dashboard_mart"] = with_star(f""",
+g AS (
+    SELECT f.partition_date AS calendar_date, a.region, f.type_code, COUNT(*) AS txns,
+           SUM(f.amount) AS value, COUNT(*) FILTER (WHERE f.is_fraud) AS fraud_txns
+    FROM fact f JOIN dim_account a ON a.account_id = f.orig_account_id
+    GROUP BY 1, 2, 3
+)
+SELECT calendar_date, region, type_code, txns, {_r2('value')} AS total_value,
+       {half_up_avg('value', 'txns')} AS avg_value, fraud_txns
+FROM g""")
+
+STAGE_SQL["x9_weekly_layout"] = with_star("""
+SELECT CAST(date_trunc('week', partition_date) AS DATE) AS partition_week, COUNT(*) AS rows,
+       COUNT(DISTINCT partition_date) AS days, CAST(round(SUM(amount), 2) AS DOUBLE) AS total_value
+FROM fact GROUP BY 1""")

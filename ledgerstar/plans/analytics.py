@@ -235,9 +235,9 @@ def _rfm_base(wh: Warehouse) -> DataFrame:
          .groupBy("account_id", "region")
          .agg(F.max("_last").alias("_last"), F.sum("frequency").alias("frequency"),
               F.sum("_value").alias("_value")))
-    return g.crossJoin(F.broadcast(as_of)).select(
+    return g.select(
         "account_id", "region",
-        F.datediff(F.col("_as_of"), F.col("_last")).cast("long").alias("recency_days"),
+        F.datediff(as_of.scalar(), F.col("_last")).cast("long").alias("recency_days"),
         F.col("frequency").cast("long").alias("frequency"),
         F.round(F.col("_value"), 2).alias("_monetary"))
 

@@ -41,3 +41,10 @@ for _name, _fn in SCENARIO_QUERIES.items():
     QUERIES[_name] = _fn
     if _name in oracle.STAGE_SQL:
         ORACLE_SQL[_name] = oracle.STAGE_SQL[_name]
+
+from .plans.extras import EXTRA_QUERIES  # noqa: E402
+
+for _name, _fn in EXTRA_QUERIES.items():
+    QUERIES[_name] = _fn
+    if _name in oracle.STAGE_SQL:
+        ORACLE_SQL[_name] = oracle.STAGE_SQL[_name]
