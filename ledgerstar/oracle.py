@@ -868,3 +868,5 @@ STAGE_SQL["x9_weekly_layout"] = with_star("""
 SELECT CAST(date_trunc('week', partition_date) AS DATE) AS partition_week, COUNT(*) AS rows,
        COUNT(DISTINCT partition_date) AS days, CAST(round(SUM(amount), 2) AS DOUBLE) AS total_value
 FROM fact GROUP BY 1""")
+
+STAGE_SQL["x10_incremental_type_mix"] = QUERY_SQL["q1_3_type_mix"]

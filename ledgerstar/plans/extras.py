@@ -227,3 +227,21 @@ def _driver(fn):
 
 
 EXTRA_QUERIES = {k: _driver(v) for k, v in EXTRA_FUNCS.items()}
+
+
+_INCREMENTAL: dict[tuple[str, str], str] = {}
+
+
+def x10_incremental_type_mix(spark, sf_dir):
+    """The type/channel mix (Q1.3) over a warehouse filled by the streaming
+    incremental job instead of the batch jobs: the results must agree."""
+    from ..streaming.incremental import run_events_incremental
+    from .analytics import q1_3_type_mix
+    from .jobs import read_warehouse
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _INCREMENTAL:
+        _INCREMENTAL[key] = run_events_incremental(spark, sf_dir)
+    return q1_3_type_mix(read_warehouse(spark, f"{_INCREMENTAL[key]}/warehouse"))
+
+
+EXTRA_QUERIES["x10_incremental_type_mix"] = x10_incremental_type_mix
