@@ -870,3 +870,8 @@ SELECT CAST(date_trunc('week', partition_date) AS DATE) AS partition_week, COUNT
 FROM fact GROUP BY 1""")
 
 STAGE_SQL["x10_incremental_type_mix"] = QUERY_SQL["q1_3_type_mix"]
+
+STAGE_SQL["csv_roundtrip"] = STAGE_SQL["clean_rows"]
+STAGE_SQL["fact_partition_write"] = with_star("""
+SELECT partition_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files, round(SUM(amount), 2) AS total_amount
+FROM fact_staging GROUP BY partition_date""")

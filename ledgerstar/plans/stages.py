@@ -179,3 +179,37 @@ STAGE_QUERIES = {
     "dq_not_null": dq_not_null,
     "dq_masked_ids": dq_masked_ids,
 }
+
+
+# -- sources and sinks ----------------------------------------------------------
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def csv_roundtrip(spark, sf_dir):
+    """Raw rows written as header CSV and read back with the explicit schema
+    (no inference), then cleaned: must equal the cleaned rows."""
+    from ..sources.raw import read_raw_csv, write_raw_csv
+    path = _scratch(spark, "raw-csv")
+    write_raw_csv(_raw(spark, sf_dir), path)
+    return clean(read_raw_csv(spark, path))
+
+
+def fact_partition_write(spark, sf_dir):
+    """Fact staging written one folder per day and read back with partition
+    discovery (``partition_date`` comes back typed as a date)."""
+    from ..sources.sinks import write_fact
+    path = _scratch(spark, "fact-days")
+    write_fact(fact_staging_q(spark, sf_dir), path, replace_days_only=False)
+    back = spark.read.parquet(path).withColumn("_file", F.input_file_name())
+    return back.groupBy("partition_date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("_file").cast("long").alias("files"),
+        F.round(F.sum("amount"), 2).alias("total_amount"))
+
+
+STAGE_QUERIES["csv_roundtrip"] = csv_roundtrip
+STAGE_QUERIES["fact_partition_write"] = fact_partition_write

@@ -19,7 +19,8 @@ def read_raw_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     rows is kept in ``_corrupt_record`` for the quality report.
     """
     schema = RAW_SCHEMA
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if keep_corrupt:
         schema = RAW_SCHEMA.add(CORRUPT_COLUMN, "string")
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
@@ -27,7 +28,10 @@ def read_raw_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    df.select(*RAW_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    """Header CSV; padding inside ids is kept (it is data, see the clean report)."""
+    (df.select(*RAW_COLUMNS).write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 # ---------------------------------------------------------------------------
