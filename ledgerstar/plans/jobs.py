@@ -3,53 +3,60 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import warehouse as W
 from ..operators.clean import clean
-from ..operators.dimensions import (build_dim_account, build_dim_date, build_dim_merchant,
-                                    build_fact_staging, dim_transaction_type)
+from ..operators.dimensions import (build_fact_staging, dim_account_from_fact,
+                                    dim_date_from_fact, dim_merchant_from_fact,
+                                    dim_transaction_type)
 from ..operators.enrich import enrich
 from ..sources import sinks
 from .star import Staged, Warehouse
 
 
+VALIDATED_MARKER = "_validated"
+
+
 def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
                   strict_types: bool = False) -> dict:
-    """Clean, enrich, build and write the four staging datasets.
-
-    The enriched frame feeds four builders and the validation, so it is
-    persisted once (memory and disk) and released at the end.
+    """Clean, enrich and write the fact staging, then build, validate and
+    write the dimensions from it.
+
+    One pass over the raw input produces the day-partitioned fact staging;
+    the dimensions are derived from that written table reading only the
+    columns they need, so nothing of the size of the input is cached. The
+    ``_validated`` marker is written last: a failed validation leaves a
+    staging folder the load refuses to read.
     """
+    spark = raw.sparkSession
+    o = out.rstrip("/")
     obs = Observation("clean")
     txn = enrich(clean(raw, strict_types=strict_types, observation=obs), salt)
-    txn = txn.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        staged = Staged(build_dim_account(txn), build_dim_merchant(txn), build_dim_date(txn),
-                        build_fact_staging(txn))
-        report = {}
-        if validate:
-            checks = Q.validate_staging(staged.fact, staged.dim_account)
-            Q.assert_ok(checks)
-            report["validation"] = {r["check"]: r["violations"] for r in checks.collect()}
-        o = out.rstrip("/")
-        sinks.write_dimension(staged.dim_date, f"{o}/dim_date")
-        sinks.write_dimension(staged.dim_merchant, f"{o}/dim_merchant", single_file=False)
-        sinks.write_dimension(staged.dim_account, f"{o}/dim_account", single_file=False)
-        # staging is a full snapshot of this batch: static overwrite
-        sinks.write_fact(staged.fact, f"{o}/fact_transactions", replace_days_only=False)
-        metrics = obs.get
-        report["rows_in"] = metrics.get("rows_in")
-        return report
-    finally:
-        txn.unpersist()
+    # staging holds exactly this batch: static overwrite of the folder
+    sinks.write_fact(build_fact_staging(txn), f"{o}/fact_transactions", replace_days_only=False)
+    report = {"rows_in": obs.get.get("rows_in")}
+
+    fact = spark.read.parquet(f"{o}/fact_transactions")
+    dim_account = dim_account_from_fact(fact)
+    if validate:
+        checks = Q.validate_staging(fact, dim_account)
+        Q.assert_ok(checks)
+        report["validation"] = {r["check"]: r["violations"] for r in checks.collect()}
+    sinks.write_dimension(dim_date_from_fact(fact), f"{o}/dim_date")
+    sinks.write_dimension(dim_merchant_from_fact(fact), f"{o}/dim_merchant", single_file=False)
+    sinks.write_dimension(dim_account, f"{o}/dim_account", single_file=False)
+    spark.createDataFrame([(str(report),)], "report string").coalesce(1) \
+        .write.mode("overwrite").text(f"{o}/{VALIDATED_MARKER}")
+    return report
 
 
 def read_staged(spark: SparkSession, path: str) -> Staged:
     p = path.rstrip("/")
+    if not sinks.path_exists(spark, f"{p}/{VALIDATED_MARKER}"):
+        raise FileNotFoundError(f"{p} is not a complete, validated staging folder")
     r = spark.read
     return Staged(r.parquet(f"{p}/dim_account"), r.parquet(f"{p}/dim_merchant"),
                   r.parquet(f"{p}/dim_date"), r.parquet(f"{p}/fact_transactions"))
