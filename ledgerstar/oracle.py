@@ -875,3 +875,7 @@ STAGE_SQL["csv_roundtrip"] = STAGE_SQL["clean_rows"]
 STAGE_SQL["fact_partition_write"] = with_star("""
 SELECT partition_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files, round(SUM(amount), 2) AS total_amount
 FROM fact_staging GROUP BY partition_date""")
+
+STAGE_SQL["rfm_scores_all"] = QUERY_SQL["q3_1_rfm"].replace(
+    "FROM scored ORDER BY scored.monetary DESC, account_id, region NULLS FIRST LIMIT 25", "FROM scored")
+assert STAGE_SQL["rfm_scores_all"] != QUERY_SQL["q3_1_rfm"]

@@ -243,19 +243,23 @@ def _rfm_base(wh: Warehouse) -> DataFrame:
 
 
 def q3_1_rfm(wh: Warehouse, k: int = 25) -> DataFrame:
+    """RFM scores (distributed NTILE over all accounts), top k by monetary."""
+    scored = q3_1_rfm_full(wh)
+    return scored.orderBy(F.col("monetary").desc(), F.col("account_id").asc(),
+                          F.col("region").asc_nulls_first()).limit(k) \
+        .orderBy(F.desc("monetary"), "account_id")
+
+
+def q3_1_rfm_full(wh: Warehouse) -> DataFrame:
+    """RFM scores of every account (three distributed NTILE passes)."""
     base = _rfm_base(wh)
     tie = [F.col("account_id").asc(), F.col("region").asc_nulls_first()]
     scored = global_ntile(base, [F.col("recency_days").desc()] + tie, 5, "r_score")
     scored = global_ntile(scored, [F.col("frequency").asc()] + tie, 5, "f_score")
     scored = global_ntile(scored, [F.col("_monetary").asc()] + tie, 5, "m_score")
-    top = scored.orderBy(F.col("_monetary").desc(), *tie).limit(k)
-    return top.select(
-        "account_id", "region", "recency_days", "frequency",
-        F.col("_monetary").cast("double").alias("monetary"),
-        F.col("r_score").cast("long").alias("r_score"),
-        F.col("f_score").cast("long").alias("f_score"),
-        F.col("m_score").cast("long").alias("m_score"),
-    ).orderBy(F.desc("monetary"), "account_id")
+    return scored.select("account_id", "region", "recency_days", "frequency",
+                         F.col("_monetary").cast("double").alias("monetary"),
+                         *[F.col(c).cast("long").alias(c) for c in ["r_score", "f_score", "m_score"]])
 
 
 def q3_2_deciles(wh: Warehouse) -> DataFrame:

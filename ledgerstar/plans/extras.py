@@ -203,8 +203,14 @@ def x9_weekly_layout(wh: Warehouse) -> DataFrame:
         round_double(F.sum("amount"), 2).alias("total_value"))
 
 
+def rfm_scores_all(wh: Warehouse) -> DataFrame:
+    from .analytics import q3_1_rfm_full
+    return q3_1_rfm_full(wh)
+
+
 EXTRA_FUNCS = {
     "global_ntile": global_ntile_q,
+    "rfm_scores_all": rfm_scores_all,
     "global_rank": global_rank_q,
     "x1_rolling_counts": x1_rolling_counts,
     "x2_hourly_spikes": x2_hourly_spikes,
