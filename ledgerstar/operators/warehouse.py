@@ -241,7 +241,8 @@ def load_audit(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFra
         F.count_if(~no_type & no_acct).cast("long").alias("unresolved_account"))
     if existing_fact is None:
         return audit.withColumn("deleted", F.lit(0).cast("long"))
-    days = staging.select("partition_date").distinct()
+    # distinct days of one batch: bounded by the step range (31 days)
+    days = F.broadcast(staging.select("partition_date").distinct())
     deleted = existing_fact.join(days, "partition_date", "left_semi").agg(F.count(F.lit(1)))
     return audit.withColumn("deleted", deleted.scalar())
 
@@ -254,6 +255,8 @@ def replace_partitions(existing: DataFrame | None, incoming: DataFrame,
     """Every day present in the batch replaces the stored day; other days stay."""
     if existing is None:
         return incoming
-    days = incoming.select(part_col).distinct()
+    # the batch's days (bounded by the calendar, at most 31 here) are broadcast,
+    # so the stored fact is filtered in place instead of shuffled by day
+    days = F.broadcast(incoming.select(part_col).distinct())
     kept = existing.join(days, part_col, "left_anti")
     return kept.unionByName(incoming)
