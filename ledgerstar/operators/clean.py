@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.typecodes import normalise_type
 from ..schemas import MAX_STEP, MIN_STEP, RAW_COLUMNS, VALID_TYPE_CODES
 
+CORRUPT_COLUMN = "_corrupt_record"
+
 
 def _not_blank(c: str) -> Column:
     return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
@@ -65,6 +67,10 @@ def clean_report(df: DataFrame, strict_types: bool = False) -> DataFrame:
         aggs.append(F.count_if(earlier & fails).cast("long").alias(f"dropped_{name}"))
         earlier = earlier & F.coalesce(passes, F.lit(False))
     aggs.append(F.count_if(earlier).cast("long").alias("_passed"))
+    extra = []
+    if CORRUPT_COLUMN in df.columns:  # CSV lines that did not parse (PERMISSIVE)
+        aggs.append(F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).cast("long").alias("corrupt_rows"))
+        extra = ["corrupt_rows"]
     aggs.append(F.count_if(earlier & (F.col("nameOrig") != F.trim(F.col("nameOrig"))))
                 .cast("long").alias("padded_orig_ids"))
     per_rule = df.agg(*aggs)
@@ -73,4 +79,4 @@ def clean_report(df: DataFrame, strict_types: bool = False) -> DataFrame:
     return (per_rule.withColumn("rows_out", rows_out)
             .withColumn("dropped_duplicates", F.col("_passed") - F.col("rows_out"))
             .select("rows_in", *[f"dropped_{n}" for n, _ in rules],
-                    "dropped_duplicates", "padded_orig_ids", "rows_out"))
+                    "dropped_duplicates", "padded_orig_ids", *extra, "rows_out"))

@@ -80,6 +80,10 @@ def uniqueness_checks(tables: dict[str, DataFrame]) -> DataFrame:
         duplicate_keys(tables["dim_account"].filter(F.col("is_current")), ["account_id"],
                        "dim_account.current_per_account"),
         duplicate_keys(tables["dim_merchant"], ["merchant_id"], "dim_merchant.merchant_id"),
+        # deterministic hash surrogates: a collision would show here
+        duplicate_keys(tables["dim_account"], ["account_key"], "dim_account.account_key"),
+        duplicate_keys(tables["dim_merchant"], ["merchant_key"], "dim_merchant.merchant_key"),
+        duplicate_keys(tables["fact_transactions"], ["transaction_key"], "fact.transaction_key"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

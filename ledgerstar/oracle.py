@@ -596,6 +596,9 @@ STAGE_SQL["dq_uniqueness"] = with_star("\n" + _checks([
     ("dim_account.account_id_effective_start", _DUP.format(k="account_id", t="dim_account")),
     ("dim_account.current_per_account", _DUP.format(k="account_id", t="dim_account")),
     ("dim_merchant.merchant_id", _DUP.format(k="merchant_id", t="dim_merchant")),
+    ("dim_account.account_key", _DUP.format(k="account_id", t="dim_account")),
+    ("dim_merchant.merchant_key", _DUP.format(k="merchant_id", t="dim_merchant")),
+    ("fact.transaction_key", _DUP.format(k="fact", t="fact")),
 ]))
 
 _ANTI = ("SELECT COUNT(*) FROM fact f WHERE f.{fk} IS NOT NULL AND NOT EXISTS "

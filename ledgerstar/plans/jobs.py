@@ -13,7 +13,9 @@ from ..operators.dimensions import (build_fact_staging, dim_account_from_fact,
                                     dim_date_from_fact, dim_merchant_from_fact,
                                     dim_transaction_type)
 from ..operators.enrich import enrich
+from ..schemas import DIM_ACCOUNT_STAGING, DIM_DATE, DIM_MERCHANT_STAGING, FACT_STAGING
 from ..sources import sinks
+from ..sources.conform import conform
 from .star import Staged, Warehouse
 
 
@@ -58,8 +60,10 @@ def read_staged(spark: SparkSession, path: str) -> Staged:
     if not sinks.path_exists(spark, f"{p}/{VALIDATED_MARKER}"):
         raise FileNotFoundError(f"{p} is not a complete, validated staging folder")
     r = spark.read
-    return Staged(r.parquet(f"{p}/dim_account"), r.parquet(f"{p}/dim_merchant"),
-                  r.parquet(f"{p}/dim_date"), r.parquet(f"{p}/fact_transactions"))
+    return Staged(conform(r.parquet(f"{p}/dim_account"), DIM_ACCOUNT_STAGING),
+                  conform(r.parquet(f"{p}/dim_merchant"), DIM_MERCHANT_STAGING),
+                  conform(r.parquet(f"{p}/dim_date"), DIM_DATE),
+                  conform(r.parquet(f"{p}/fact_transactions"), FACT_STAGING))
 
 
 def read_warehouse_state(spark: SparkSession, root: str) -> Warehouse | None:

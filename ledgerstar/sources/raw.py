@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timekeys import timestamp_to_step
 from ..schemas import RAW_COLUMNS, RAW_SCHEMA
@@ -22,7 +23,8 @@ def read_raw_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) ->
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if keep_corrupt:
-        schema = RAW_SCHEMA.add(CORRUPT_COLUMN, "string")
+        # a new StructType: ``add`` would modify the shared contract in place
+        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     return reader.schema(schema).csv(path)
 

@@ -66,3 +66,20 @@ def _schema():
     from pyspark.sql import types as T
     # nullable everywhere: literal test rows carry the defects on purpose
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in RAW_SCHEMA.fields])
+
+
+def test_csv_source_counts_corrupt_rows(spark, tmp_dir):
+    from ledgerstar.schemas import RAW_SCHEMA as CONTRACT
+    from ledgerstar.sources.raw import read_raw_csv
+    header = ",".join(f.name for f in CONTRACT.fields)
+    with open(f"{tmp_dir}/part-0.csv", "w") as fh:
+        fh.write(header + "\n")
+        fh.write("1,PAYMENT,10.0,C1,1.0,0.0,M1,0.0,0.0,0,0\n")
+        fh.write("2,PAYMENT,not-a-number,C2,1.0,0.0,M1,0.0,0.0,0,0\n")
+        fh.write("3,cash-in,5.0,C3 ,1.0,0.0,C4,0.0,5.0,0,0\n")
+    df = read_raw_csv(spark, tmp_dir, keep_corrupt=True)
+    r = clean_report(df).first().asDict()
+    assert r["rows_in"] == 3 and r["corrupt_rows"] == 1
+    assert r["dropped_bad_amount"] == 1 and r["rows_out"] == 2 and r["padded_orig_ids"] == 1
+    assert len(CONTRACT.fields) == 11  # the shared contract is untouched
+    assert clean(df).columns == [f.name for f in CONTRACT.fields]
