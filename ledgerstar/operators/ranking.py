@@ -7,13 +7,17 @@ end in a unique tie-breaker), sorted inside each partition and numbered with
 in the lower 33 bits). The per-partition counts (one row per partition, a
 proven bound) are prefix-summed and broadcast back as offsets.
 
-The numbered frame is checkpointed to the shared checkpoint folder first:
-range boundaries come from sampling, so a recomputation in a later job could
-otherwise move rows between partitions and break the numbering.
+The numbered frame is written once (Parquet) into the shared checkpoint
+folder and read back before anything is counted: range boundaries come from
+sampling, so a recomputation in a later job could otherwise move rows
+between partitions and break the numbering. The write also cuts lineage, so
+a lost executor only costs re-reading that folder.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +40,14 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     ``order`` must be a total order (end it with a unique column), otherwise
     tied rows get an arbitrary (though consistent) numbering.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/row-number-{uuid.uuid4().hex}"
     n = _partitions(df, num_partitions)
-    numbered = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    numbered = numbered.checkpoint(eager=True)
+    (df.repartitionByRange(n, *order)
+       .sortWithinPartitions(*order)
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .write.parquet(path))
+    numbered = spark.read.parquet(path)
     numbered = numbered.select(
         "*", F.shiftright(F.col("_mid"), 33).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"))

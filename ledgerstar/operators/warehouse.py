@@ -203,10 +203,26 @@ def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: Data
             .join(merch, "dest_merchant_id", "left"))
 
 
+def audit_columns() -> list[Column]:
+    """Counts of one resolution pass (staged = inserted + both unresolved)."""
+    no_type = F.col("transaction_type_key").isNull()
+    no_acct = F.col("orig_account_key").isNull()
+    return [F.count(F.lit(1)).alias("staged"),
+            F.count_if(~no_type & ~no_acct).cast("long").alias("inserted"),
+            F.count_if(no_type).cast("long").alias("unresolved_type"),
+            F.count_if(~no_type & no_acct).cast("long").alias("unresolved_account")]
+
+
 def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
-                 dim_type: DataFrame, batch_ts: str) -> DataFrame:
-    """Inner semantics on type and originator, outer on the destinations."""
+                 dim_type: DataFrame, batch_ts: str, observation=None) -> DataFrame:
+    """Inner semantics on type and originator, outer on the destinations.
+
+    With an ``Observation`` the audit counts are collected by the same pass
+    that writes the facts, instead of a second run of the joins.
+    """
     flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type)
+    if observation is not None:
+        flagged = flagged.observe(observation, *audit_columns())
     ok = F.col("transaction_type_key").isNotNull() & F.col("orig_account_key").isNotNull()
     return flagged.filter(ok).select(
         F.xxhash64(*[F.col(c) for c in STAGING_ROW_COLUMNS]).alias("transaction_key"),
@@ -232,19 +248,20 @@ def load_audit(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFra
     staged = inserted + unresolved_type + unresolved_account.
     """
     flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type)
-    no_type = F.col("transaction_type_key").isNull()
-    no_acct = F.col("orig_account_key").isNull()
-    audit = flagged.agg(
-        F.count(F.lit(1)).alias("staged"),
-        F.count_if(~no_type & ~no_acct).cast("long").alias("inserted"),
-        F.count_if(no_type).cast("long").alias("unresolved_type"),
-        F.count_if(~no_type & no_acct).cast("long").alias("unresolved_account"))
+    audit = flagged.agg(*audit_columns())
     if existing_fact is None:
         return audit.withColumn("deleted", F.lit(0).cast("long"))
-    # distinct days of one batch: bounded by the step range (31 days)
+    return audit.withColumn("deleted", rows_on_batch_days(existing_fact, staging).scalar())
+
+
+def rows_on_batch_days(existing_fact: DataFrame, staging: DataFrame) -> DataFrame:
+    """One-row count of stored facts on the days of the batch (to be replaced).
+
+    The batch's distinct days (bounded by the step range, 31 days) are
+    broadcast; on a day-partitioned table this prunes the scan to those days.
+    """
     days = F.broadcast(staging.select("partition_date").distinct())
-    deleted = existing_fact.join(days, "partition_date", "left_semi").agg(F.count(F.lit(1)))
-    return audit.withColumn("deleted", deleted.scalar())
+    return existing_fact.join(days, "partition_date", "left_semi").agg(F.count(F.lit(1)))
 
 
 # ---------------------------------------------------------------------------

@@ -103,15 +103,27 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str) -> d
     sinks.write_version(merchants.state, f"{r}/dim_merchant")
 
     accounts = W.scd2_merge(state.dim_account if state else None, staged.dim_account, batch_ts)
-    acct_path = sinks.write_version(accounts.state, f"{r}/dim_account")
-    changes = W.change_report(accounts.changes).first().asDict()
+    # the change report is observed on the write: versions closed and opened
+    # at this batch_ts (batch timestamps increase from load to load)
+    acct_obs = Observation("accounts")
+    ts = F.lit(batch_ts).cast("timestamp_ntz")
+    acct_state = accounts.state.observe(
+        acct_obs, F.count_if(F.col("effective_end") == ts).cast("long").alias("closed"),
+        F.count_if(F.col("effective_start") == ts).cast("long").alias("opened"))
+    acct_path = sinks.write_version(acct_state, f"{r}/dim_account")
+    m = acct_obs.get
+    changes = {"closed_and_reopened": m["closed"], "inserted_new": m["opened"] - m["closed"]}
 
     acct = spark.read.parquet(acct_path)
     merch = sinks.read_latest(spark, f"{r}/dim_merchant")
-    old_fact = state.fact_transactions if state else None
-    audit = W.load_audit(staged.fact, acct, merch, types, old_fact).first().asDict()
-    facts = W.resolve_fact(staged.fact, acct, merch, types, batch_ts)
+    deleted = 0
+    if state is not None and state.fact_transactions is not None:
+        deleted = W.rows_on_batch_days(state.fact_transactions, staged.fact).first()[0]
+    fact_obs = Observation("fact")
+    facts = W.resolve_fact(staged.fact, acct, merch, types, batch_ts, observation=fact_obs)
     sinks.write_fact(facts, f"{r}/fact_transactions", replace_days_only=True)
+    audit = dict(fact_obs.get)
+    audit["deleted"] = deleted
     return {"dates_inserted": date_inserted, "accounts": changes, "fact": audit}
 
 
