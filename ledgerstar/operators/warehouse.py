@@ -29,10 +29,11 @@ def _refuse_duplicates(incoming: DataFrame, key: str, attrs: list[str]) -> DataF
     """
     agg = incoming.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), *[F.first(a).alias(a) for a in attrs])
-    guard = F.when(F.col("_n") > 1, F.raise_error(
-        F.concat(F.lit(f"duplicate {key} in batch: "), F.col(key).cast("string"))))
-    return agg.select(key, *[F.coalesce(guard.cast("string"), F.col(a)).alias(a)
-                             if i == 0 else F.col(a) for i, a in enumerate(attrs)])
+    # evaluated for every key; raises inside the task that sees a duplicate
+    fail = F.raise_error(F.concat(F.lit(f"duplicate {key} in batch: "), F.col(key).cast("string")))
+    first, rest = attrs[0], attrs[1:]
+    checked = F.when(F.col("_n") > 1, fail.cast(agg.schema[first].dataType)).otherwise(F.col(first))
+    return agg.select(key, checked.alias(first), *rest)
 
 
 # ---------------------------------------------------------------------------

@@ -125,7 +125,3 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str) -> d
     audit = dict(fact_obs.get)
     audit["deleted"] = deleted
     return {"dates_inserted": date_inserted, "accounts": changes, "fact": audit}
-
-
-def fact_days(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("partition_date").agg(F.count(F.lit(1)).alias("rows"))

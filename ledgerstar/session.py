@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,9 +49,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir() or d
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the checkpoint directory for derived tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}"
