@@ -26,13 +26,6 @@ from ..session import checkpoint_dir
 _LOW_BITS = (1 << 33) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    conf = df.sparkSession.conf.get("spark.sql.shuffle.partitions") or "200"
-    return int(conf)
-
-
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
     """Adds a 1-based ``name`` following ``order`` over the whole frame.
@@ -42,8 +35,12 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/row-number-{uuid.uuid4().hex}"
-    n = _partitions(df, num_partitions)
-    (df.repartitionByRange(n, *order)
+    # Without an explicit count, AQE may merge adjacent range partitions;
+    # merged partitions are still contiguous key ranges, so the numbering
+    # (partition index, then position) keeps following the order.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    (ranged
        .sortWithinPartitions(*order)
        .withColumn("_mid", F.monotonically_increasing_id())
        .write.parquet(path))

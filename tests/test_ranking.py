@@ -45,3 +45,12 @@ def test_row_number_plan_has_no_single_partition(spark):
         if "Exchange SinglePartition" in line:
             below = "\n".join(plan[i + 1:i + 4])
             assert "HashAggregate(keys=[_pid" in below, below
+
+
+def test_default_partitioning_lets_aqe_merge_ranges(spark):
+    df = _data(spark, 500, 11)
+    order = [F.col("v").asc(), F.col("id").desc()]
+    mine = global_ntile(df, order, 7, "b")
+    ref = df.withColumn("b", F.ntile(7).over(Window.orderBy(*order)))
+    assert sorted((r["id"], r["b"]) for r in mine.collect()) == \
+        sorted((r["id"], r["b"]) for r in ref.collect())
