@@ -8,9 +8,9 @@ Exact variant, two passes, no per-group sort of all values:
    all rows. Cumulative counts per group over buckets (a few thousand rows
    per group) tell, for each needed rank floor(h) and ceil(h) with
    h = 1 + (n - 1) p, which bucket holds it and at which offset.
-2. Only rows of those target buckets (at most groups x 2 x probabilities,
-   broadcast) are counted per distinct value; cumulative counts inside one
-   bucket locate the order statistic. Interpolation is exact decimal.
+2. Only rows of those target buckets (at most groups x 2 x probabilities)
+   are counted per distinct value; cumulative counts inside one bucket
+   locate the order statistic. Interpolation is exact decimal.
 
 Approximate variant: ``percentile_approx`` (fixed-size sketch per group).
 """
@@ -52,13 +52,15 @@ def exact_percentiles(df: DataFrame, group: str, value: str, probs: list[float],
                .select(group, "_b", F.col("t.name").alias("_name"), F.col("t.side").alias("_side"),
                        (F.col("t.rank") - (F.col("_cum") - F.col("_c"))).alias("_off"),
                        F.col("t.frac").alias("_frac")))
-    # pass 2: exact order statistics inside the target buckets only
-    # (targets: groups x probabilities x 2 rows at most)
-    in_targets = vals.join(F.broadcast(targets.select(group, "_b").distinct()), [group, "_b"], "left_semi")
+    # pass 2: exact order statistics inside the target buckets only.
+    # targets has groups x probabilities x 2 rows: tiny for a few groups, but
+    # it grows with the number of groups, so no broadcast hint here; AQE
+    # broadcasts it after measuring it (five types: a few dozen rows).
+    in_targets = vals.join(targets.select(group, "_b").distinct(), [group, "_b"], "left_semi")
     counts = in_targets.groupBy(group, "_b", value).agg(F.count(F.lit(1)).alias("_vc"))
     wb = Window.partitionBy(group, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     counts = counts.select(group, "_b", value, "_vc", F.sum("_vc").over(wb).alias("_vcum"))
-    hit = counts.join(F.broadcast(targets), [group, "_b"]).filter(
+    hit = counts.join(targets, [group, "_b"]).filter(
         (F.col("_vcum") - F.col("_vc") < F.col("_off")) & (F.col("_off") <= F.col("_vcum")))
     sides = hit.groupBy(group, "_name").agg(
         F.max(F.when(F.col("_side") == 0, F.col(value))).alias("_lo"),
