@@ -1,5 +1,5 @@
 """Registry of driver queries: name -> (spark, sf_dir) -> DataFrame, and
-the matching oracle SQL."""
+the matching oracle SQL (every key has one)."""
 
 from __future__ import annotations
 
@@ -9,42 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
 from .plans import analytics
+from .plans.extras import EXTRA_QUERIES
+from .plans.scenario import SCENARIO_QUERIES
+from .plans.stages import STAGE_QUERIES
 from .plans.star import star_from_testdata
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, QueryFn] = {}
-ORACLE_SQL: dict[str, str] = {}
 
-
-def _star_query(fn):
+def _on_star(fn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(star_from_testdata(spark, sf_dir))
     run.__name__ = fn.__name__
     return run
 
 
-for _name, _fn in analytics.QUERIES.items():
-    QUERIES[_name] = _star_query(_fn)
-    ORACLE_SQL[_name] = oracle.QUERY_SQL[_name]
-
-from .plans.stages import STAGE_QUERIES  # noqa: E402
-
-for _name, _fn in STAGE_QUERIES.items():
-    QUERIES[_name] = _fn
-    if _name in oracle.STAGE_SQL:
-        ORACLE_SQL[_name] = oracle.STAGE_SQL[_name]
-
-from .plans.scenario import SCENARIO_QUERIES  # noqa: E402
-
-for _name, _fn in SCENARIO_QUERIES.items():
-    QUERIES[_name] = _fn
-    if _name in oracle.STAGE_SQL:
-        ORACLE_SQL[_name] = oracle.STAGE_SQL[_name]
-
-from .plans.extras import EXTRA_QUERIES  # noqa: E402
+QUERIES: dict[str, QueryFn] = {name: _on_star(fn) for name, fn in analytics.QUERIES.items()}
+QUERIES.update(STAGE_QUERIES)
+QUERIES.update(SCENARIO_QUERIES)
+QUERIES.update(EXTRA_QUERIES)
 
-for _name, _fn in EXTRA_QUERIES.items():
-    QUERIES[_name] = _fn
-    if _name in oracle.STAGE_SQL:
-        ORACLE_SQL[_name] = oracle.STAGE_SQL[_name]
+ORACLE_SQL: dict[str, str] = {**oracle.QUERY_SQL, **oracle.STAGE_SQL}
+ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}

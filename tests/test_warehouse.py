@@ -51,6 +51,17 @@ def test_scd2_invariants_and_rerun(spark):
     assert st.select("account_key").distinct().count() == st.count()
 
 
+def test_closed_versions_never_change(spark):
+    _, _, r2 = _history(spark)
+    b3 = _acc(spark, [("a", "Quebec", "ACTIVE"), ("b", "Quebec", "DORMANT")])
+    r3 = W.scd2_merge(r2.state, b3, T3)
+    key = ["account_id", "region", "account_status", "effective_start", "effective_end"]
+    closed2 = {tuple(r) for r in r2.state.filter("NOT is_current").select(key).collect()}
+    closed3 = {tuple(r) for r in r3.state.filter("NOT is_current").select(key).collect()}
+    assert closed2 <= closed3 and len(closed3 - closed2) == 2
+    assert r3.state.filter("is_current").groupBy("account_id").count().filter("count > 1").count() == 0
+
+
 def test_scd2_absent_accounts_stay_current(spark):
     s1, _, _ = _history(spark)
     r = W.scd2_merge(s1, _acc(spark, [("a", "Ontario", "ACTIVE")]), T2)
