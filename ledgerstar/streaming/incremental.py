@@ -52,6 +52,8 @@ def start_incremental(spark: SparkSession, source_dir: str, root: str, salt: str
         reader = reader.option("header", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    # each drop may arrive as its own folder of part files
+    reader = reader.option("recursiveFileLookup", "true")
     stream = reader.load(source_dir)
     w = (stream.writeStream
          .foreachBatch(load_each_batch(root, salt, to_raw or (lambda df: df)))
