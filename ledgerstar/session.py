@@ -8,11 +8,15 @@ from pyspark.sql import SparkSession
 
 
 def build_spark(app_name: str = "ledgerstar", master: str | None = None,
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None,
+                advisory_partition_bytes: str | None = None,
+                max_partition_bytes: str | None = None) -> SparkSession:
     """Session with UTC, AQE (coalescing + skew join) and no web UI.
 
     ``shuffle_partitions`` is an upper bound; AQE coalesces small partitions
-    at runtime, so the same setting works for small and large inputs.
+    at runtime toward ``advisory_partition_bytes`` and splits skewed ones, so
+    the same setting works for small and large inputs.
+    ``max_partition_bytes`` sizes input splits of the file scans.
     """
     b = (SparkSession.builder.appName(app_name)
          .config("spark.sql.session.timeZone", "UTC")
@@ -26,6 +30,10 @@ def build_spark(app_name: str = "ledgerstar", master: str | None = None,
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if advisory_partition_bytes:
+        b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
+    if max_partition_bytes:
+        b = b.config("spark.sql.files.maxPartitionBytes", max_partition_bytes)
     return b.getOrCreate()
 
 
