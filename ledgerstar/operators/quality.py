@@ -44,8 +44,11 @@ def orphan_originators(fact: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def validate_staging(fact: DataFrame, accounts: DataFrame) -> DataFrame:
+    """V1-V4 and the masked-id format of every account id (V11)."""
     orphans = orphan_originators(fact, accounts).agg(F.count(F.lit(1)).alias("orphan_originators"))
-    return staging_checks(fact).unionByName(_melt(orphans, ["orphan_originators"]))
+    fmt = accounts.agg(F.count_if(~is_masked_id(F.col("account_id"))).alias("bad_account_ids"))
+    return (staging_checks(fact).unionByName(_melt(orphans, ["orphan_originators"]))
+            .unionByName(_melt(fmt, ["bad_account_ids"])))
 
 
 def domain_checks(dim_date: DataFrame, fact: DataFrame) -> DataFrame:

@@ -574,6 +574,7 @@ STAGE_SQL["dq_report"] = with_star("\n" + _checks([
     ("negative_amounts", "SELECT COUNT(*) FROM fact_staging WHERE amount < 0"),
     ("orphan_originators", "SELECT COUNT(*) FROM (SELECT DISTINCT orig_account_id FROM fact_staging) s "
                            "WHERE orig_account_id NOT IN (SELECT account_id FROM dim_account)"),
+    ("bad_account_ids", "SELECT COUNT(*) FROM dim_account WHERE NOT regexp_full_match(account_id, '[0-9a-f]{32}')"),
     ("hour_out_of_range", "SELECT COUNT(*) FROM dim_date WHERE hour_of_day NOT BETWEEN 0 AND 23"),
     ("day_of_week_out_of_range", "SELECT COUNT(*) FROM dim_date WHERE day_of_week NOT BETWEEN 1 AND 7"),
     ("month_out_of_range", "SELECT COUNT(*) FROM dim_date WHERE month_number NOT BETWEEN 1 AND 12"),

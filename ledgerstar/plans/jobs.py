@@ -37,9 +37,17 @@ def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
     o = out.rstrip("/")
     obs = Observation("clean")
     txn = enrich(clean(raw, strict_types=strict_types, observation=obs), salt)
+    counts: dict[str, Observation] = {}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        counts[name] = Observation(name)
+        return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
+
     # staging holds exactly this batch: static overwrite of the folder
-    sinks.write_fact(build_fact_staging(txn), f"{o}/fact_transactions", replace_days_only=False)
-    report = {"rows_in": obs.get.get("rows_in")}
+    sinks.write_fact(counted(build_fact_staging(txn), "fact"), f"{o}/fact_transactions",
+                     replace_days_only=False)
+    rows_in, rows_out = obs.get.get("rows_in"), counts["fact"].get["rows"]
+    report = {"rows_in": rows_in, "rows_out": rows_out, "dropped": rows_in - rows_out}
 
     fact = spark.read.parquet(f"{o}/fact_transactions")
     dim_account = dim_account_from_fact(fact)
@@ -47,9 +55,11 @@ def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
         checks = Q.validate_staging(fact, dim_account)
         Q.assert_ok(checks)
         report["validation"] = {r["check"]: r["violations"] for r in checks.collect()}
-    sinks.write_dimension(dim_date_from_fact(fact), f"{o}/dim_date")
-    sinks.write_dimension(dim_merchant_from_fact(fact), f"{o}/dim_merchant", single_file=False)
-    sinks.write_dimension(dim_account, f"{o}/dim_account", single_file=False)
+    sinks.write_dimension(counted(dim_date_from_fact(fact), "dim_date"), f"{o}/dim_date")
+    sinks.write_dimension(counted(dim_merchant_from_fact(fact), "dim_merchant"),
+                          f"{o}/dim_merchant", single_file=False)
+    sinks.write_dimension(counted(dim_account, "dim_account"), f"{o}/dim_account", single_file=False)
+    report["rows"] = {k: v.get["rows"] for k, v in counts.items()}
     spark.createDataFrame([(str(report),)], "report string").coalesce(1) \
         .write.mode("overwrite").text(f"{o}/{VALIDATED_MARKER}")
     return report
