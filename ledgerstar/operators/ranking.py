@@ -26,13 +26,9 @@ from ..session import checkpoint_dir
 _LOW_BITS = (1 << 33) - 1
 
 
-def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
-    """Adds a 1-based ``name`` following ``order`` over the whole frame.
-
-    ``order`` must be a total order (end it with a unique column), otherwise
-    tied rows get an arbitrary (though consistent) numbering.
-    """
+def _numbered(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
+    """Rows with ``_pid`` (range partition), ``_pos`` (position in it),
+    ``_rn`` (1-based global row number) and ``_total``."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/row-number-{uuid.uuid4().hex}"
     # Without an explicit count, AQE may merge adjacent range partitions;
@@ -56,10 +52,19 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
         .alias("_off"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
     out = numbered.join(F.broadcast(offsets), "_pid")
-    return out.select(
-        *[c for c in df.columns],
-        (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).alias(name),
-        F.col("_total").alias(f"_{name}_total"))
+    return out.select(*df.columns, "_pid", "_pos", "_total",
+                      (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).alias("_rn"))
+
+
+def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
+                      num_partitions: int | None = None) -> DataFrame:
+    """Adds a 1-based ``name`` following ``order`` over the whole frame.
+
+    ``order`` must be a total order (end it with a unique column), otherwise
+    tied rows get an arbitrary (though consistent) numbering.
+    """
+    nb = _numbered(df, order, num_partitions)
+    return nb.select(*df.columns, F.col("_rn").alias(name), F.col("_total").alias(f"_{name}_total"))
 
 
 def ntile_of(row_number: Column, total: Column, k: int) -> Column:
@@ -82,18 +87,30 @@ def global_ntile(df: DataFrame, order: list[Column], k: int, name: str = "ntile"
 def global_rank(df: DataFrame, key: list[str], descending: bool = False,
                 tie_breaker: list[str] | None = None, name: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
-    """SQL RANK() over the whole frame: 1 + rows with a strictly better key.
-
-    Row numbers follow (key, tie_breaker); the rank of a row is the first
-    row number of its key, found by a partial-then-final aggregate on the
-    key (a hot key is combined map-side) joined back on the key.
+    """SQL RANK() over the whole frame: the row number of the first row of
+    the same key.
+
+    No join on the key itself (a value held by a third of all rows would
+    make it one hot partition): the first row number is taken per (range
+    partition, key), groups no larger than a range partition, since the
+    tie-breaker spreads a hot value over many partitions. Only keys that
+    open a partition can have started in an earlier one; they are at most
+    one per partition, so their true first row numbers form a small table
+    that is broadcast.
     """
     tie_breaker = tie_breaker or []
     order = [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first())
              for c in key] + [F.col(c).asc() for c in tie_breaker]
-    rn = global_row_number(df, order, "_rn", num_partitions)
-    first = rn.groupBy(*key).agg(F.min("_rn").alias(name)).select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], name)
+    nb = _numbered(df, order, num_partitions)
+    nb = nb.withColumn("_first_here", F.min("_rn").over(Window.partitionBy("_pid", *key)))
+    openers = nb.filter(F.col("_pos") == 0).select(
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(key)]).distinct()  # <= one per partition
+    opener_first = (nb.join(F.broadcast(openers),
+                            [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(key)],
+                            "left_semi")
+                    .groupBy(*key).agg(F.min("_rn").alias("_first_all")))
+    renamed = opener_first.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], "_first_all")
     cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
-    return rn.alias("_l").join(first, cond, "inner") \
-        .select(*[F.col(c) for c in df.columns], F.col(name).cast("long").alias(name))
+    out = nb.join(F.broadcast(renamed), cond, "left")
+    return out.select(*[F.col(c) for c in df.columns],
+                      F.coalesce(F.col("_first_all"), F.col("_first_here")).cast("long").alias(name))

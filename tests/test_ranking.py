@@ -54,3 +54,15 @@ def test_default_partitioning_lets_aqe_merge_ranges(spark):
     ref = df.withColumn("b", F.ntile(7).over(Window.orderBy(*order)))
     assert sorted((r["id"], r["b"]) for r in mine.collect()) == \
         sorted((r["id"], r["b"]) for r in ref.collect())
+
+
+def test_rank_with_a_value_held_by_a_third_of_rows(spark):
+    rnd = random.Random(23)
+    rows = [(i, 7 if i % 3 == 0 else rnd.randint(0, 40)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, v int")
+    for desc in (True, False):
+        mine = global_rank(df, ["v"], descending=desc, tie_breaker=["id"], name="rk", num_partitions=6)
+        o = F.col("v").desc() if desc else F.col("v").asc()
+        ref = df.withColumn("rk", F.rank().over(Window.orderBy(o)))
+        assert sorted((r["id"], r["rk"]) for r in mine.collect()) == \
+            sorted((r["id"], r["rk"]) for r in ref.collect())
