@@ -150,9 +150,12 @@ def masked_id_checks(raw_ids: DataFrame, masked: DataFrame) -> DataFrame:
     return _melt(row, ["collisions", "bad_format"])
 
 
-def assert_ok(report: DataFrame) -> None:
-    """Fail before anything is written, listing every failing check."""
-    bad = report.filter(F.col("violations") > 0).collect()  # at most one row per check
+def assert_ok(report: DataFrame) -> dict[str, int]:
+    """Run the report once (one row per check), fail listing every failing
+    check, else return all counts."""
+    counts = {r["check"]: r["violations"] for r in report.collect()}
+    bad = {k: v for k, v in counts.items() if v}
     if bad:
-        lines = ", ".join(f"{r['check']}={r['violations']}" for r in bad)
+        lines = ", ".join(f"{k}={v}" for k, v in bad.items())
         raise ValueError(f"validation failed: {lines}")
+    return counts

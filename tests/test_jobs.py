@@ -54,3 +54,12 @@ def test_transform_load_rerun_is_idempotent(spark, tmp_dir):
 def test_load_refuses_unvalidated_staging(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         jobs.read_staged(spark, f"{tmp_dir}/nothing-here")
+
+
+def test_validation_failure_blocks_the_staging(spark, tmp_dir):
+    from ledgerstar.operators import quality as Q
+    bad = spark.createDataFrame([("x", "y", "z")], "orig_account_id string, dest_account_id string, "
+                                "dest_merchant_id string").withColumn("amount", F.lit(-1.0))
+    accounts = spark.createDataFrame([("x",)], "account_id string")
+    with pytest.raises(ValueError, match="dest_both_set=1.*negative_amounts=1"):
+        Q.assert_ok(Q.validate_staging(bad, accounts))
