@@ -133,3 +133,11 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str) -> d
     audit = dict(fact_obs.get)
     audit["deleted"] = deleted
     return {"dates_inserted": date_inserted, "accounts": changes, "fact": audit}
+
+
+def write_dashboard_mart(wh: Warehouse, path: str) -> None:
+    """The pre-aggregated dashboard feed (day x region x type), one folder per
+    day; a rerun replaces only the days present in the warehouse."""
+    from .extras import x8_dashboard_mart
+    (x8_dashboard_mart(wh).hint("rebalance", "calendar_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("calendar_date").parquet(path))

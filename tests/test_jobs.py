@@ -63,3 +63,18 @@ def test_validation_failure_blocks_the_staging(spark, tmp_dir):
     accounts = spark.createDataFrame([("x",)], "account_id string")
     with pytest.raises(ValueError, match="dest_both_set=1.*negative_amounts=1"):
         Q.assert_ok(Q.validate_staging(bad, accounts))
+
+
+def test_weekly_layout_and_mart(spark, tmp_dir):
+    from ledgerstar.sources.sinks import write_fact
+    from ledgerstar.plans.extras import x8_dashboard_mart
+    wh = star_from_testdata(spark, SF)
+    write_fact(wh.fact_transactions.drop("loaded_at"), f"{tmp_dir}/weekly", replace_days_only=False,
+               layout="week")
+    back = spark.read.parquet(f"{tmp_dir}/weekly")
+    assert back.count() == wh.fact_transactions.count()
+    weeks = {r[0].weekday() for r in back.select("partition_week").distinct().collect()}
+    assert weeks == {0}  # Monday folders
+    jobs.write_dashboard_mart(wh, f"{tmp_dir}/mart")
+    mart = spark.read.parquet(f"{tmp_dir}/mart")
+    assert mart.count() == x8_dashboard_mart(wh).count()
