@@ -1,0 +1 @@
+"""DataFrame operators: clean, enrich, dimensions, warehouse loads, quality, ranking, percentiles."""
