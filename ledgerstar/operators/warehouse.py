@@ -181,6 +181,19 @@ def _money(c: str) -> Column:
     return F.when(F.isnan(col), F.lit(None)).otherwise(col).cast("decimal(18,2)")
 
 
+NULL_KEY_SPREAD = 4096
+
+
+def _spread_null_key(col: str) -> Column:
+    """Join key for an optional id: the id itself, or for NULL a value that
+    matches no dimension row (ids are hex; this starts with NUL) spread over
+    ``NULL_KEY_SPREAD`` values by a hash of the row. Every payment has a NULL
+    destination account and every transfer a NULL merchant, so a plain key
+    would send that whole share of the fact to one shuffle partition."""
+    spread = F.pmod(F.xxhash64("orig_account_id", "date_key", "amount"), F.lit(NULL_KEY_SPREAD))
+    return F.coalesce(F.col(col), F.concat(F.lit("\u0000"), spread.cast("string")))
+
+
 def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
                   dim_type: DataFrame) -> DataFrame:
     """Staged facts with surrogate keys looked up; unresolved rows are kept
@@ -194,14 +207,17 @@ def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: Data
     types = F.broadcast(dim_type.select("type_code", "transaction_type_key"))
     orig = cur.select(F.col("account_id").alias("orig_account_id"),
                       F.col("account_key").alias("orig_account_key"))
-    dest = cur.select(F.col("account_id").alias("dest_account_id"),
+    dest = cur.select(F.col("account_id").alias("_dest_account_join"),
                       F.col("account_key").alias("dest_account_key"))
-    merch = dim_merchant.select(F.col("merchant_id").alias("dest_merchant_id"), "merchant_key")
+    merch = dim_merchant.select(F.col("merchant_id").alias("_dest_merchant_join"), "merchant_key")
     return (staging
+            .withColumn("_dest_account_join", _spread_null_key("dest_account_id"))
+            .withColumn("_dest_merchant_join", _spread_null_key("dest_merchant_id"))
             .join(types, "type_code", "left")
             .join(orig, "orig_account_id", "left")
-            .join(dest, "dest_account_id", "left")
-            .join(merch, "dest_merchant_id", "left"))
+            .join(dest, "_dest_account_join", "left")
+            .join(merch, "_dest_merchant_join", "left")
+            .drop("_dest_account_join", "_dest_merchant_join"))
 
 
 def audit_columns() -> list[Column]:
