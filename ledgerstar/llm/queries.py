@@ -7,18 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, quality, simhash
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.identify(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "mixture")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return out.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_weak_supervision": op2_weak_supervision,
+    "op3_language_mixture": op3_language_mixture,
     "op7_simhash": op7_simhash,
 }
 
