@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, simhash
+from . import decontam, langid, quality, simhash, urlfilter
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,18 @@ def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "mixture")
 
 
+def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The rules of the URL query.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"), urlfilter.rule_table(spark, URL_RULES))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return out.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -31,7 +43,39 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op2_weak_supervision": op2_weak_supervision,
     "op3_language_mixture": op3_language_mixture,
+    "op4_prefix_join": op4_prefix_join,
+    "op6_url_filter": op6_url_filter,
     "op7_simhash": op7_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP4_SQL = f"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '{_WORD}') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), {_FOLD}), '{_WORD}') as w from benchmark),
+item_windows as (
+  select distinct item_id, least(len(w), 10) as m, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') as ws
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as k from b where len(w) > 0)),
+doc_windows as (
+  select doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') as ws
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as k from d, (select distinct m from item_windows))),
+hits as (select doc_id, k, m, item_id from doc_windows join item_windows using (m, ws)),
+words_hit as (select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(k, k + m)) as at from hits) group by doc_id),
+items_hit as (select doc_id, list_sort(list(distinct item_id::varchar)) as ids from hits group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(ids), 0)::bigint as n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, n_hit is not null as contaminated
+from d left join words_hit using (doc_id) left join items_hit using (doc_id)
+"""
+
+OP6_SQL = f"""
+with rules(rule, verdict) as (values {", ".join(f"('{r}', '{v}')" for r, v in URL_RULES)}),
+r as (select rule, verdict, split_part(rule, '/', 1) as rhost, substr(rule, strpos(rule, '/')) as rpath from rules),
+u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest, row_number() over () as n from pages),
+p as (select n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_FOLD}) as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+fit as (select n, rule, verdict, row_number() over (partition by n order by length(rule) desc, length(rhost) desc, verdict desc) as k
+        from p join r on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath))
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join (select * from fit where k = 1) using (n)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_prefix_join": OP4_SQL, "op6_url_filter": OP6_SQL}
