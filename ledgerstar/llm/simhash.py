@@ -6,12 +6,14 @@ the radius of the other. Every distinct fingerprint therefore emits all words
 of its ball (its *variants*), the variants are shuffled, and fingerprints
 that meet on a variant are linked and verified.
 
-The variants are not shipped one by one. They are dealt to ``2**k`` buckets
-by a linear map L over GF(2), and L(x ^ flips) = L(x) ^ L(flips), so a bucket
-that holds x can itself build exactly those variants of x that belong to it.
-A fingerprint is sent once to each bucket its ball touches (8 bytes each),
-never more often than it has variants; ``k`` grows with the number of
-distinct fingerprints, so a bucket's memory stays bounded.
+The variants are not shipped one by one. A bucket is the lowest ``k`` bits of
+a variant, so the variants of x lie in the buckets that flips of those bits
+reach from x: 1 + k + k(k-1)/2 of them for two flips. x is sent once to each
+(8 bytes), and the bucket itself builds those variants of x that belong to
+it, a part at a time: parts are set by a linear map over GF(2), for which
+L(x ^ flips) = L(x) ^ L(flips), so each part is built without the others and
+a task's memory does not grow with its bucket's variants. ``k`` grows with
+the number of distinct fingerprints.
 
 Members of one variant are linked as a star to one of them, not pairwise:
 each of those links is within the radius, and the star connects the same
@@ -35,8 +37,11 @@ from .common import arrow_out, arrow_rows, release_shuffles, written
 SHINGLE_WORDS = 4
 RADIUS = 4
 SEED = 42
-#: Variants that one bucket builds at a time (24 bytes each while it sorts them).
-BUCKET_VARIANTS = 3_000_000
+#: Buckets have this many bits at least, and more once a bucket would have more variants.
+LEAST_BITS = 6
+BUCKET_VARIANTS = 1 << 29
+#: Variants built at a time (24 bytes each while they are sorted).
+PART_VARIANTS = 3_000_000
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 _FOLD = bytes.maketrans(_UPPER, _LOWER)
@@ -95,24 +100,25 @@ def ball(flips: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(masks, np.uint64), np.array(weights, np.int64)
 
 
-def linear_map(x: np.ndarray, bits: int) -> np.ndarray:
-    """L(x): the exclusive or of one fixed random word of ``bits`` bits per set bit of x."""
-    rows = np.random.default_rng(20240229).integers(0, 1 << 62, 64, dtype=np.uint64) & np.uint64((1 << bits) - 1)
+def linear_map(x: np.ndarray, bits: int, part_bits: int) -> np.ndarray:
+    """The lowest ``bits`` bits of x, and above them the exclusive or of one
+    fixed random word of ``part_bits`` bits per set bit of x."""
+    rows = np.random.default_rng(20240229).integers(0, 1 << 62, 64, dtype=np.uint64) & np.uint64((1 << part_bits) - 1)
     out = np.zeros(len(x), np.uint64)
-    for b in range(64):
+    for b in range(64 if part_bits else 0):
         out ^= ((x >> np.uint64(b)) & np.uint64(1)) * rows[b]
-    return out.astype(np.int64)
+    return ((out << np.uint64(bits)) | (x & np.uint64((1 << bits) - 1))).astype(np.int64)
 
 
-def bucket_bits(n: int, radius: int, bucket_variants: int) -> int:
+def bucket_bits(n: int, radius: int, bucket_variants: int = BUCKET_VARIANTS) -> int:
     size = len(ball(radius - radius // 2)[0])
-    return max(0, min(40, int(np.ceil(np.log2(max(1, n * size / bucket_variants))))))
+    return max(LEAST_BITS, min(40, int(np.ceil(np.log2(max(1, n * size / bucket_variants))))))
 
 
 def _emit(bits: int, radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(bucket, packed fingerprints whose ball touches it)."""
     schema = pa.schema([("bucket", pa.int64()), ("fps", pa.binary())])
-    offsets = np.unique(linear_map(ball(radius - radius // 2)[0], bits))
+    offsets = np.unique(linear_map(ball(radius - radius // 2)[0], bits, 0))
     step = max(1, (1 << 20) // len(offsets))
 
     def rows():
@@ -120,7 +126,7 @@ def _emit(bits: int, radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator
             fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for at in range(0, len(fps), step):
                 part = fps[at:at + step]
-                to = (linear_map(part, bits)[:, None] ^ offsets[None, :]).ravel()
+                to = (linear_map(part, bits, 0)[:, None] ^ offsets[None, :]).ravel()
                 order = np.argsort(to, kind="stable")
                 to, x = to[order], np.repeat(part, len(offsets))[order]
                 cuts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
@@ -130,32 +136,34 @@ def _emit(bits: int, radius: int, batches: Iterator[pa.RecordBatch]) -> Iterator
     return arrow_out(schema, rows(), weight=lambda r: len(r[1]))
 
 
-def variants_in(x: np.ndarray, bucket: int, bits: int, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Those variants of the fingerprints ``x`` that L deals to ``bucket``:
-    the variant, the index of its fingerprint, the index of its mask."""
-    lm = linear_map(masks, bits)
-    by_l = np.argsort(lm, kind="stable")
-    lm = lm[by_l]
-    lx = linear_map(x, bits)
-    order = np.argsort(lx, kind="stable")
-    cuts = np.flatnonzero(np.r_[True, lx[order][1:] != lx[order][:-1]])
-    v, i, m = [], [], []
-    for a, b in zip(cuts, np.r_[cuts[1:], len(x)], strict=True):
-        want = bucket ^ int(lx[order[a]])
-        lo, hi = np.searchsorted(lm, [want, want + 1])
-        if lo == hi:
-            continue
-        own, flips = order[a:b], by_l[lo:hi]
-        v.append((x[own][:, None] ^ masks[flips][None, :]).ravel())
-        i.append(np.repeat(own, len(flips)).astype(np.int32))
-        m.append(np.tile(flips, len(own)).astype(np.int32))
-    empty = np.zeros(0, np.int32)
-    return (np.concatenate(v), np.concatenate(i), np.concatenate(m)) if v else (np.zeros(0, np.uint64), empty, empty)
-
-
-def forest(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Those of the edges that join two parts not joined by earlier ones."""
-    parent: dict[int, int] = {}
+def bucket_variants(x: np.ndarray, bucket: int, bits: int, masks: np.ndarray, part_variants: int = PART_VARIANTS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The variants of the fingerprints ``x`` that belong to ``bucket``, part
+    by part: the variant, the index of its fingerprint, that of its mask."""
+    reached = np.bincount(linear_map(masks, bits, 0))
+    near = (x & np.uint64((1 << bits) - 1)).astype(np.int64) ^ bucket
+    total = int(reached[near[near < len(reached)]].sum())
+    part_bits = max(0, int(np.ceil(np.log2(max(1, total / part_variants)))))
+    lm, lx = linear_map(masks, bits, part_bits), linear_map(x, bits, part_bits)
+    by_l, order = np.argsort(lm, kind="stable"), np.argsort(lx, kind="stable")
+    lm, lx = lm[by_l], lx[order]
+    cuts = np.flatnonzero(np.r_[True, lx[1:] != lx[:-1]])
+    ends = np.r_[cuts[1:], len(x)]
+    for part in range(1 << part_bits):
+        want = lx[cuts] ^ (part << bits | bucket)
+        low, high = np.searchsorted(lm, want), np.searchsorted(lm, want, side="right")
+        v, i, m = [], [], []
+        for k in np.flatnonzero(low < high):
+            own, flips = order[cuts[k]:ends[k]], by_l[low[k]:high[k]]
+            v.append((x[own][:, None] ^ masks[flips][None, :]).ravel())
+            i.append(np.repeat(own, len(flips)).astype(np.int32))
+            m.append(np.tile(flips, len(own)).astype(np.int32))
+        if v:
+            yield np.concatenate(v), np.concatenate(i), np.concatenate(m)
+
+
+def forest(edges: list[tuple[int, int]], parent: dict[int, int]) -> list[tuple[int, int]]:
+    """Those of the edges that join two sets not joined by earlier ones;
+    ``parent`` remembers the sets."""
 
     def root(a: int) -> int:
         top = a
@@ -174,40 +182,42 @@ def forest(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
-def collisions(x: np.ndarray, bucket: int, bits: int, radius: int) -> list[tuple[int, int]]:
+def collisions(x: np.ndarray, bucket: int, bits: int, radius: int, part_variants: int = PART_VARIANTS) -> list[tuple[int, int]]:
     """Verified links between fingerprints that meet on a variant of the
     bucket, as a spanning forest."""
     masks, weights = ball(radius - radius // 2)
-    v, i, m = variants_in(x, bucket, bits, masks)
-    order = np.argsort(v)
-    v = v[order]
-    same = v[1:] == v[:-1]
-    meets = np.r_[same, False] | np.r_[False, same]
-    v, order = v[meets], order[meets]
-    if not len(v):
-        return []
-    i, near = i[order], weights[m[order]] <= radius // 2
-    starts = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
-    sizes = np.diff(np.r_[starts, len(v)])
-    far = np.int64(len(x))
-    head = np.minimum.reduceat(np.where(near, i, far).astype(np.int64), starts)
-    heads = np.repeat(head, sizes)
-    pick = (heads != far) & (heads != i)
-    pairs = np.unique(heads[pick] * len(x) + i[pick])
-    a, b = x[pairs // len(x)], x[pairs % len(x)]
-    close = np.bitwise_count(a ^ b) <= radius
-    return forest(list(zip(a[close].view(np.int64).tolist(), b[close].view(np.int64).tolist(), strict=True)))
-
-
-def link_edges(nodes: DataFrame, radius: int = RADIUS, bucket_variants: int = BUCKET_VARIANTS) -> DataFrame:
+    found: list[tuple[int, int]] = []
+    sets: dict[int, int] = {}
+    for v, i, m in bucket_variants(x, bucket, bits, masks, part_variants):
+        order = np.argsort(v)
+        v = v[order]
+        same = v[1:] == v[:-1]
+        meets = np.r_[same, False] | np.r_[False, same]
+        v, order = v[meets], order[meets]
+        if not len(v):
+            continue
+        i, near = i[order], weights[m[order]] <= radius // 2
+        starts = np.flatnonzero(np.r_[True, v[1:] != v[:-1]])
+        far = np.int64(len(x))
+        head = np.minimum.reduceat(np.where(near, i, far).astype(np.int64), starts)
+        heads = np.repeat(head, np.diff(np.r_[starts, len(v)]))
+        pick = (heads != far) & (heads != i)
+        pairs = np.unique(heads[pick] * len(x) + i[pick])
+        a, b = x[pairs // len(x)], x[pairs % len(x)]
+        close = np.bitwise_count(a ^ b) <= radius
+        found += forest(list(zip(a[close].view(np.int64).tolist(), b[close].view(np.int64).tolist(), strict=True)), sets)
+    return found
+
+
+def link_edges(nodes: DataFrame, radius: int = RADIUS, part_variants: int = PART_VARIANTS) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints of ``nodes.fp``
     within ``radius`` bits; between the same sets as all such pairs."""
-    bits = bucket_bits(nodes.count(), radius, bucket_variants)
+    bits = bucket_bits(nodes.count(), radius)
     sent = nodes.select("fp").mapInArrow(lambda it: _emit(bits, radius, it), "bucket long, fps binary")
 
     def meet(part: pa.Table) -> pa.Table:
         x = np.unique(np.concatenate([np.frombuffer(b.as_buffer(), np.uint64) for b in part.column("fps")]))
-        edges = collisions(x, part.column("bucket")[0].as_py(), bits, radius)
+        edges = collisions(x, part.column("bucket")[0].as_py(), bits, radius, part_variants)
         a, b = zip(*edges, strict=True) if edges else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -249,7 +259,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id",
-                    text_col: str = "text", bucket_variants: int = BUCKET_VARIANTS) -> DataFrame:
+                    text_col: str = "text", part_variants: int = PART_VARIANTS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
     Null and empty texts, and texts of white space only, have fingerprint
@@ -260,7 +270,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     """
     fps = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = written(components(link_edges(nodes, radius, bucket_variants)), "roots")
+    roots = written(components(link_edges(nodes, radius, part_variants)), "roots")
     # only fingerprints that have a link need their component's smallest id
     least = (roots.join(nodes, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component"))
              .withColumnRenamed("root", "croot"))
