@@ -2,6 +2,13 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns what the next stage reads. ``run`` applies them to ``documents``.
+All but the last return the columns of ``docs``, whatever these are beside
+doc_id and text.
+
+Stages decide by doc_id. Rows that share an id are decided together: they
+stay if one of them does (the SimHash stage then keeps one of them). A row
+with a null id cannot be named in a decision and stays until the SimHash
+stage, which keeps no document without an id.
 """
 
 from __future__ import annotations
@@ -9,36 +16,76 @@ from __future__ import annotations
 import os
 import sys
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerstar.llm import simhash  # noqa: E402
+from ledgerstar.llm import decontam, langid, packing, quality, simhash  # noqa: E402
 from ledgerstar.llm.common import table, written  # noqa: E402
 
+#: Below this share, or posterior, of its main language a document is rejected.
+LANGUAGE_SCORE = 0.4
+
+
+def without(docs: DataFrame, judged: DataFrame, keep: str) -> DataFrame:
+    """Rows of ``docs`` but those whose id has only rejections in ``judged``."""
+    rejected = judged.groupBy("doc_id").agg(F.max(keep).alias("any_kept")).where("not any_kept").select(F.col("doc_id").alias("rejected_id"))
+    return docs.join(rejected, docs["doc_id"] == rejected["rejected_id"], "left_anti")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a main language, go. Without a
+    ``lang`` column or label nothing can be learned, and every document is kept."""
+    if "lang" not in docs.columns:
+        return docs
+    names, model = langid.train(docs.where(langid.fold(parts=4) != 2))
+    if not names:
+        return docs
+    judged = langid.predict(docs, names, model)
+    return without(docs, judged.withColumn("known", (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)), "known")
 
-def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids.keep_id``; of repeated ids, one row."""
-    repeated = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("rid"))
-    kept = docs.join(ids, docs["doc_id"] == ids["keep_id"], "left_semi")
-    once = kept.join(repeated, kept["doc_id"] == F.col("rid"), "left_anti")
-    again = kept.join(repeated, kept["doc_id"] == F.col("rid"), "left_semi").dropDuplicates(["doc_id"])
-    return once.union(again)
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules, or are probably bad, go."""
+    return without(docs, quality.score(docs), "kept")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the
-    smallest id; a group without any id has none to keep it by and goes."""
+    smallest id; of rows that share this id, one."""
     found = simhash.near_duplicates(docs, shingle=4, radius=4)
-    return keep_ids(docs, found.where("doc_id = component_id").select(F.col("doc_id").alias("keep_id")).distinct())
+    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    repeated = written(docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id")), "repeated")
+    kept = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, kept["doc_id"] == repeated["repeated_id"], "left_anti")
+    return once.union(kept.join(repeated, kept["doc_id"] == repeated["repeated_id"], "left_semi").dropDuplicates(["doc_id"]))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    judged = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, judged.withColumn("clean", ~F.col("contaminated")), "clean")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 4096 tokens."""
+    out = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, window=4096)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [
+    ("language_id", language_id),
+    ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
 ]
 
-ORACLE_SQL = None  # fingerprints, EM and tokenizers have no SQL form
+ORACLE_SQL = None  # language mixtures, EM, fingerprints and tokenizers have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, quality, simhash, urlfilter
+from . import decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, urlfilter, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.as_responses(table(spark, sf_dir, "pages"))).withColumn("record", F.col("record").cast("string"))
+
+
 def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.score(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
@@ -27,6 +32,10 @@ def op4_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 #: The rules of the URL query.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
 
@@ -40,12 +49,33 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op8_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, window=4096)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op9_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = rans.new_folder(spark)
+    rans.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 0, folder)
+    return rans.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = langid.fold(parts=10)
+    return ngramlm.score(table(spark, sf_dir, "documents"), learn=part != 0, held_out=part == 0)
+
+
 QUERIES: dict[str, QueryFn] = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_weak_supervision": op2_weak_supervision,
     "op3_language_mixture": op3_language_mixture,
     "op4_prefix_join": op4_prefix_join,
+    "op5_text_density": op5_text_density,
     "op6_url_filter": op6_url_filter,
     "op7_simhash": op7_simhash,
+    "op8_sum_of_squares": op8_sum_of_squares,
+    "op9_rans_files": op9_rans_files,
+    "op10_ngram_trie": op10_ngram_trie,
 }
 
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

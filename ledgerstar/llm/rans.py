@@ -215,10 +215,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, block_
         before[shard] = sums
         sums += n
     schema = pa.schema([("start", pa.int64()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("data", pa.binary())])
-    held = spark.sparkContext.broadcast((table, before))
+    held = spark.sparkContext.broadcast((table.ids, table.freq, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, before = held.value
+        symbols, freq, before = held.value
+        table = Table(symbols, freq)
 
         def rows():
             start, size, parts, docs = 0, 0, [], []
@@ -244,11 +245,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids per document of the files in ``path``;
     ``ids`` as little-endian unsigned 32-bit integers. Damaged blocks raise."""
     ids, freq = spark.read.parquet(f"{path}/table").first()
-    held = spark.sparkContext.broadcast(Table(np.frombuffer(ids, "<u4"), np.frombuffer(freq, "<u4")))
+    held = spark.sparkContext.broadcast((bytes(ids), bytes(freq)))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
+        table = Table(*(np.frombuffer(x, "<u4") for x in held.value))
 
         def rows():
             for start, data in arrow_rows(batches):
