@@ -26,12 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import warehouse as W
-from ..operators.dimensions import (build_dim_account, build_dim_date, build_dim_merchant,
-                                    build_fact_staging, dim_transaction_type)
+from ..operators.dimensions import dim_transaction_type, fact_staging
 from ..oracle import TEST_SALT
 from ..session import checkpoint_dir
 from ..sources.raw import raw_transactions
-from .star import Staged, Warehouse, enriched
+from .star import Staged, Warehouse, enriched, stage, stage
 
 BATCH_TS = ["2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-04-01 00:00:00",
             "2024-05-01 00:00:00", "2024-06-01 00:00:00"]
@@ -64,10 +63,11 @@ def _day(n: int) -> Column:
 
 def batches(txn: DataFrame) -> list[Staged]:
     def staged(t: DataFrame, overrides: bool) -> Staged:
-        acct, merch = build_dim_account(t), build_dim_merchant(t)
+        out = stage(fact_staging(t))
         if overrides:
-            acct, merch = with_account_overrides(acct), with_merchant_overrides(merch)
-        return Staged(acct, merch, build_dim_date(t), build_fact_staging(t))
+            out.dim_account = with_account_overrides(out.dim_account)
+            out.dim_merchant = with_merchant_overrides(out.dim_merchant)
+        return out
 
     b1 = staged(txn.filter(F.col("calendar_date") <= _day(15)), False)
     b2 = staged(txn, True)
@@ -123,7 +123,7 @@ def _run_all(spark: SparkSession, sf_dir: str) -> ScenarioRun:
         old_fact = state.fact_transactions if state else None
         audit = W.load_audit(b.fact, acct_state, merch_state, types, old_fact)
         new_fact = W.resolve_fact(b.fact, acct_state, merch_state, types, ts)
-        fact = _freeze(W.replace_partitions(old_fact, new_fact))
+        fact = _freeze(W.replace_partitions(old_fact, new_fact, b.fact))
         run.date_inserted.append(_freeze(dates.inserted.agg(F.count(F.lit(1)).alias("inserted"))))
         run.account_changes.append(_freeze(W.change_report(acct.changes)))
         run.audits.append(_freeze(audit))

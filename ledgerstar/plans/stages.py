@@ -13,8 +13,8 @@ from ..functions.masking import mask_id
 from ..functions.typecodes import normalise_type
 from ..operators import quality as Q
 from ..operators.clean import clean, clean_report, rule_columns
-from ..operators.dimensions import (build_dim_account, build_dim_date, build_dim_merchant,
-                                    build_fact_staging, dim_transaction_type)
+from ..operators.dimensions import (account_dimension, date_dimension, dim_transaction_type,
+                                    fact_staging, merchant_dimension)
 from ..operators.enrich import enrich
 from ..oracle import TEST_SALT
 from ..schemas import RAW_COLUMNS, VALID_TYPE_CODES
@@ -98,19 +98,19 @@ def merchant_category_bucket(spark, sf_dir):
 
 
 def dim_account_q(spark, sf_dir):
-    return build_dim_account(_txn(spark, sf_dir))
+    return account_dimension(fact_staging(_txn(spark, sf_dir)))
 
 
 def dim_merchant_q(spark, sf_dir):
-    return build_dim_merchant(_txn(spark, sf_dir))
+    return merchant_dimension(fact_staging(_txn(spark, sf_dir)))
 
 
 def dim_date_q(spark, sf_dir):
-    return build_dim_date(_txn(spark, sf_dir))
+    return date_dimension(fact_staging(_txn(spark, sf_dir)))
 
 
 def fact_staging_q(spark, sf_dir):
-    return build_fact_staging(_txn(spark, sf_dir))
+    return fact_staging(_txn(spark, sf_dir))
 
 
 def dim_transaction_type_q(spark, sf_dir):
@@ -124,7 +124,7 @@ def dim_transaction_type_q(spark, sf_dir):
 # -- quality ------------------------------------------------------------------
 def dq_report(spark, sf_dir):
     s = transform(_raw(spark, sf_dir), TEST_SALT)
-    wh = star_from_testdata(spark, sf_dir)
+    wh = star_from_testdata(spark, sf_dir, TEST_SALT)
     return Q.validate_staging(s.fact, s.dim_account).unionByName(
         Q.domain_checks(wh.dim_date, wh.fact_transactions))
 
@@ -132,21 +132,21 @@ def dq_report(spark, sf_dir):
 def dq_orphans(spark, sf_dir):
     """Originators of all days missing from an account dimension built from
     days 1-15 only (late-arriving accounts)."""
-    txn = _txn(spark, sf_dir)
-    early = build_dim_account(txn.filter(F.col("calendar_date") <= F.lit("2024-01-15").cast("date")))
-    return Q.orphan_originators(build_fact_staging(txn), early)
+    fact = fact_staging(_txn(spark, sf_dir))
+    early = account_dimension(fact.filter(F.col("partition_date") <= F.lit("2024-01-15").cast("date")))
+    return Q.orphan_originators(fact, early)
 
 
 def dq_uniqueness(spark, sf_dir):
-    return Q.uniqueness_checks(star_from_testdata(spark, sf_dir).tables())
+    return Q.uniqueness_checks(star_from_testdata(spark, sf_dir, TEST_SALT).tables())
 
 
 def dq_foreign_keys(spark, sf_dir):
-    return Q.foreign_key_checks(star_from_testdata(spark, sf_dir).tables())
+    return Q.foreign_key_checks(star_from_testdata(spark, sf_dir, TEST_SALT).tables())
 
 
 def dq_not_null(spark, sf_dir):
-    return Q.not_null_checks(star_from_testdata(spark, sf_dir).tables())
+    return Q.not_null_checks(star_from_testdata(spark, sf_dir, TEST_SALT).tables())
 
 
 def dq_masked_ids(spark, sf_dir):

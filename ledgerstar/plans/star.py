@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import warehouse as W
 from ..operators.clean import clean
-from ..operators.dimensions import (build_dim_account, build_dim_date, build_dim_merchant,
-                                    build_fact_staging, dim_transaction_type)
+from ..operators.dimensions import (account_dimension, date_dimension, dim_transaction_type,
+                                    fact_staging, merchant_dimension)
 from ..operators.enrich import enrich
-from ..oracle import TEST_SALT
 from ..sources.raw import raw_transactions
 
 DEFAULT_BATCH_TS = "2024-02-01 00:00:00"
@@ -54,9 +53,12 @@ def enriched(raw: DataFrame, salt: str, strict_types: bool = False) -> DataFrame
 
 
 def transform(raw: DataFrame, salt: str, strict_types: bool = False) -> Staged:
-    txn = enriched(raw, salt, strict_types)
-    return Staged(build_dim_account(txn), build_dim_merchant(txn), build_dim_date(txn),
-                  build_fact_staging(txn))
+    return stage(fact_staging(enriched(raw, salt, strict_types)))
+
+
+def stage(fact: DataFrame) -> Staged:
+    """A fact staging and the dimensions derived from it."""
+    return Staged(account_dimension(fact), merchant_dimension(fact), date_dimension(fact), fact)
 
 
 @dataclass
@@ -76,7 +78,7 @@ def load_batch(state: Warehouse | None, staged: Staged, batch_ts: str) -> LoadRe
     merchants = W.type1_upsert(state.dim_merchant if state else None, staged.dim_merchant)
     accounts = W.scd2_merge(state.dim_account if state else None, staged.dim_account, batch_ts)
     new_facts = W.resolve_fact(staged.fact, accounts.state, merchants.state, types, batch_ts)
-    facts = W.replace_partitions(state.fact_transactions if state else None, new_facts)
+    facts = W.replace_partitions(state.fact_transactions if state else None, new_facts, staged.fact)
     audit = W.load_audit(staged.fact, accounts.state, merchants.state, types,
                          state.fact_transactions if state else None)
     wh = Warehouse(facts, accounts.state, merchants.state, dates.state, types)
@@ -87,7 +89,7 @@ def star_from_raw(raw: DataFrame, salt: str, batch_ts: str = DEFAULT_BATCH_TS) -
     return load_batch(None, transform(raw, salt), batch_ts).warehouse
 
 
-def star_from_testdata(spark: SparkSession, sf_dir: str, salt: str = TEST_SALT,
+def star_from_testdata(spark: SparkSession, sf_dir: str, salt: str,
                        batch_ts: str = DEFAULT_BATCH_TS) -> Warehouse:
     """Lazy single-batch warehouse over the events-derived raw rows."""
     return star_from_raw(raw_transactions(spark, sf_dir), salt, batch_ts)

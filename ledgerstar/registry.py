@@ -19,7 +19,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _on_star(fn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(star_from_testdata(spark, sf_dir))
+        return fn(star_from_testdata(spark, sf_dir, oracle.TEST_SALT))
     run.__name__ = fn.__name__
     return run
 

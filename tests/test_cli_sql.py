@@ -19,7 +19,7 @@ def test_split_statements():
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 def test_sql_on_views_matches_dataframe_query(spark):
-    wh = star_from_testdata(spark, SF)
+    wh = star_from_testdata(spark, SF, "salt")
     register_views(wh)
     sql = """
         SELECT d.hour_of_day, COUNT(*) AS txns,

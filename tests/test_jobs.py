@@ -3,9 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerstar.operators.dimensions import (build_dim_account, build_dim_date, build_dim_merchant,
-                                             build_fact_staging, dim_account_from_fact,
-                                             dim_date_from_fact, dim_merchant_from_fact)
+from ledgerstar.operators.dimensions import account_dimension, date_dimension, fact_staging, merchant_dimension
 from ledgerstar.plans import analytics, jobs
 from ledgerstar.plans.star import enriched, star_from_testdata
 from ledgerstar.sources.raw import raw_transactions
@@ -21,12 +19,16 @@ def _same(a, b):
         sorted(map(tuple, b.select(cols).collect()), key=str)
 
 
-def test_dims_from_fact_equal_dims_from_rows(spark):
+def test_dimensions_hold_every_id_and_hour_once(spark):
     txn = enriched(raw_transactions(spark, SF), "salt")
-    fact = build_fact_staging(txn)
-    assert _same(dim_account_from_fact(fact), build_dim_account(txn))
-    assert _same(dim_merchant_from_fact(fact), build_dim_merchant(txn))
-    assert _same(dim_date_from_fact(fact), build_dim_date(txn))
+    rows = txn.select("orig_account_id", "dest_id_masked", "dest_is_merchant", "date_key").collect()
+    fact = fact_staging(txn)
+    accounts = {r[0] for r in rows} | {r[1] for r in rows if not r[2]}
+    for dim, key, want in ((account_dimension(fact), "account_id", accounts),
+                           (merchant_dimension(fact), "merchant_id", {r[1] for r in rows if r[2]}),
+                           (date_dimension(fact), "date_key", {r[3] for r in rows})):
+        got = [r[0] for r in dim.select(key).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_transform_load_rerun_is_idempotent(spark, tmp_dir):
@@ -45,7 +47,7 @@ def test_transform_load_rerun_is_idempotent(spark, tmp_dir):
     assert wh2.fact_transactions.count() == n1
     assert analytics.q1_3_type_mix(wh2).collect() == q1
     # the warehouse built by the jobs answers like the in-memory star
-    assert analytics.q1_3_type_mix(star_from_testdata(spark, SF)).collect() == q1
+    assert analytics.q1_3_type_mix(star_from_testdata(spark, SF, "salt")).collect() == q1
     days = wh2.fact_transactions.select("partition_date").distinct().count()
     files = wh2.fact_transactions.select(F.input_file_name().alias("f")).distinct().count()
     assert files == days  # one file per day at this size
@@ -68,7 +70,7 @@ def test_validation_failure_blocks_the_staging(spark, tmp_dir):
 def test_weekly_layout_and_mart(spark, tmp_dir):
     from ledgerstar.sources.sinks import write_fact
     from ledgerstar.plans.extras import x8_dashboard_mart
-    wh = star_from_testdata(spark, SF)
+    wh = star_from_testdata(spark, SF, "salt")
     write_fact(wh.fact_transactions.drop("loaded_at"), f"{tmp_dir}/weekly", replace_days_only=False,
                layout="week")
     back = spark.read.parquet(f"{tmp_dir}/weekly")
