@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.typecodes import normalise_type
@@ -42,41 +42,38 @@ def _filtered(df: DataFrame, strict_types: bool) -> DataFrame:
     return out.select(*RAW_COLUMNS)
 
 
-def clean(df: DataFrame, strict_types: bool = False,
-          observation: Observation | None = None) -> DataFrame:
+def clean(df: DataFrame, strict_types: bool = False) -> DataFrame:
     """Drop rows that cannot be loaded, then exact duplicates (all 11 columns).
 
     The de-duplication is a hash aggregate with a map-side partial step, so a
-    heavily repeated row is collapsed before the shuffle. ``observation``
-    collects in/out counts on whatever action later runs the plan, instead
-    of extra count() jobs.
+    heavily repeated row is collapsed before the shuffle.
     """
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows_in"))
     return _filtered(df, strict_types).dropDuplicates(RAW_COLUMNS)
 
 
-def clean_report(df: DataFrame, strict_types: bool = False) -> DataFrame:
+def rule_counts(df: DataFrame, strict_types: bool = False) -> DataFrame:
     """One row: rows_in, rows dropped by each rule (first failing rule wins),
-    duplicates removed, rows_out, and padded originator ids that were kept."""
-    rules = rule_columns(strict_types)
+    rows passed, padded originator ids that were kept, unparsable lines if
+    the reader marked them. One aggregate over the raw rows."""
     aggs = [F.count(F.lit(1)).alias("rows_in")]
     earlier = F.lit(True)
-    for name, passes in rules:
+    for name, passes in rule_columns(strict_types):
         fails = ~F.coalesce(passes, F.lit(False))
         aggs.append(F.count_if(earlier & fails).cast("long").alias(f"dropped_{name}"))
         earlier = earlier & F.coalesce(passes, F.lit(False))
-    aggs.append(F.count_if(earlier).cast("long").alias("_passed"))
-    extra = []
-    if CORRUPT_COLUMN in df.columns:  # CSV lines that did not parse (PERMISSIVE)
-        aggs.append(F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).cast("long").alias("corrupt_rows"))
-        extra = ["corrupt_rows"]
+    aggs.append(F.count_if(earlier).cast("long").alias("passed"))
     aggs.append(F.count_if(earlier & (F.col("nameOrig") != F.trim(F.col("nameOrig"))))
                 .cast("long").alias("padded_orig_ids"))
-    per_rule = df.agg(*aggs)
-    rows_out = _filtered(df, strict_types).dropDuplicates(RAW_COLUMNS).agg(
-        F.count(F.lit(1))).scalar()
-    return (per_rule.withColumn("rows_out", rows_out)
-            .withColumn("dropped_duplicates", F.col("_passed") - F.col("rows_out"))
-            .select("rows_in", *[f"dropped_{n}" for n, _ in rules],
-                    "dropped_duplicates", "padded_orig_ids", *extra, "rows_out"))
+    if CORRUPT_COLUMN in df.columns:  # CSV lines that did not parse (PERMISSIVE)
+        aggs.append(F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).cast("long").alias("corrupt_rows"))
+    return df.agg(*aggs)
+
+
+def clean_report(df: DataFrame, strict_types: bool = False) -> DataFrame:
+    """``rule_counts``, with duplicates removed and rows_out."""
+    counts = rule_counts(df, strict_types)
+    rows_out = clean(df, strict_types).agg(F.count(F.lit(1))).scalar()
+    dropped = [c for c in counts.columns if c.startswith("dropped_")]
+    rest = [c for c in counts.columns if c in ("padded_orig_ids", "corrupt_rows")]
+    return (counts.withColumn("rows_out", rows_out)
+            .select("rows_in", *dropped, (F.col("passed") - F.col("rows_out")).alias("dropped_duplicates"), *rest, "rows_out"))

@@ -92,16 +92,16 @@ def uniqueness_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str, name: str) -> DataFrame:
-    keys = fact.select(F.col(fk).alias(pk)).filter(F.col(pk).isNotNull())
+    keys = fact.select(F.col(fk).alias(pk)).filter(F.col(pk).isNotNull()).groupBy(pk).agg(F.count(F.lit(1)).alias("_n"))
     return keys.join(dim.select(pk), pk, "left_anti").agg(
-        F.count(F.lit(1)).cast("long").alias("violations")).select(F.lit(name).alias("check"), "violations")
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations")).select(F.lit(name).alias("check"), "violations")
 
 
 def foreign_key_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """V9: fact rows whose key has no dimension row (one anti-join per key).
 
-    The fact side is reduced to distinct keys first by the aggregate the
-    anti-join plans, so each check shuffles keys, not fact rows.
+    The fact is first counted by key (combined before the shuffle), so each
+    check joins distinct keys, not fact rows.
     """
     f = tables["fact_transactions"]
     parts = [

@@ -21,6 +21,17 @@ def _ts(batch_ts: str) -> Column:
     return F.lit(batch_ts).cast("timestamp_ntz")
 
 
+def wide_key(*cols: Column) -> Column:
+    """128-bit surrogate of the given values, as 32 hex digits. Each value is
+    marked as present or NULL and preceded by its length, so no two different
+    rows of values spell the same text."""
+    parts = []
+    for c in cols:
+        text = c.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat_ws(",", *parts).cast("binary"))
+
+
 def _refuse_duplicates(incoming: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """One row per key; a key twice in the batch fails the job.
 
@@ -64,7 +75,7 @@ class UpsertResult:
 
 
 def merchant_key_of(merchant_id: Column) -> Column:
-    return F.xxhash64(merchant_id)
+    return wide_key(merchant_id)
 
 
 def type1_upsert(current: DataFrame | None, incoming: DataFrame) -> UpsertResult:
@@ -96,7 +107,7 @@ class Scd2Result:
 
 def account_key_of(account_id: Column, effective_start: Column) -> Column:
     """Deterministic surrogate: the same version always gets the same key."""
-    return F.xxhash64(account_id, effective_start)
+    return wide_key(account_id, effective_start)
 
 
 def scd2_merge(current: DataFrame | None, incoming: DataFrame, batch_ts: str) -> Scd2Result:
@@ -126,30 +137,34 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, batch_ts: str) ->
         changes = inc.select("account_id", F.lit("inserted_new").alias("action"))
         return Scd2Result(state, changes)
 
-    history = current.filter(~F.col("is_current"))
-    cur = current.filter(F.col("is_current"))
-    j = cur.select(*[F.col(c).alias("_c_" + c) if c != "account_id" else F.col(c) for c in cols]) \
-        .join(inc.select("account_id", *[F.col(a).alias("_i_" + a) for a in attrs],
-                         F.lit(True).alias("_in_batch")), "account_id", "full_outer")
-    in_cur = F.col("_c_is_current").isNotNull()
-    in_inc = F.col("_in_batch").isNotNull()
+    # One join. Each account then becomes the versions it is left with: its
+    # current one kept or closed, a new one opened, or both. Closed versions
+    # do not take part.
+    cur = current.filter(F.col("is_current")).select("account_id", F.struct(*cols).alias("_c"))
+    new = inc.select("account_id", F.struct(*attrs).alias("_i"))
+    j = cur.join(new, "account_id", "full_outer")
     same = F.lit(True)
     for a in attrs:
-        same = same & F.col("_c_" + a).eqNullSafe(F.col("_i_" + a))
-    action = (F.when(in_cur & in_inc & ~same, F.lit("closed_and_reopened"))
-               .when(in_cur, F.lit("kept"))
-               .otherwise(F.lit("inserted_new")))
-    j = j.withColumn("_action", action)
-
-    kept = j.filter(F.col("_action") == "kept").select(
-        *[F.col("_c_" + c).alias(c) if c != "account_id" else F.col(c) for c in cols])
-    closed = j.filter(F.col("_action") == "closed_and_reopened").select(
-        *[(ts.alias(c) if c == "effective_end" else F.lit(False).alias(c) if c == "is_current"
-           else F.col("_c_" + c).alias(c)) if c != "account_id" else F.col(c) for c in cols])
-    reopened = opened(j.filter(F.col("_action") != "kept").select(
-        "account_id", *[F.col("_i_" + a).alias(a) for a in attrs]))
-    state = history.select(cols).unionByName(kept).unionByName(closed).unionByName(reopened)
-    changes = j.filter(F.col("_action") != "kept").select(
+        same = same & F.col(f"_c.{a}").eqNullSafe(F.col(f"_i.{a}"))
+    action = (F.when(F.col("_c").isNull(), F.lit("inserted_new"))
+               .when(F.col("_i").isNotNull() & ~same, F.lit("closed_and_reopened"))
+               .otherwise(F.lit("kept")))
+    late = F.raise_error(F.concat(F.lit("batch is not later than the current version of "), F.col("account_id")))
+    closed_at = F.when(F.col("_c.effective_start") >= ts, late.cast("timestamp_ntz")).otherwise(ts)
+
+    def version(**changed: Column) -> Column:
+        return F.struct(*(changed.get(c, F.col(f"_c.{c}")).cast(DIM_ACCOUNT[c].dataType).alias(c) for c in cols))
+
+    old = (F.when(F.col("_action") == "kept", version())
+            .when(F.col("_action") == "closed_and_reopened", version(effective_end=closed_at, is_current=F.lit(False))))
+    opened_now = F.when(F.col("_action") != "kept", version(
+        account_key=account_key_of(F.col("account_id"), ts), account_id=F.col("account_id"),
+        region=F.col("_i.region"), account_status=F.col("_i.account_status"), effective_start=ts,
+        effective_end=F.lit(None), is_current=F.lit(True)))
+    decided = j.withColumn("_action", action)
+    versions = decided.select(F.explode(F.filter(F.array(old, opened_now), lambda v: v.isNotNull())).alias("v")).select("v.*")
+    state = current.filter(~F.col("is_current")).select(cols).unionByName(versions)
+    changes = decided.filter(F.col("_action") != "kept").select(
         "account_id", F.col("_action").alias("action"))
     return Scd2Result(state, changes)
 
@@ -181,16 +196,18 @@ def _money(c: str) -> Column:
     return F.when(F.isnan(col), F.lit(None)).otherwise(col).cast("decimal(18,2)")
 
 
-NULL_KEY_SPREAD = 4096
+LEAST_NULL_SPREAD = 4096
 
 
-def _spread_null_key(col: str) -> Column:
+def _spread_null_key(staging: DataFrame, col: str) -> Column:
     """Join key for an optional id: the id itself, or for NULL a value that
-    matches no dimension row (ids are hex; this starts with NUL) spread over
-    ``NULL_KEY_SPREAD`` values by a hash of the row. Every payment has a NULL
-    destination account and every transfer a NULL merchant, so a plain key
-    would send that whole share of the fact to one shuffle partition."""
-    spread = F.pmod(F.xxhash64("orig_account_id", "date_key", "amount"), F.lit(NULL_KEY_SPREAD))
+    matches no dimension row (ids are hex; this starts with NUL), spread over
+    several times as many values as the shuffle has partitions by a hash of
+    the row. Every payment has a NULL destination account and every transfer
+    a NULL merchant, so a plain key would send that whole share of the fact
+    to one shuffle partition."""
+    n = max(LEAST_NULL_SPREAD, 4 * int(staging.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = F.pmod(F.xxhash64("orig_account_id", "date_key", "amount"), F.lit(n))
     return F.coalesce(F.col(col), F.concat(F.lit("\u0000"), spread.cast("string")))
 
 
@@ -211,8 +228,8 @@ def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: Data
                       F.col("account_key").alias("dest_account_key"))
     merch = dim_merchant.select(F.col("merchant_id").alias("_dest_merchant_join"), "merchant_key")
     return (staging
-            .withColumn("_dest_account_join", _spread_null_key("dest_account_id"))
-            .withColumn("_dest_merchant_join", _spread_null_key("dest_merchant_id"))
+            .withColumn("_dest_account_join", _spread_null_key(staging, "dest_account_id"))
+            .withColumn("_dest_merchant_join", _spread_null_key(staging, "dest_merchant_id"))
             .join(types, "type_code", "left")
             .join(orig, "orig_account_id", "left")
             .join(dest, "_dest_account_join", "left")
@@ -220,29 +237,31 @@ def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: Data
             .drop("_dest_account_join", "_dest_merchant_join"))
 
 
-def audit_columns() -> list[Column]:
-    """Counts of one resolution pass (staged = inserted + both unresolved)."""
-    no_type = F.col("transaction_type_key").isNull()
-    no_acct = F.col("orig_account_key").isNull()
-    return [F.count(F.lit(1)).alias("staged"),
-            F.count_if(~no_type & ~no_acct).cast("long").alias("inserted"),
-            F.count_if(no_type).cast("long").alias("unresolved_type"),
-            F.count_if(~no_type & no_acct).cast("long").alias("unresolved_account")]
+def unresolved_counts(staging: DataFrame, dim_account: DataFrame, dim_type: DataFrame) -> DataFrame:
+    """One row: staged, unresolved_type, unresolved_account.
 
+    Counted from the staging itself, by key: its rows are summed up by type
+    and originator before anything is joined, so a duplicated dimension row
+    cannot change these numbers.
+    """
+    known = F.broadcast(dim_type.select("type_code", F.lit(True).alias("_type")).distinct())  # five types
+    ids = current_versions(dim_account).select(F.col("account_id").alias("orig_account_id"), F.lit(True).alias("_acct")).distinct()
+    per_key = staging.groupBy("type_code", "orig_account_id").agg(F.count(F.lit(1)).alias("_n"))
+    flagged = per_key.join(known, "type_code", "left").join(ids, "orig_account_id", "left")
+    zero = F.lit(0).cast("long")
+    return flagged.agg(
+        F.coalesce(F.sum("_n"), zero).alias("staged"),
+        F.coalesce(F.sum(F.when(F.col("_type").isNull(), F.col("_n"))), zero).alias("unresolved_type"),
+        F.coalesce(F.sum(F.when(F.col("_type").isNotNull() & F.col("_acct").isNull(), F.col("_n"))), zero).alias("unresolved_account"))
 
-def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
-                 dim_type: DataFrame, batch_ts: str, observation=None) -> DataFrame:
-    """Inner semantics on type and originator, outer on the destinations.
 
-    With an ``Observation`` the audit counts are collected by the same pass
-    that writes the facts, instead of a second run of the joins.
-    """
+def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
+                 dim_type: DataFrame, batch_ts: str) -> DataFrame:
+    """Inner semantics on type and originator, outer on the destinations."""
     flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type)
-    if observation is not None:
-        flagged = flagged.observe(observation, *audit_columns())
     ok = F.col("transaction_type_key").isNotNull() & F.col("orig_account_key").isNotNull()
     return flagged.filter(ok).select(
-        F.xxhash64(*[F.col(c) for c in STAGING_ROW_COLUMNS]).alias("transaction_key"),
+        wide_key(*[F.col(c) for c in STAGING_ROW_COLUMNS]).alias("transaction_key"),
         "date_key", "transaction_type_key", "orig_account_key", "dest_account_key",
         F.col("merchant_key").alias("dest_merchant_key"),
         _money("amount").alias("amount"),
@@ -258,17 +277,21 @@ def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataF
 
 def load_audit(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
                dim_type: DataFrame, existing_fact: DataFrame | None = None) -> DataFrame:
-    """One row: staged, inserted, deleted and unresolved rows by cause.
+    """One row: staged, inserted, unresolved rows by cause, fan_out, deleted.
 
     ``unresolved_type`` counts rows whose type is unknown; ``unresolved_account``
-    rows with a known type whose originator has no current version; so
-    staged = inserted + unresolved_type + unresolved_account.
+    rows with a known type whose originator has no current version. Without
+    fan-out, staged = inserted + unresolved_type + unresolved_account; what is
+    inserted beyond that, because a dimension holds a key twice, is ``fan_out``.
+    ``deleted`` counts the stored rows on all staged days.
     """
     flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type)
-    audit = flagged.agg(*audit_columns())
-    if existing_fact is None:
-        return audit.withColumn("deleted", F.lit(0).cast("long"))
-    return audit.withColumn("deleted", rows_on_batch_days(existing_fact, staging).scalar())
+    ok = F.col("transaction_type_key").isNotNull() & F.col("orig_account_key").isNotNull()
+    inserted = flagged.agg(F.count_if(ok).cast("long").alias("inserted"))
+    audit = unresolved_counts(staging, dim_account, dim_type).crossJoin(F.broadcast(inserted))  # one row each
+    audit = audit.withColumn("fan_out", F.expr("inserted + unresolved_type + unresolved_account - staged"))
+    deleted = F.lit(0).cast("long") if existing_fact is None else rows_on_batch_days(existing_fact, staging).scalar()
+    return audit.withColumn("deleted", deleted)
 
 
 def rows_on_batch_days(existing_fact: DataFrame, staging: DataFrame) -> DataFrame:
@@ -284,13 +307,15 @@ def rows_on_batch_days(existing_fact: DataFrame, staging: DataFrame) -> DataFram
 # ---------------------------------------------------------------------------
 # W7 replace-by-partition
 # ---------------------------------------------------------------------------
-def replace_partitions(existing: DataFrame | None, incoming: DataFrame,
+def replace_partitions(existing: DataFrame | None, incoming: DataFrame, staging: DataFrame | None = None,
                        part_col: str = "partition_date") -> DataFrame:
-    """Every day present in the batch replaces the stored day; other days stay."""
+    """Every staged day replaces the stored day, also when none of its rows
+    could be resolved; other days stay. Without ``staging`` the staged days
+    are those of ``incoming``."""
     if existing is None:
         return incoming
-    # the batch's days (bounded by the calendar, at most 31 here) are broadcast,
+    # the staged days (bounded by the calendar, at most 31 here) are broadcast,
     # so the stored fact is filtered in place instead of shuffled by day
-    days = F.broadcast(incoming.select(part_col).distinct())
+    days = F.broadcast((incoming if staging is None else staging).select(part_col).distinct())
     kept = existing.join(days, part_col, "left_anti")
     return kept.unionByName(incoming)

@@ -3,17 +3,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import warehouse as W
-from ..operators.clean import clean
-from ..operators.dimensions import (build_fact_staging, dim_account_from_fact,
-                                    dim_date_from_fact, dim_merchant_from_fact,
-                                    dim_transaction_type)
+from ..operators.clean import clean, rule_counts
+from ..operators.dimensions import (account_dimension, date_dimension, dim_transaction_type,
+                                    fact_staging, merchant_dimension)
 from ..operators.enrich import enrich
-from ..schemas import DIM_ACCOUNT_STAGING, DIM_DATE, DIM_MERCHANT_STAGING, FACT_STAGING
+from ..schemas import (DIM_ACCOUNT, DIM_ACCOUNT_STAGING, DIM_DATE, DIM_MERCHANT, DIM_MERCHANT_STAGING,
+                       FACT_STAGING, FACT_TRANSACTIONS)
 from ..sources import sinks
 from ..sources.conform import conform
 from .star import Staged, Warehouse
@@ -24,54 +27,56 @@ VALIDATED_MARKER = "_validated"
 
 def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
                   strict_types: bool = False) -> dict:
-    """Clean, enrich and write the fact staging, then build, validate and
-    write the dimensions from it.
-
-    One pass over the raw input produces the day-partitioned fact staging;
-    the dimensions are derived from that written table reading only the
-    columns they need, so nothing of the size of the input is cached. The
-    ``_validated`` marker is written last: a failed validation leaves a
-    staging folder the load refuses to read.
+    """Clean, enrich and write the fact staging, then build, write and
+    validate the dimensions derived from it.
+
+    The ``_validated`` marker of an earlier run is removed first and written
+    last: whatever fails in between leaves a folder that the load refuses to
+    read. The dimensions are read from the written fact, only the columns they
+    need, and what is validated is what was written. Counts are taken from
+    the written tables; rows dropped by rule from one aggregate over the raw
+    rows. Neither counts a task twice that had to run again.
     """
     spark = raw.sparkSession
     o = out.rstrip("/")
-    obs = Observation("clean")
-    txn = enrich(clean(raw, strict_types=strict_types, observation=obs), salt)
-    counts: dict[str, Observation] = {}
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        counts[name] = Observation(name)
-        return df.observe(counts[name], F.count(F.lit(1)).alias("rows"))
-
+    sinks.remove(spark, f"{o}/{VALIDATED_MARKER}")
+    txn = enrich(clean(raw, strict_types=strict_types), salt)
     # staging holds exactly this batch: static overwrite of the folder
-    sinks.write_fact(counted(build_fact_staging(txn), "fact"), f"{o}/fact_transactions",
-                     replace_days_only=False)
-    rows_in, rows_out = obs.get.get("rows_in"), counts["fact"].get["rows"]
-    report = {"rows_in": rows_in, "rows_out": rows_out, "dropped": rows_in - rows_out}
-
-    fact = spark.read.parquet(f"{o}/fact_transactions")
-    dim_account = dim_account_from_fact(fact)
+    sinks.write_fact(fact_staging(txn), f"{o}/fact_transactions", replace_days_only=False)
+    fact = _read(spark, f"{o}/fact_transactions", FACT_STAGING)
+
+    sinks.write_dimension(account_dimension(fact), f"{o}/dim_account", single_file=False)
+    sinks.write_dimension(merchant_dimension(fact), f"{o}/dim_merchant", single_file=False)
+    sinks.write_dimension(date_dimension(fact), f"{o}/dim_date")
+    tables = {"fact": fact, "dim_account": _read(spark, f"{o}/dim_account", DIM_ACCOUNT_STAGING),
+              "dim_merchant": _read(spark, f"{o}/dim_merchant", DIM_MERCHANT_STAGING), "dim_date": _read(spark, f"{o}/dim_date", DIM_DATE)}
+    rows = {k: df.count() for k, df in tables.items()}
+    rules = rule_counts(raw, strict_types=strict_types).first().asDict()
+    passed = rules.pop("passed")
+    report = {**rules, "dropped_duplicates": passed - rows["fact"], "rows_out": rows["fact"],
+              "dropped": rules["rows_in"] - rows["fact"], "rows": rows}
     if validate:
-        report["validation"] = Q.assert_ok(Q.validate_staging(fact, dim_account))
-    sinks.write_dimension(counted(dim_date_from_fact(fact), "dim_date"), f"{o}/dim_date")
-    sinks.write_dimension(counted(dim_merchant_from_fact(fact), "dim_merchant"),
-                          f"{o}/dim_merchant", single_file=False)
-    sinks.write_dimension(counted(dim_account, "dim_account"), f"{o}/dim_account", single_file=False)
-    report["rows"] = {k: v.get["rows"] for k, v in counts.items()}
+        report["validation"] = Q.assert_ok(Q.validate_staging(fact, tables["dim_account"]))
     spark.createDataFrame([(str(report),)], "report string").coalesce(1) \
         .write.mode("overwrite").text(f"{o}/{VALIDATED_MARKER}")
     return report
 
 
+def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table that a job wrote; an empty one has no files to take a schema from."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_staged(spark: SparkSession, path: str) -> Staged:
     p = path.rstrip("/")
     if not sinks.path_exists(spark, f"{p}/{VALIDATED_MARKER}"):
         raise FileNotFoundError(f"{p} is not a complete, validated staging folder")
-    r = spark.read
-    return Staged(conform(r.parquet(f"{p}/dim_account"), DIM_ACCOUNT_STAGING),
-                  conform(r.parquet(f"{p}/dim_merchant"), DIM_MERCHANT_STAGING),
-                  conform(r.parquet(f"{p}/dim_date"), DIM_DATE),
-                  conform(r.parquet(f"{p}/fact_transactions"), FACT_STAGING))
+
+    def table(name: str, schema) -> DataFrame:
+        return conform(_read(spark, f"{p}/{name}", schema), schema)
+
+    return Staged(table("dim_account", DIM_ACCOUNT_STAGING), table("dim_merchant", DIM_MERCHANT_STAGING),
+                  table("dim_date", DIM_DATE), table("fact_transactions", FACT_STAGING))
 
 
 def read_warehouse_state(spark: SparkSession, root: str) -> Warehouse | None:
@@ -80,7 +85,7 @@ def read_warehouse_state(spark: SparkSession, root: str) -> Warehouse | None:
     if acct is None:
         return None
     fact_path = f"{r}/fact_transactions"
-    fact = spark.read.parquet(fact_path) if sinks.path_exists(spark, fact_path) else None
+    fact = _read(spark, fact_path, FACT_TRANSACTIONS) if sinks.path_exists(spark, fact_path) else None
     return Warehouse(fact, acct, sinks.read_latest(spark, f"{r}/dim_merchant"),
                      sinks.read_latest(spark, f"{r}/dim_date"),
                      spark.read.parquet(f"{r}/dim_transaction_type"))
@@ -95,46 +100,69 @@ def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
 
 def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str) -> dict:
     """Date (insert-if-new) -> merchant (type 1) -> account (type 2) -> fact
-    (resolve keys, replace the batch's days). Dimensions are written as new
-    versions and read back before the fact resolution, which cuts lineage."""
+    (resolve keys, replace the staged days).
+
+    Everything is written where no reader looks: dimensions as unpublished
+    versions, facts in a folder of their own. The constraints are then checked
+    on what was written, and only a batch that keeps them is published. A
+    ``batch_ts`` earlier than a stored version is refused; the same one again
+    is allowed if it changes no version that started with it (a replay).
+    """
     r = root.rstrip("/")
     state = read_warehouse_state(spark, r)
     if state is None:
         sinks.write_dimension(dim_transaction_type(spark), f"{r}/dim_transaction_type")
+    else:
+        newest = state.dim_account.agg(F.max("effective_start").cast("string")).first()[0]
+        if newest is not None and _later(newest, batch_ts):
+            raise ValueError(f"batch {batch_ts} is earlier than the newest stored version, {newest}")
     types = spark.read.parquet(f"{r}/dim_transaction_type")
 
     dates = W.insert_if_new(state.dim_date if state else None, staged.dim_date, "date_key")
-    date_inserted = dates.inserted.count()
-    sinks.write_version(dates.state, f"{r}/dim_date", files=1)
-
     merchants = W.type1_upsert(state.dim_merchant if state else None, staged.dim_merchant)
-    sinks.write_version(merchants.state, f"{r}/dim_merchant")
-
     accounts = W.scd2_merge(state.dim_account if state else None, staged.dim_account, batch_ts)
-    # the change report is observed on the write: versions closed and opened
-    # at this batch_ts (batch timestamps increase from load to load)
-    acct_obs = Observation("accounts")
+    new = {"dim_date": sinks.write_version(dates.state, f"{r}/dim_date", files=1, publish=False),
+           "dim_merchant": sinks.write_version(merchants.state, f"{r}/dim_merchant", publish=False),
+           "dim_account": sinks.write_version(accounts.state, f"{r}/dim_account", publish=False)}
+    dims = {k: _read(spark, path, {"dim_date": DIM_DATE, "dim_merchant": DIM_MERCHANT, "dim_account": DIM_ACCOUNT}[k]) for k, path in new.items()}
+
+    incoming_path = f"{r}/_incoming"
+    sinks.write_fact(W.resolve_fact(staged.fact, dims["dim_account"], dims["dim_merchant"], types, batch_ts), incoming_path, replace_days_only=False)
+    incoming = _read(spark, incoming_path, FACT_TRANSACTIONS)
+    audit = W.unresolved_counts(staged.fact, dims["dim_account"], types).first().asDict()
+    audit["inserted"] = incoming.count()
+    audit["fan_out"] = audit["inserted"] + audit["unresolved_type"] + audit["unresolved_account"] - audit["staged"]
+    tables = {**dims, "fact_transactions": incoming, "dim_transaction_type": types}
+    Q.assert_ok(reduce(DataFrame.unionByName, (
+        Q.domain_checks(dims["dim_date"], incoming), Q.uniqueness_checks(tables), Q.foreign_key_checks(tables), Q.not_null_checks(tables))))
+    if audit["fan_out"]:
+        raise ValueError(f"facts multiply in the key lookup: {audit}")
+
     ts = F.lit(batch_ts).cast("timestamp_ntz")
-    acct_state = accounts.state.observe(
-        acct_obs, F.count_if(F.col("effective_end") == ts).cast("long").alias("closed"),
-        F.count_if(F.col("effective_start") == ts).cast("long").alias("opened"))
-    acct_path = sinks.write_version(acct_state, f"{r}/dim_account")
-    m = acct_obs.get
+    m = dims["dim_account"].agg(F.count_if(F.col("effective_end") == ts).alias("closed"), F.count_if(F.col("effective_start") == ts).alias("opened")).first()
     changes = {"closed_and_reopened": m["closed"], "inserted_new": m["opened"] - m["closed"]}
-
-    acct = spark.read.parquet(acct_path)
-    merch = sinks.read_latest(spark, f"{r}/dim_merchant")
-    deleted = 0
-    if state is not None and state.fact_transactions is not None:
-        deleted = W.rows_on_batch_days(state.fact_transactions, staged.fact).first()[0]
-    fact_obs = Observation("fact")
-    facts = W.resolve_fact(staged.fact, acct, merch, types, batch_ts, observation=fact_obs)
-    sinks.write_fact(facts, f"{r}/fact_transactions", replace_days_only=True)
-    audit = dict(fact_obs.get)
-    audit["deleted"] = deleted
+    date_inserted = dims["dim_date"].count() - (state.dim_date.count() if state else 0)
+    days = [d[0] for d in staged.fact.select("partition_date").distinct().collect()]  # at most 31
+    filled = {d[0] for d in incoming.select("partition_date").distinct().collect()}
+    audit["deleted"] = 0
+    if state is not None and state.fact_transactions is not None and days:
+        audit["deleted"] = state.fact_transactions.filter(F.col("partition_date").isin(days)).count()
+
+    for path in new.values():
+        sinks.publish_version(spark, path)
+    fact_path = f"{r}/fact_transactions"
+    # already balanced by day: copied without a shuffle
+    (incoming.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("partition_date").parquet(fact_path))
+    sinks.remove_days(spark, fact_path, [d for d in days if d not in filled])
+    sinks.remove(spark, incoming_path)
     return {"dates_inserted": date_inserted, "accounts": changes, "fact": audit}
 
 
+def _later(a: str, b: str) -> bool:
+    """Whether timestamp ``a`` lies after ``b``."""
+    return datetime.datetime.fromisoformat(a) > datetime.datetime.fromisoformat(b)
+
+
 def write_dashboard_mart(wh: Warehouse, path: str) -> None:
     """The pre-aggregated dashboard feed (day x region x type), one folder per
     day; a rerun replaces only the days present in the warehouse."""

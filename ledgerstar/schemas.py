@@ -28,7 +28,7 @@ TRANSACTION_TYPES = [
     ("PAYMENT", "Online", "Payment made to a merchant"),
     ("TRANSFER", "Wire", "Funds transferred between accounts"),
 ]
-VALID_TYPE_CODES = ["PAYMENT", "TRANSFER", "CASH_OUT", "CASH_IN", "DEBIT"]
+VALID_TYPE_CODES = [code for code, _, _ in TRANSACTION_TYPES]
 
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 MONTH_NAMES = [
@@ -116,7 +116,7 @@ DIM_TRANSACTION_TYPE = T.StructType([
 ])
 
 DIM_ACCOUNT = T.StructType([
-    T.StructField("account_key", T.LongType(), False),
+    T.StructField("account_key", T.StringType(), False),
     T.StructField("account_id", T.StringType(), False),
     T.StructField("region", T.StringType(), True),
     T.StructField("account_status", T.StringType(), False),
@@ -126,19 +126,19 @@ DIM_ACCOUNT = T.StructType([
 ])
 
 DIM_MERCHANT = T.StructType([
-    T.StructField("merchant_key", T.LongType(), False),
+    T.StructField("merchant_key", T.StringType(), False),
     T.StructField("merchant_id", T.StringType(), False),
     T.StructField("merchant_category", T.StringType(), True),
     T.StructField("region", T.StringType(), True),
 ])
 
 FACT_TRANSACTIONS = T.StructType([
-    T.StructField("transaction_key", T.LongType(), False),
+    T.StructField("transaction_key", T.StringType(), False),
     T.StructField("date_key", T.LongType(), False),
     T.StructField("transaction_type_key", T.IntegerType(), False),
-    T.StructField("orig_account_key", T.LongType(), False),
-    T.StructField("dest_account_key", T.LongType(), True),
-    T.StructField("dest_merchant_key", T.LongType(), True),
+    T.StructField("orig_account_key", T.StringType(), False),
+    T.StructField("dest_account_key", T.StringType(), True),
+    T.StructField("dest_merchant_key", T.StringType(), True),
     T.StructField("amount", MONEY, False),
     T.StructField("balance_before_orig", MONEY, True),
     T.StructField("balance_after_orig", MONEY, True),

@@ -23,6 +23,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; none there is no error."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
     fs, p = _fs(spark, root)
     if not fs.exists(p):
@@ -44,16 +50,31 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(f"{root.rstrip('/')}/v={versions[-1]}")
 
 
-def write_version(df: DataFrame, root: str, files: int | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``root``."""
+def write_version(df: DataFrame, root: str, files: int | None = None, publish: bool = True) -> str:
+    """Write ``df`` as the next version of the table at ``root``.
+
+    Without ``publish`` no reader sees it until ``publish_version``; a later
+    write replaces an unpublished version.
+    """
     spark = df.sparkSession
     versions = committed_versions(spark, root)
     path = f"{root.rstrip('/')}/v={(versions[-1] + 1) if versions else 1}"
     out = df.coalesce(files) if files else df.hint("rebalance")
-    out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(publish).lower()).parquet(path)
     return path
 
 
+def publish_version(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, f"{path}/_SUCCESS")
+    fs.create(p, True).close()
+
+
+def remove_days(spark: SparkSession, path: str, days: list) -> None:
+    """Delete whole days of a day-partitioned fact."""
+    for day in days:
+        remove(spark, f"{path.rstrip('/')}/partition_date={day}")
+
+
 def write_dimension(df: DataFrame, path: str, single_file: bool = True) -> None:
     """Full overwrite. One file for the small dimensions; size-balanced
     files (AQE rebalance) for a dimension that grows with the data."""
