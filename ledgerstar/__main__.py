@@ -34,10 +34,12 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--warehouse", required=True)
     q.add_argument("name")
     q.add_argument("--limit", type=int, default=100, help="rows to print")
+    q.add_argument("--output", default=None, help="write the whole result as Parquet to this folder")
     s = sub.add_parser("sql")
     s.add_argument("--warehouse", required=True)
     s.add_argument("script")
     s.add_argument("--limit", type=int, default=100, help="rows to print per statement")
+    s.add_argument("--output", default=None, help="write each statement's whole result as Parquet to a folder n=1, n=2 ... in this one")
     a = p.parse_args(argv)
 
     salt = os.environ.get("MASKING_SALT")
@@ -60,13 +62,20 @@ def main(argv: list[str] | None = None) -> int:
             ts = a.batch_ts or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
             print(jobs.run_load(spark, jobs.read_staged(spark, a.input), a.warehouse, ts))
         elif a.cmd == "query":
-            analytics.QUERIES[a.name](jobs.read_warehouse(spark, a.warehouse)).show(a.limit, False)
+            result = analytics.QUERIES[a.name](jobs.read_warehouse(spark, a.warehouse))
+            if a.output:
+                result.write.mode("overwrite").parquet(a.output)
+            else:
+                result.show(a.limit, False)
         elif a.cmd == "sql":
             from .plans.sqlviews import register_views, run_script
             register_views(jobs.read_warehouse(spark, a.warehouse))
             text = spark.sparkContext.wholeTextFiles(a.script).values().first()
-            for df in run_script(spark, text):
-                df.show(a.limit, False)
+            for n, df in enumerate(run_script(spark, text), start=1):
+                if a.output:
+                    df.write.mode("overwrite").parquet(f"{a.output.rstrip('/')}/n={n}")
+                else:
+                    df.show(a.limit, False)
         return 0
     finally:
         spark.stop()

@@ -278,6 +278,10 @@ SELECT type_code, channel_category, txn_count,
        {half_up_avg('value', 'txn_count')} AS avg_txn_value
 FROM g ORDER BY total_value DESC""")
 
+QUERY_SQL["x10_same_day_drops"] = with_star(f""",
+{_DAILY}
+SELECT calendar_date, txn_count, {_r2('value')} AS total_value FROM daily""")
+
 QUERY_SQL["q1_4_hourly"] = with_star(f""",
 g AS (
     SELECT d.hour_of_day, COUNT(*) AS txn_count, SUM(f.amount) AS value

@@ -132,22 +132,19 @@ def x4_counterparties(wh: Warehouse) -> DataFrame:
                                        round_double(F.col("_v"), 2).alias("total_value"))
 
 
-def x5_account_recent(wh: Warehouse, account_id: DataFrame | None = None,
+def x5_account_recent(wh: Warehouse, account_id: DataFrame,
                       days: int = FOCUS_DAYS) -> DataFrame:
     """One account's daily activity over the last ``days`` days of data.
 
     The date range is a filter on ``partition_date``, so a day-partitioned
     fact table is pruned to those folders before any row is read.
     """
-    spark = wh.fact_transactions.sparkSession
-    focus = account_id if account_id is not None else spark.range(1).select(
-        mask_id(F.lit(FOCUS_RAW_ID), TEST_SALT).alias("account_id"))
     last = wh.dim_date.agg(F.max("calendar_date").alias("_last"))
-    keys = wh.dim_account.join(F.broadcast(focus), "account_id").select(
+    keys = wh.dim_account.join(account_id, "account_id").select(
         F.col("account_key").alias("orig_account_key"), "account_id")
     recent = wh.fact_transactions.filter(
         F.col("partition_date") > F.date_sub(last.scalar(), days))
-    return (recent.join(F.broadcast(keys), "orig_account_key")
+    return (recent.join(keys, "orig_account_key")
             .groupBy("account_id", F.col("partition_date").alias("calendar_date"))
             .agg(F.count(F.lit(1)).alias("txns"), F.sum("amount").alias("_v"))
             .select("account_id", "calendar_date", "txns", round_double(F.col("_v"), 2).alias("total_value")))
@@ -217,7 +214,6 @@ EXTRA_FUNCS = {
     "x2_off_hours_accounts": x2_off_hours_accounts,
     "x3_cohorts": x3_cohorts,
     "x4_counterparties": x4_counterparties,
-    "x5_account_recent": x5_account_recent,
     "x6_zero_balance_profile": x6_zero_balance_profile,
     "x7_rule_flag": x7_rule_flag,
     "x8_dashboard_mart": x8_dashboard_mart,
@@ -227,7 +223,7 @@ EXTRA_FUNCS = {
 
 def _driver(fn):
     def run(spark, sf_dir):
-        return fn(star_from_testdata(spark, sf_dir))
+        return fn(star_from_testdata(spark, sf_dir, TEST_SALT))
     run.__name__ = fn.__name__
     return run
 
@@ -235,19 +231,35 @@ def _driver(fn):
 EXTRA_QUERIES = {k: _driver(v) for k, v in EXTRA_FUNCS.items()}
 
 
-_INCREMENTAL: dict[tuple[str, str], str] = {}
+def x5_focus_account(spark, sf_dir):
+    """The test account of the driver key, masked with the test salt."""
+    focus = spark.range(1).select(mask_id(F.lit(FOCUS_RAW_ID), TEST_SALT).alias("account_id"))
+    return x5_account_recent(star_from_testdata(spark, sf_dir, TEST_SALT), focus)
 
 
+EXTRA_QUERIES["x5_account_recent"] = x5_focus_account
+
 def x10_incremental_type_mix(spark, sf_dir):
     """The type/channel mix (Q1.3) over a warehouse filled by the streaming
     incremental job instead of the batch jobs: the results must agree."""
     from ..streaming.incremental import run_events_incremental
     from .analytics import q1_3_type_mix
     from .jobs import read_warehouse
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _INCREMENTAL:
-        _INCREMENTAL[key] = run_events_incremental(spark, sf_dir)
-    return q1_3_type_mix(read_warehouse(spark, f"{_INCREMENTAL[key]}/warehouse"))
+    root = run_events_incremental(spark, sf_dir, TEST_SALT)
+    return q1_3_type_mix(read_warehouse(spark, f"{root}/warehouse"))
+
+
+def x10_same_day_drops(spark, sf_dir):
+    """Rows and value per day after two drops that both hold every day: as if
+    all rows had come at once."""
+    from ..streaming.incremental import run_events_in_two_drops
+    from .jobs import read_warehouse
+    wh = read_warehouse(spark, f"{run_events_in_two_drops(spark, sf_dir, TEST_SALT)}/warehouse")
+    return (wh.fact_transactions.groupBy(F.col("partition_date").alias("calendar_date"))
+            .agg(F.count(F.lit(1)).alias("txn_count"), round_double(F.sum("amount"), 2).alias("total_value")))
+
+
+EXTRA_QUERIES["x10_same_day_drops"] = x10_same_day_drops
 
 
 EXTRA_QUERIES["x10_incremental_type_mix"] = x10_incremental_type_mix

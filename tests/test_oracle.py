@@ -41,13 +41,13 @@ def duck():
 
 
 def _names():
-    import __spark_entry__ as E
-    return sorted(E.queries())
+    from ledgerstar.registry import QUERIES
+    return sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    import __spark_entry__ as E
-    assert set(E.oracle_sql()) == set(E.queries())
+    from ledgerstar.registry import ORACLE_SQL, QUERIES
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
 def test_entry_smoke(spark):
