@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .percentiles import value_bucket
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -84,6 +85,54 @@ def global_ntile(df: DataFrame, order: list[Column], k: int, name: str = "ntile"
         .drop("_rn", "__rn_total")
 
 
+def ntile_by_counts(df: DataFrame, value: Column, ties: list[str], k: int, name: str = "ntile") -> DataFrame:
+    """NTILE(k) over the whole frame by ``value`` ascending, then ``ties``.
+
+    NTILE needs only the last row of each of the first k - 1 tiles. Those rows
+    are found by counting, in ever narrower parts: buckets of the value, the
+    values of the buckets that hold a tile's end, the first characters of the
+    first tie among rows of such a value, and at last the rows themselves.
+    The k - 1 keys found are one row that every task gets; a row's tile is 1
+    and the number of ends before it. Nothing is sorted as a whole, and
+    nothing is written.
+
+    ``value`` is a number and not NULL, ``ties`` end in a unique key, and the
+    first of them is a string whose first characters spread the rows.
+    """
+    v = df.withColumn("_v", value)
+    upto = [Window.unboundedPreceding, 0]
+
+    def narrowed(targets: DataFrame, counts: DataFrame, by: list[str], key: str) -> DataFrame:
+        """Targets (j, off, *by) to the ``key`` where the count within ``by`` reaches off."""
+        w = Window.partitionBy(*by).orderBy(key).rowsBetween(*upto)
+        c = counts.select(*by, key, "_n", F.sum("_n").over(w).alias("_cum"))
+        t = targets.select("_j", "_off", *[F.col(b).alias(f"_t{b}") for b in by])
+        on = [F.col(b) == F.col(f"_t{b}") for b in by]
+        return (c.join(t, on).where((F.col("_cum") >= F.col("_off")) & (F.col("_cum") - F.col("_n") < F.col("_off")))
+                .select("_j", (F.col("_off") - (F.col("_cum") - F.col("_n"))).alias("_off"), *by, key))
+
+    def within(targets: DataFrame, by: list[str]) -> DataFrame:
+        t = targets.select(*[F.col(b).alias(f"_t{b}") for b in by]).distinct()
+        return rows.join(t, [F.col(b) == F.col(f"_t{b}") for b in by], "left_semi")
+
+    rows = v.select("_v", *ties).withColumn("_b", value_bucket(F.col("_v"))).withColumn("_p", F.substring(ties[0], 1, 4))
+    hist = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    ordered = hist.select("_b", "_n", F.sum("_n").over(Window.orderBy("_b").rowsBetween(*upto)).alias("_cum"),
+                          F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    j = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("_j")
+    end = F.expr(f"_j * (_all div {k}) + least(_j, _all % {k})")
+    targets = (ordered.select("*", j).withColumn("_end", end)
+               .where("_cum >= _end and _cum - _n < _end").select("_j", F.expr("_end - (_cum - _n)").alias("_off"), "_b"))
+    targets = narrowed(targets, within(targets, ["_b"]).groupBy("_b", "_v").agg(F.count(F.lit(1)).alias("_n")), ["_b"], "_v")
+    targets = narrowed(targets, within(targets, ["_v"]).groupBy("_v", "_p").agg(F.count(F.lit(1)).alias("_n")), ["_v"], "_p")
+    last = within(targets, ["_v", "_p"]).withColumn("_rn", F.row_number().over(Window.partitionBy("_v", "_p").orderBy(*[F.col(t).asc_nulls_first() for t in ties])))
+    t = targets.select(F.col("_v").alias("_tv"), F.col("_p").alias("_tp"), "_off")
+    ends = last.join(t, (F.col("_v") == F.col("_tv")) & (F.col("_p") == F.col("_tp")) & (F.col("_rn") == F.col("_off")))
+    one = ends.groupBy().agg(F.collect_list(F.struct("_v", *ties)).alias("_ends"))  # k - 1 keys
+    tile = F.size(F.filter(F.col("_ends"), lambda e: e < F.struct("_v", *ties))) + 1
+    return v.crossJoin(F.broadcast(one)).select(*df.columns, tile.alias(name))
+
+
 def global_rank(df: DataFrame, key: list[str], descending: bool = False,
                 tie_breaker: list[str] | None = None, name: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:

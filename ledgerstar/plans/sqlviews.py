@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .star import Warehouse
@@ -31,6 +33,11 @@ def split_statements(text: str) -> list[str]:
             j = text.find("\n", i)
             i = len(text) if j < 0 else j
             continue
+        elif text.startswith("/*", i):
+            j = text.find("*/", i + 2)
+            i = len(text) if j < 0 else j + 2
+            buf.append(" ")
+            continue
         elif ch == ";":
             stmt = "".join(buf).strip()
             if stmt:
@@ -45,5 +52,15 @@ def split_statements(text: str) -> list[str]:
     return out
 
 
+_BARE_NUMERIC = re.compile(r"(?:::|\bas)\s*(?:numeric|decimal)\b(?!\s*\()", re.I)
+
+
 def run_script(spark: SparkSession, text: str) -> list[DataFrame]:
-    return [spark.sql(s) for s in split_statements(text)]
+    """A frame per statement. A cast to ``numeric`` without a precision keeps
+    all digits in PostgreSQL and none after the point in Spark, so it is
+    refused: write ``decimal(38, 6)``, or what the values need."""
+    statements = split_statements(text)
+    for s in statements:
+        if _BARE_NUMERIC.search(s):
+            raise ValueError(f"cast to numeric without precision and scale in: {s[:200]}")
+    return [spark.sql(s) for s in statements]

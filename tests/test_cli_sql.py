@@ -32,6 +32,30 @@ def test_sql_on_views_matches_dataframe_query(spark):
     assert got == ref
 
 
+def test_block_comments_and_bare_numeric(spark):
+    from ledgerstar.plans.sqlviews import run_script
+    assert split_statements("SELECT 1 /* a; b */ + 1; SELECT '/*' AS s") == ["SELECT 1   + 1", "SELECT '/*' AS s"]
+    for bad in ("SELECT 1.555::numeric", "SELECT CAST(1.5 AS NUMERIC)", "SELECT cast(x as decimal )"):
+        with pytest.raises(ValueError, match="without precision"):
+            run_script(spark, bad)
+    assert str(run_script(spark, "SELECT 1.555::decimal(38, 6) AS x")[0].first().x) == "1.555000"
+
+
+def test_whole_results_are_written(spark, tmp_dir, monkeypatch):
+    from ledgerstar import __main__ as cli
+    from ledgerstar.plans import jobs
+    wh = star_from_testdata(spark, SF, "salt")
+    monkeypatch.setattr("ledgerstar.session.build_spark", lambda **k: spark)
+    monkeypatch.setattr(jobs, "read_warehouse", lambda *a: wh)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    assert cli.main(["query", "--warehouse", "w", "--limit", "1", "--output", f"{tmp_dir}/q", "q1_4_hourly"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/q").count() == analytics.q1_4_hourly(wh).count() > 1
+    with open(f"{tmp_dir}/two.sql", "w") as f:
+        f.write("SELECT * FROM dim_date; SELECT 1 AS x")
+    assert cli.main(["sql", "--warehouse", "w", "--output", f"{tmp_dir}/s", f"{tmp_dir}/two.sql"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/s/n=1").count() == wh.dim_date.count()
+
+
 def test_transform_refuses_without_salt(tmp_dir):
     env = {k: v for k, v in os.environ.items() if k != "MASKING_SALT"}
     r = subprocess.run([sys.executable, "-m", "ledgerstar", "transform", "--input", tmp_dir,

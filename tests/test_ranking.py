@@ -66,3 +66,19 @@ def test_rank_with_a_value_held_by_a_third_of_rows(spark):
         ref = df.withColumn("rk", F.rank().over(Window.orderBy(o)))
         assert sorted((r["id"], r["rk"]) for r in mine.collect()) == \
             sorted((r["id"], r["rk"]) for r in ref.collect())
+
+
+def test_ntile_by_counts_equals_the_window(spark, tmp_dir):
+    import os
+    import random
+
+    from ledgerstar.operators.ranking import ntile_by_counts
+    r = random.Random(4)
+    for n, k, values in ((0, 5, [1]), (1, 5, [3]), (3, 5, [1, 2]), (7, 3, [0]), (500, 10, [1]), (997, 10, [-5, 0, 1, 2, 1000]), (800, 4, range(10_000))):
+        rows = [(f"{r.randrange(16**6):06x}{i}", None if r.random() < 0.3 else "x", r.choice(list(values))) for i in range(n)]
+        df = spark.createDataFrame(rows, "id string, region string, v long")
+        before = set(os.listdir(spark.sparkContext.getCheckpointDir().replace("file:", "")))
+        got = {x.id: x.t for x in ntile_by_counts(df, F.col("v"), ["id", "region"], k, "t").collect()}
+        assert set(os.listdir(spark.sparkContext.getCheckpointDir().replace("file:", ""))) == before
+        want = df.withColumn("t", F.ntile(k).over(Window.orderBy("v", "id", "region"))).collect()
+        assert got == {x.id: x.t for x in want}, (n, k)
