@@ -120,7 +120,9 @@ def _named(attributes: str) -> set[str]:
     words: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
         if m[1].lower() in ("class", "id", "role"):
-            words.update(x.lower() for x in _NAME_PART.findall(m[2] or m[3] or m[4] or ""))
+            value = m[2] or m[3] or m[4] or ""
+            words.update(x.lower() for x in _NAME_PART.findall(value))
+            words.update(re.split(r"[^a-z0-9]+", value.lower()))
         elif m[1].lower() == "style" and _HIDDEN.search(m[2] or m[3] or m[4] or ""):
             words.add("#hidden")
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes):

@@ -83,9 +83,13 @@ def _decoded(fields: list[tuple[str, str]], body: bytes) -> bytes:
     if "chunked" in (_get(fields, "transfer-encoding") or "").lower():
         body = _dechunked(body)
     coding = (_get(fields, "content-encoding") or "").lower()
-    if coding in ("gzip", "x-gzip"):
-        return zlib.decompressobj(31).decompress(body)
-    return zlib.decompressobj().decompress(body) if coding == "deflate" else body
+    if coding not in ("gzip", "x-gzip", "deflate"):
+        return body
+    reader = zlib.decompressobj(15 if coding == "deflate" else 31)
+    out = reader.decompress(body)
+    if not reader.eof:
+        raise zlib.error("the coded payload ends early")
+    return out
 
 
 def plain_text(page: str) -> str:
