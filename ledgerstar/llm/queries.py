@@ -91,7 +91,7 @@ doc_windows as (
   select doc_id, m, k, array_to_string(w[k:k + m - 1], ' ') as ws
   from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as k from d, (select distinct m from item_windows))),
 hits as (select doc_id, k, m, item_id from doc_windows join item_windows using (m, ws)),
-words_hit as (select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(range(k, k + m)) as at from hits) group by doc_id),
+words_hit as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(k, k + m)) as pos from hits) group by doc_id),
 items_hit as (select doc_id, list_sort(list(distinct item_id::varchar)) as ids from hits group by doc_id)
 select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(ids), 0)::bigint as n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, n_hit is not null as contaminated
