@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_out, arrow_rows
-from .tokens import ChunkEncoder
+from .tokens import encoded_rows
 
 WINDOW = 4096
 #: A partial window that lacks at most so many tokens is padded, not cut.
@@ -105,12 +105,12 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
                         ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, levels = ChunkEncoder(tokenizer), Levels(window)
+        levels = Levels(window)
         first = TaskContext.get().partitionId() << 32
 
         def sequences():
-            for doc_id, text in arrow_rows(batches):
-                ids = np.frombuffer(encoder.ids(text) + end_id.to_bytes(4, "little"), "<u4")
+            for doc_id, raw in encoded_rows(tokenizer, arrow_rows(batches)):
+                ids = np.frombuffer(raw + end_id.to_bytes(4, "little"), "<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start:start + window]
                     full = levels.place(len(part), (doc_id, len(ids), start, part))

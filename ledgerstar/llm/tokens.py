@@ -1,10 +1,11 @@
 """Fast exact encoding with a public tokenizer.
 
 A byte-level or word-level BPE never merges across the borders that its
-pre-tokenizer sets. Texts are cut at such borders, each distinct chunk is
-encoded once per task by the tokenizers library, and a text's ids are the
-chunks' ids in order. Texts with white space that makes the cut doubtful are
-encoded whole.
+pre-tokenizer sets. Texts are cut at such borders, mostly at spaces; a chunk
+is parted into pieces by the tokenizer's own pattern, the model of the
+tokenizers library encodes the pieces, and the ids of chunks are remembered
+for the next texts. Chunks with letters beyond the Latin blocks, and texts
+whose white space makes the cut doubtful, go through the library whole.
 """
 
 from __future__ import annotations
@@ -12,16 +13,52 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import regex
 
-#: Distinct chunks remembered at a time; beyond it the memory starts anew.
-CACHE = 400_000
-_TO_SPACE = re.compile(r"\s ")
-_ODD = re.compile("[\x1c-\x1f]")
+#: Chunks remembered in each of two generations; when the young one is full it becomes the old one.
+GENERATION = 250_000
+#: The pattern of the byte-level pre-tokenizer, which the tokenizer files do not spell out (fixed value).
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: From here on a chunk is left to the library: below, no character combines with another or is cased by its neighbours.
+_FAR = "ɐ"
+#: Marks that are a piece of their own behind letters, in either pattern.
+_MARKS = frozenset(".,|!?:;")
+_ODD = re.compile("[\x1c-\x1f]")  # white space to Python, none to the tokenizers
 _CHUNK = re.compile(r"\s*\S+|\s+\Z")
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: a printable character for every byte. Bytes
+    that print stand for themselves, the others follow from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Doubtful(Exception):
+    """A chunk that cannot be encoded by itself."""
+
+
+class _Known(dict):
+    """Chunk -> ids. What is missing is looked up in the generation before, or learned."""
+
+    def __init__(self, learn, old: dict):
+        self.learn, self.old = learn, old
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.learn(key)
+        self[key] = found
+        return found
+
+
 class ChunkEncoder:
     """``ids(text)`` as little-endian unsigned 32-bit bytes, no special tokens
     added; their strings in a text are ordinary text."""
@@ -33,43 +70,83 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            normalizer = json.load(f).get("normalizer")
-        #: white space of any kind separates and is dropped; else it stays with what follows
-        self.drops_space = normalizer is not None
-        self.cache: dict = {}
-
-    def _learn(self, chunks: list[str], keys: list) -> None:
-        if len(self.cache) + len(chunks) > CACHE:
-            self.cache.clear()
-        for key, e in zip(keys, self.tokenizer.encode_batch(chunks, add_special_tokens=False), strict=True):
-            self.cache[key] = np.array(e.ids, "<u4").tobytes()
+            settings = json.load(f)
+        #: with a normaliser, white space of any kind separates and is dropped; else it stays with what follows
+        self.drops_space = settings.get("normalizer") is not None
+        steps = settings["pre_tokenizer"].get("pretokenizers", [])
+        self.pieces_of = regex.compile(next((s["pattern"]["Regex"] for s in steps if s["type"] == "Split"), BYTE_LEVEL)).findall
+        self.letters = byte_letters()
+        self.model = self.tokenizer.model.tokenize
+        self.known = _Known(self._word if self.drops_space else self._spaced, {})
+        self.marks = {m: self._piece(m) for m in _MARKS}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _joined(self, parts: list, chunk) -> bytes:
-        try:
-            return b"".join(map(self.cache.__getitem__, parts))
-        except KeyError:
-            pass
-        new = [p for p in set(parts) if p not in self.cache]
-        self._learn([chunk(p) for p in new], new)
-        if any(p not in self.cache for p in parts):  # the memory was cleared meanwhile
-            new = list(set(parts))
-            if len(new) > CACHE:
-                return b"".join(self._whole(chunk(p)) for p in parts)
-            self._learn([chunk(p) for p in new], new)
-        return b"".join(map(self.cache.__getitem__, parts))
+    def _piece(self, piece: str) -> bytes:
+        return self._shown(piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters))
+
+    def _shown(self, piece: str) -> bytes:
+        """The ids of a piece in the byte-level alphabet, where ASCII letters stand for themselves."""
+        return array("I", [t.id for t in self.model(piece)]).tobytes()
+
+    def _word(self, key: str) -> bytes:
+        """A chunk without white space."""
+        chunk = key.lower()
+        if not chunk.isascii() and max(chunk) >= _FAR:
+            return self._whole(key)
+        if chunk.isalpha():
+            return self._piece(chunk)
+        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+            return self._piece(chunk[:-1]) + self.marks[chunk[-1]]
+        return b"".join(map(self._piece, self.pieces_of(chunk)))
+
+    def _spaced(self, key: str) -> bytes:
+        """A chunk that begins with a space, which ``key`` leaves out."""
+        if not key.isascii() and max(key) >= _FAR:
+            return self._chunk(" " + key)
+        last = key[-1:]
+        letters = key[:-1] if last in _MARKS else key
+        if not letters.isalpha():
+            return self._chunk(" " + key)
+        ids = self._shown(self.letters[32] + letters) if letters.isascii() else self._piece(" " + letters)
+        return ids if letters is key else ids + self.marks[last]
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk[-1:].isspace() or _ODD.search(chunk):
+            raise _Doubtful
+        if not chunk.isascii() and max(chunk) >= _FAR:
+            return self._whole(chunk)
+        return b"".join(map(self._piece, self.pieces_of(chunk)))
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if len(self.known) > GENERATION:
+            self.known = _Known(self.known.learn, dict(self.known))
+        known = self.known.__getitem__
         if self.drops_space:
-            return self._joined(text.encode().split(), bytes.decode)
-        if _ODD.search(text):
-            return self._whole(text)
-        if _TO_SPACE.search(text):
-            return self._joined([(p,) for p in _CHUNK.findall(text)], lambda p: p[0])
+            return self._whole(text) if _ODD.search(text) else b"".join(map(known, text.split()))
         head, *rest = text.split(" ")
-        first = self._joined([(head,)], lambda p: p[0]) if head else b""
-        return first + self._joined(rest, lambda p: " " + p)
+        try:
+            return (self._chunk(head) if head else b"") + b"".join(map(known, rest))
+        except _Doubtful:  # a chunk ends in white space: part before the white space instead
+            *inner, last = _CHUNK.findall(text)
+            try:
+                return b"".join(map(self._chunk, inner)) + self._whole(last)
+            except _Doubtful:
+                return self._whole(text)
+
+
+def encoder(path: str) -> ChunkEncoder:
+    """The encoder of this Python process: what a worker learned in one task serves its next ones."""
+    kept = sys.modules.setdefault("_ledgerstar_encoders", types.ModuleType("_ledgerstar_encoders"))
+    if path not in kept.__dict__:
+        kept.__dict__[path] = ChunkEncoder(path)
+    return kept.__dict__[path]
+
+
+def encoded_rows(path: str, rows: Iterable[tuple]) -> Iterator[tuple]:
+    """(id, text) rows as (id, ids)."""
+    ids = encoder(path).ids
+    return ((name, ids(text)) for name, text in rows)

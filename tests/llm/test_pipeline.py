@@ -28,7 +28,8 @@ def test_stages_on_the_smallest_table(spark):
 
 def test_odd_rows(spark, frame, odd_texts, tmp_path):
     spark.createDataFrame([(1, "some words of a benchmark item that no document here has at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    good = "\n".join(f"This is a sentence of number {i} with quite a few ordinary words." for i in range(1, 8))
+    good = ("The river rose after a night of steady rain.\nFarmers near its banks moved their cattle to higher ground before dawn.\n"
+            "By noon water had covered two fields and part of the old road.\nNobody was hurt, though several cellars will need weeks to dry.")
     rows = [(*r, "en") for r in odd_texts] + [(500, good, "en"), (500, good, "en"), (501, good, None), (None, good, "en")]
     docs = frame(rows)
     for name, stage in cp.STAGES:
