@@ -27,25 +27,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_out, arrow_rows, release_shuffles, scratch_path, written
-from .tokens import ChunkEncoder
+from .tokens import encoded_rows
 
 SCALE = 16
-LANES = 1024
+LANES = 2048
 #: Steps between checkpoints; a step is a token on each lane.
 CHECKPOINT = 64
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 19
 _MAGIC = b"RANSBLK1"
 _HEAD = "<8sIIIIIIII"
-_LOW = np.uint64((1 << 16) - 1)
-_LIMIT = np.uint64(1 << 16)
+#: States and all that is added to them stay below 2**32, as no frequency exceeds 2**16 - 1.
+_LOW = np.uint32((1 << 16) - 1)
+_LIMIT = np.uint32(1 << 16)
+_HALF = np.uint32(16)
 
 
 class Table:
     """Symbols with a slot, their frequencies (sum 2**16), and the escape as the last symbol."""
 
     def __init__(self, ids: np.ndarray, freq: np.ndarray):
-        self.ids, self.freq = ids.astype(np.uint32), freq.astype(np.uint64)
-        self.cum = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
+        self.ids, self.freq = ids.astype(np.uint32), freq.astype(np.uint32)
+        self.cum = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint32)
         self.escape = len(ids)
         self.slot = np.repeat(np.arange(len(freq), dtype=np.uint32), freq.astype(np.int64))
         self.symbol = np.full(int(ids.max(initial=0)) + 2, self.escape, np.int64)
@@ -64,8 +66,10 @@ def make_table(ids: np.ndarray, counts: np.ndarray) -> Table:
     freq = np.floor(exact).astype(np.int64)
     left = size - int(freq.sum())
     if left < 1:  # the escape needs one slot
-        freq[np.argmax(freq)] -= 1
+        top = int(np.argmax(freq))
+        freq[top] -= 1
         left = 1
+        ids, exact, freq = (np.delete(a, top) for a in (ids, exact, freq)) if not freq[top] else (ids, exact, freq)
     rare = max(1, min(left, int(np.ceil(size - exact.sum()))))
     order = np.argsort(-(exact - freq), kind="stable")[:left - rare]
     freq[order] += 1
@@ -77,16 +81,16 @@ def encode_block(tokens: np.ndarray, docs: list[tuple], table: Table, lanes: int
     sym = table.symbols(tokens)
     escaped = tokens[sym == table.escape].astype("<u4")
     steps = -(-len(tokens) // lanes)
-    x = np.full(lanes, _LIMIT, np.uint64)
+    x = np.full(lanes, _LIMIT, np.uint32)
     words, marks = [None] * steps, {}
     for t in range(steps - 1, -1, -1):
         s = sym[t * lanes:(t + 1) * lanes]
         f, xs = table.freq[s], x[:len(s)]
-        over = xs >= f << np.uint64(16)
+        over = xs >= f << _HALF
         words[t] = (xs[over] & _LOW).astype("<u2")
-        xs = np.where(over, xs >> np.uint64(16), xs)
+        xs = np.where(over, xs >> _HALF, xs)
         q = xs // f
-        x[:len(s)] = (q << np.uint64(16)) + (xs - q * f) + table.cum[s]
+        x[:len(s)] = (q << _HALF) + (xs - q * f) + table.cum[s]
         if t % every == 0:
             marks[t] = x.astype("<u4")
     at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype("<u4")
@@ -129,7 +133,7 @@ class Block:
     def segment(self, k: int) -> np.ndarray:
         t0, word, esc, states = self.marks[k]
         t1 = self.marks[k + 1][0] if k + 1 < len(self.marks) else -(-self.n // self.lanes)
-        x, table = states.astype(np.uint64), self.table
+        x, table = states.astype(np.uint32), self.table
         out = np.empty(min(self.n, t1 * self.lanes) - t0 * self.lanes, np.int64)
         for t in range(t0, t1):
             m = min(self.lanes, self.n - t * self.lanes)
@@ -137,9 +141,9 @@ class Block:
             low = xs & _LOW
             s = table.slot[low]
             out[(t - t0) * self.lanes:(t - t0) * self.lanes + m] = s
-            xs = table.freq[s] * (xs >> np.uint64(16)) + low - table.cum[s]
+            xs = table.freq[s] * (xs >> _HALF) + (low - table.cum[s])
             under = np.flatnonzero(xs < _LIMIT)
-            xs[under] = (xs[under] << np.uint64(16)) | self.words[word:word + len(under)]
+            xs[under] = (xs[under] << _HALF) | self.words[word:word + len(under)]
             word += len(under)
             x[:m] = xs
         known = out != table.escape
@@ -158,18 +162,29 @@ class Block:
 
 def tokenize_in_order(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(shard, at, doc_id, n, ids): documents in ascending id order; shards
-    ascend too, ``at`` counts the shard's tokens before the document."""
+    ascend too, ``at`` counts the shard's tokens before the document; ids take
+    two bytes each in documents where all fit, else four. A last row of each
+    shard, with ``at`` -1, holds the counts of its tokens."""
     schema = pa.schema([("shard", pa.int64()), ("at", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = ChunkEncoder(tokenizer), TaskContext.get().partitionId()
+        shard = TaskContext.get().partitionId()
 
         def rows():
-            at = 0
-            for doc_id, text in arrow_rows(batches):
-                ids = encoder.ids(text) + end_id.to_bytes(4, "little")
-                yield shard, at, doc_id, len(ids) // 4, ids
-                at += len(ids) // 4
+            at, size, held, counts = 0, 0, [], np.zeros(0, np.int64)
+            for doc_id, raw in encoded_rows(tokenizer, arrow_rows(batches)):
+                ids = np.frombuffer(raw + end_id.to_bytes(4, "little"), "<u4")
+                n = len(ids)
+                yield shard, at, doc_id, n, (ids.astype("<u2") if ids.max() < 1 << 16 else ids).tobytes()
+                at += n
+                size += n
+                held.append(ids)
+                if size >= 1 << 20:
+                    size, held, counts = 0, [], _added(counts, np.bincount(np.concatenate(held)))
+            if held:
+                counts = _added(counts, np.bincount(np.concatenate(held)))
+            if at:
+                yield shard, -1, None, 0, zlib.compress(counts.astype("<i8").tobytes(), 1)
         return arrow_out(schema, rows(), weight=lambda r: len(r[4]))
 
     by = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -178,21 +193,32 @@ def tokenize_in_order(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
     return ordered.mapInArrow(run, "shard long, at long, doc_id long, n long, ids binary")
 
 
+def _unpacked(ids: bytes, n: int) -> np.ndarray:
+    """Stored ids: two bytes each if all fit, else four."""
+    return np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4")
+
+
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two count arrays, as long as the longer one."""
+    if len(a) < len(b):
+        a, b = b, a
+    out = a.astype(np.int64)
+    out[:len(b)] += b
+    return out
+
+
 def corpus_table(tokens: DataFrame) -> Table:
     """The frequency table of all tokens; it has as many rows as the vocabulary."""
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for (ids,) in arrow_rows(batches):
-            n = np.bincount(np.frombuffer(ids, "<u4"))
-            if len(n) > len(total):
-                total, n = n, total
-            total[:len(n)] += n
+        for (raw,) in arrow_rows(batches):
+            total = _added(total, np.frombuffer(zlib.decompress(raw), "<i8"))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], schema=schema)
 
-    counted = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas().sort_values("id")
+    counted = tokens.where("at = -1").select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas().sort_values("id")
     return make_table(counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.float64))
 
 
@@ -205,7 +231,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, block_
     Other columns are ignored; an empty table gives no blocks.
     """
     spark = docs.sparkSession
-    tokens = written(tokenize_in_order(docs, tokenizer, end_id), "tokens")
+    tokens = written(tokenize_in_order(docs, tokenizer, end_id), "tokens", compression="zstd")
     release_shuffles(spark)
     table = corpus_table(tokens)
     spark.createDataFrame([(table.ids.astype("<u4").tobytes(), table.freq.astype("<u4").tobytes())], "ids binary, freq binary").write.parquet(f"{path}/table")
@@ -226,18 +252,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, block_
             for shard, at, doc_id, n, ids in arrow_rows(batches):
                 here = before[shard] + at
                 if docs and (size >= block_tokens or here != start + size):
-                    yield start, size, len(docs), encode_block(np.frombuffer(b"".join(parts), "<u4"), docs, table)
+                    yield start, size, len(docs), encode_block(np.concatenate(parts), docs, table)
                     size, parts, docs = 0, [], []
                 if not docs:
                     start = here
                 size += n
-                parts.append(ids)
+                parts.append(_unpacked(ids, n))
                 docs.append((doc_id, n))
             if docs:
-                yield start, size, len(docs), encode_block(np.frombuffer(b"".join(parts), "<u4"), docs, table)
+                yield start, size, len(docs), encode_block(np.concatenate(parts), docs, table)
         return arrow_out(schema, rows(), weight=lambda r: len(r[3]))
 
-    tokens.select("shard", "at", "doc_id", "n", "ids").mapInArrow(run, "start long, n_tokens long, n_docs long, data binary").write.parquet(f"{path}/blocks")
+    tokens.where("at >= 0").select("shard", "at", "doc_id", "n", "ids").mapInArrow(run, "start long, n_tokens long, n_docs long, data binary").write.parquet(f"{path}/blocks")
     return table
 
 
