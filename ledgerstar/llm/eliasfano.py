@@ -98,9 +98,9 @@ class EliasFano:
     def successor(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """For each value, the first place in [start, end) that holds as much or more; end if none does."""
         values = values.astype(np.uint64)
-        high = (values >> np.uint64(self.low)).astype(np.int64)
-        want = values & np.uint64((1 << self.low) - 1)
         n_zeros = 64 * len(self.words) - int(self.ones[-1])
+        high = np.minimum(values >> np.uint64(self.low), np.uint64(n_zeros)).astype(np.int64)
+        want = values & np.uint64((1 << self.low) - 1)
         past = high >= n_zeros
         high = np.minimum(high, n_zeros - 1)
         lo = np.where(high > 0, self._before_zero(np.maximum(high - 1, 0)), 0)
@@ -118,69 +118,66 @@ class EliasFano:
 
 #: Codes per unit of log10; a code is -log10(p) times this, rounded.
 PER_UNIT = 2048
+#: The code of what is not in the trie.
+MISS = 65535
 
 
 def quantise(log10p: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(-log10p * PER_UNIT), 0, 65535).astype("<u2")
+    return np.clip(np.rint(-log10p * PER_UNIT), 0, MISS - 1).astype("<u2")
 
 
-def value(code: np.ndarray) -> np.ndarray:
-    return code.astype(np.float64) / -PER_UNIT
+def probability(code: np.ndarray) -> np.ndarray:
+    """The probability of a code; 0 for MISS."""
+    return np.where(code == MISS, 0.0, 10.0 ** (code.astype(np.float64) / -PER_UNIT))
 
 
 class Trie:
-    """Two levels. Words: ascending 64-bit keys, each with the code of its
-    probability, the code of its back-off weight as a context, and a pointer
-    to its successors. Successors: word numbers, stored relative to the last
-    number of the context before, so that the whole level ascends; each has
-    the code of its probability."""
+    """Two levels. Contexts: ascending ids, each with the code of its back-off
+    weight and a pointer to its successors. Successors: ascending ids in each
+    context, stored relative to the last one of the context before, so that
+    the whole level ascends; each has the code of its probability."""
 
     @staticmethod
-    def encode(keys: np.ndarray, word_code: np.ndarray, backoff_code: np.ndarray, context: np.ndarray, successor: np.ndarray, code: np.ndarray) -> bytes:
-        """``context`` and ``successor`` are word numbers of the pairs, in ascending order."""
-        pointer = np.searchsorted(context, np.arange(len(keys) + 1))
+    def encode(contexts: np.ndarray, backoff: np.ndarray, owner: np.ndarray, successor: np.ndarray, code: np.ndarray) -> bytes:
+        """``owner`` numbers the context of each successor; pairs ascend."""
+        pointer = np.searchsorted(owner, np.arange(len(contexts) + 1))
         filled = np.flatnonzero(np.diff(pointer))
         last = successor[pointer[filled + 1] - 1].astype(np.uint64) + np.uint64(1)
         base = np.concatenate([[0], np.cumsum(last)[:-1]]).astype(np.uint64) if len(filled) else np.zeros(0, np.uint64)
         level = successor.astype(np.uint64) + np.repeat(base, np.diff(pointer)[filled])
-        parts = [EliasFano.encode(keys), EliasFano.encode(pointer), EliasFano.encode(level),
-                 *(_padded(c.astype("<u2").tobytes()) for c in (word_code, backoff_code, code))]
-        return struct.pack("<6Q", *map(len, parts)) + b"".join(parts)
+        parts = [EliasFano.encode(contexts), EliasFano.encode(pointer), EliasFano.encode(level),
+                 *(_padded(c.astype("<u2").tobytes()) for c in (backoff, code))]
+        return struct.pack("<5Q", *map(len, parts)) + b"".join(parts)
 
     def __init__(self, buffer, at: int = 0):
-        sizes = struct.unpack_from("<6Q", buffer, at)
-        at += 48
-        places = at + np.concatenate([[0], np.cumsum(sizes)])
-        self.keys, self.pointer, self.level = (EliasFano(buffer, int(p)) for p in places[:3])
-        n, m = self.keys.n, self.level.n
-        self.word_code, self.backoff_code, self.code = (np.frombuffer(buffer, "<u2", k, int(p)) for k, p in zip((n, n, m), places[3:6], strict=True))
-
-    def words(self, keys: np.ndarray) -> np.ndarray:
-        """The numbers of words by key; -1 if unknown."""
-        if not self.keys.n:
-            return np.full(len(keys), -1, np.int64)
-        i = self.keys.successor(keys, np.zeros(len(keys), np.int64), np.full(len(keys), self.keys.n, np.int64))
-        found = i < self.keys.n
-        found[found] = self.keys.get(i[found]) == keys[found]
+        sizes = struct.unpack_from("<5Q", buffer, at)
+        places = at + 40 + np.concatenate([[0], np.cumsum(sizes)])
+        self.contexts, self.pointer, self.level = (EliasFano(buffer, int(p)) for p in places[:3])
+        self.backoff, self.code = (np.frombuffer(buffer, "<u2", k, int(p)) for k, p in zip((self.contexts.n, self.level.n), places[3:5], strict=True))
+
+    def numbers(self, contexts: np.ndarray) -> np.ndarray:
+        """The numbers of contexts by id; -1 if there is none."""
+        n = self.contexts.n
+        if not n:
+            return np.full(len(contexts), -1, np.int64)
+        i = self.contexts.successor(contexts, np.zeros(len(contexts), np.int64), np.full(len(contexts), n, np.int64))
+        found = i < n
+        found[found] = self.contexts.get(i[found]) == contexts[found].astype(np.uint64)
         return np.where(found, i, -1)
 
-    def log10p(self, context: np.ndarray, word: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
-        """log10 p(word | context) of known word numbers: the pair's own
-        probability, or the context's back-off weight times the word's."""
-        out = np.empty(len(word))
-        for at in range(0, len(word), chunk):
-            v, w = context[at:at + chunk], word[at:at + chunk]
-            score = value(self.backoff_code[v]) + value(self.word_code[w])
-            if self.level.n:
-                start, end = self.pointer.get(v).astype(np.int64), self.pointer.get(v + 1).astype(np.int64)
-                has = start < end
-                base = np.zeros(len(v), np.uint64)
-                inner = start > 0
-                base[inner] = self.level.get(start[inner] - 1) + np.uint64(1)
-                target = base + w.astype(np.uint64)
-                i = self.level.successor(target, start, end)
-                hit = has & (i < end)
-                hit[hit] = self.level.get(i[hit]) == target[hit]
-                score[hit] = value(self.code[i[hit]])
-            out[at:at + chunk] = score
+    def codes(self, context: np.ndarray, word: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
+        """The codes of (context id, word id) pairs; MISS for those not stored."""
+        out = np.full(len(word), MISS, "<u2")
+        for at in range(0, len(word) if self.level.n else 0, chunk):
+            w, number = word[at:at + chunk], self.numbers(context[at:at + chunk])
+            known = np.flatnonzero(number >= 0)
+            w, number = w[known].astype(np.uint64), number[known]
+            start, end = self.pointer.get(number).astype(np.int64), self.pointer.get(number + 1).astype(np.int64)
+            base = np.zeros(len(w), np.uint64)
+            inner = start > 0
+            base[inner] = self.level.get(start[inner] - 1) + np.uint64(1)
+            i = self.level.successor(base + w, start, end)
+            hit = i < end
+            hit[hit] = self.level.get(i[hit]) == (base + w)[hit]
+            out[at + known[hit]] = self.code[i[hit]]
         return out

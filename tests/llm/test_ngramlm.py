@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstar.llm import ngramlm
-from ledgerstar.llm.eliasfano import EliasFano, Trie, quantise, value
+from ledgerstar.llm.eliasfano import MISS, EliasFano, Trie, probability, quantise
 from ledgerstar.llm.langid import fold
 
 
@@ -27,22 +27,33 @@ def test_elias_fano(n, top):
 
 def test_trie_from_a_mapped_file(tmp_path):
     r = np.random.default_rng(1)
-    keys = np.unique(r.integers(0, 2**62, 3000).astype(np.uint64) * np.uint64(3))
-    m = len(keys)
+    contexts = np.unique(r.integers(0, 2**40, 3000))
+    m = len(contexts)
     pairs = np.unique(r.integers(0, m * m, 20_000))
-    c, s = pairs // m, pairs % m
-    code, words, backoff = (quantise(-r.random(k) * 5) for k in (len(pairs), m, m))
-    (tmp_path / "trie").write_bytes(Trie.encode(keys, words, backoff, c, s, code))
+    c, s = pairs // m, pairs % m * 7
+    code, backoff = quantise(-r.random(len(pairs)) * 5), quantise(-r.random(m))
+    (tmp_path / "trie").write_bytes(Trie.encode(contexts, backoff, c, s, code))
     with open(tmp_path / "trie", "rb") as f, mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ) as raw:
         t = Trie(raw)
-        assert (t.words(keys) == np.arange(m)).all() and (t.words(keys + np.uint64(1)) == -1).all()
-        v, w = np.concatenate([c, r.integers(0, m, 5000)]), np.concatenate([s, r.integers(0, m, 5000)])
-        stored = dict(zip(zip(c.tolist(), s.tolist()), code))
-        want = [value(stored[p]) if p in stored else value(backoff[p[0]]) + value(words[p[1]]) for p in zip(v.tolist(), w.tolist())]
-        assert np.allclose(t.log10p(v, w), want)
+        assert (t.numbers(contexts) == np.arange(m)).all() and (t.numbers(np.setdiff1d(contexts + 1, contexts)) == -1).all()
+        assert (t.backoff == backoff).all()
+        v, w = np.concatenate([contexts[c], r.integers(0, 2**40, 500), contexts[r.integers(0, m, 5000)]]), np.concatenate([s, r.integers(0, 7 * m, 5500)])
+        stored = dict(zip(zip(contexts[c].tolist(), s.tolist()), code.tolist()))
+        assert t.codes(v, w).tolist() == [stored.get(x, MISS) for x in zip(v.tolist(), w.tolist())]
         del t
 
 
+def test_codes():
+    p = np.array([1.0, 0.5, 1e-7, 1e-30])
+    assert np.allclose(np.log10(probability(quantise(np.log10(p)))), np.log10(p), atol=0.0003)
+    assert probability(np.array([MISS]))[0] == 0
+
+
+def test_packed_arrays():
+    a = [np.array([], np.int64), np.arange(300), np.array([2**63, 1, 0], np.uint64), np.zeros(5, np.int64)]
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(ngramlm.unpack(ngramlm.pack(*a)), a))
+
+
 def brute_force(rows, learn, mu=ngramlm.MU):
     toks = [((t or "").encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))).split() + [b"\n"]) for _, t in rows]
     u, b = Counter(), Counter()
