@@ -100,3 +100,13 @@ def test_pieces(frame, odd_texts, window):
 
 def test_empty_table(frame):
     assert packing.pack(frame([]), PATHS["word_bpe_49k.json"], 2).count() == 0
+
+
+def test_open_windows_of_all_splits_are_packed_together(frame):
+    path = PATHS["word_bpe_49k.json"]
+    rows = [(i, "word " * (1 + 37 * i % 400)) for i in range(400)]
+    pieces = packing.pack(frame(rows).repartition(20), path, 2)
+    check(pieces.collect(), rows, path, 4096)
+    assert packing.share_outside(pieces) < 0.3
+    several = packing.pack(frame(rows).repartition(20), path, 2, round_tokens=20_000)  # several tasks, then a last round
+    check(several.collect(), rows, path, 4096)
