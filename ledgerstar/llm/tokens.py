@@ -5,7 +5,8 @@ pre-tokenizer sets. Texts are cut at such borders, mostly at spaces; a chunk
 is parted into pieces by the tokenizer's own pattern, the model of the
 tokenizers library encodes the pieces, and the ids of chunks are remembered
 for the next texts. Chunks with letters beyond the Latin blocks, and texts
-whose white space makes the cut doubtful, go through the library whole.
+whose white space makes the cut doubtful, go through the library whole; so do
+texts that hold the string of an added token, which the library makes one id.
 """
 
 from __future__ import annotations
@@ -61,16 +62,20 @@ class _Known(dict):
 
 class ChunkEncoder:
     """``ids(text)`` as little-endian unsigned 32-bit bytes, no special tokens
-    added; their strings in a text are ordinary text."""
+    added. Their strings in a text are ordinary text if ``special_as_text``,
+    else the ids that the library's default setting gives them."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         with open(path, encoding="utf-8") as f:
             settings = json.load(f)
+        added = [t for t in settings.get("added_tokens", ()) if not (special_as_text and t["special"])]
+        #: strings that the library looks for before it normalises; one that it looks for afterwards may show in any text
+        self.added = ["" if t["normalized"] and settings.get("normalizer") else t["content"] for t in added]
         #: with a normaliser, white space of any kind separates and is dropped; else it stays with what follows
         self.drops_space = settings.get("normalizer") is not None
         steps = settings["pre_tokenizer"].get("pretokenizers", [])
@@ -124,6 +129,8 @@ class ChunkEncoder:
             return b""
         if len(self.known) > GENERATION:
             self.known = _Known(self.known.learn, dict(self.known))
+        if any(a in text for a in self.added):
+            return self._whole(text)
         known = self.known.__getitem__
         if self.drops_space:
             return self._whole(text) if _ODD.search(text) else b"".join(map(known, text.split()))
@@ -142,7 +149,7 @@ def encoder(path: str) -> ChunkEncoder:
     """The encoder of this Python process: what a worker learned in one task serves its next ones."""
     kept = sys.modules.setdefault("_ledgerstar_encoders", types.ModuleType("_ledgerstar_encoders"))
     if path not in kept.__dict__:
-        kept.__dict__[path] = ChunkEncoder(path)
+        kept.__dict__[path] = ChunkEncoder(path, special_as_text=False)
     return kept.__dict__[path]
 
 
