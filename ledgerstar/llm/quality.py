@@ -15,11 +15,12 @@ documents by a join.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +31,26 @@ MIN_WORDS = 10
 #: base_failed beyond this percentage of words in repeated windows.
 REPEAT_PERCENT = 20
 KEEP_POSTERIOR = 0.5
-#: A rule that fires on more good documents than this is badly written.
-MAX_FALSE = 0.01
 _SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 _SYMBOLS = b"#*$%&|<>"
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _LETTER_WORD = re.compile(rb"[A-Za-z\x80-\xff][^\x20\x09-\x0d]*")
-_SENTENCE_ENDS = tuple(x.encode() for x in (".", "!", "?", ":", ";", "…", '"', "'", ")", "”", "»", "。", "！", "？"))
+#: A run of three or more symbols that hangs on a word; Markdown and code hang two at most.
+_STREWN = re.compile(rb"[A-Za-z\x80-\xff][.,;:!?]?[#*$%&|<>]{3}")
+#: Sentence-final marks of all scripts; quotes and brackets that close beyond ASCII.
+_ALL = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20000)]))
+_FINAL = frozenset(x.encode() for x in [*regex.findall(r"\p{Sentence_Terminal}", _ALL), *regex.findall(r"[[^\x00-\x7f]&&[\p{Pe}\p{Pf}]]", _ALL, regex.V1),
+                                        *".!?:;…\"')：；"])
+del _ALL
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct",
-            "n_letter_words", "n_upper", "n_lower", "n_ended_lines")
+            "n_letter_words", "n_upper", "n_lower", "n_ended_lines", "n_strewn")
+
+
+def _ended(line: bytes) -> bool:
+    """Whether the line's last character, but white space, ends a sentence."""
+    line = line.rstrip()
+    size = next((k for k in (1, 2, 3) if line[-k] & 0xC0 != 0x80 or k == len(line)), 4)
+    return line[-size:] in _FINAL
 
 
 def _count(raw: bytes, chars: bytes) -> int:
@@ -84,7 +96,8 @@ def features(text: str | None) -> tuple[int, ...]:
     lines = [x for x in raw.split(b"\n") if x.strip()]
     return (len(words), len(text) - _count(raw, _SPACES), _count(raw, _SYMBOLS), len(lines) - len(set(lines)),
             repeated_window_words(ids, len(number)), len(lines), len(number), len(_LETTER_WORD.findall(raw)),
-            _count(raw, _UPPER), _count(raw, _LOWER), sum(x.rstrip().endswith(_SENTENCE_ENDS) for x in lines))
+            _count(raw, _UPPER), _count(raw, _LOWER), sum(map(_ended, lines)),
+            len(_STREWN.findall(raw)))
 
 
 @dataclass(frozen=True)
@@ -95,33 +108,37 @@ class Rule:
     name: str
     bad: str
     good: str
+    #: Whether documents it votes against are a kind of bad ones; if not (good code, tables, lists and unspaced scripts set it off), its votes only add to what others find.
+    kind: bool = True
 
 
 RULES = (
     Rule("length", "n_words < 10", "n_words >= 50"),
-    Rule("symbols", "10 * n_symbols > n_words", "100 * n_symbols <= n_words and n_words >= 10"),
+    Rule("symbols", "10 * n_symbols > n_words", "100 * n_symbols <= n_words and n_words >= 10", kind=False),
+    Rule("strewn", "20 * n_strewn > n_words", "100 * n_strewn <= n_words and n_words >= 10"),
     Rule("dup_lines", "5 * n_dup_lines > 2 * n_lines", "n_lines >= 3 and 20 * n_dup_lines <= n_lines"),
     Rule("repeats", "5 * n_repeat_words > n_words", "n_words >= 20 and 20 * n_repeat_words <= n_words"),
     Rule("word_length", "word_chars < 3 * n_words or word_chars > 12 * n_words",
-         "word_chars >= 4 * n_words and word_chars <= 8 * n_words and n_words >= 10"),
+         "word_chars >= 4 * n_words and word_chars <= 8 * n_words and n_words >= 10", kind=False),
     Rule("distinct", "n_words >= 20 and n_distinct * n_distinct < 4 * n_words", "n_words >= 20 and n_distinct * n_distinct > 25 * n_words"),
     Rule("capitals", "2 * n_upper > n_upper + n_lower", "n_lower >= 40 and 10 * n_upper < n_upper + n_lower"),
     Rule("letters", "n_words >= 20 and 10 * n_letter_words < 7 * n_words", "n_words >= 10 and 20 * n_letter_words > 19 * n_words"),
-    Rule("line_ends", "n_lines >= 3 and 5 * n_ended_lines < n_lines", "n_lines >= 1 and 10 * n_ended_lines > 8 * n_lines and n_words >= 10"),
+    Rule("line_ends", "n_lines >= 3 and 5 * n_ended_lines < n_lines", "n_lines >= 1 and 10 * n_ended_lines > 8 * n_lines and n_words >= 10", kind=False),
 )
 
 
-def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance: float = 1e-9) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance: float = 1e-9, kinds: Sequence[bool] | None = None) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
     """EM over vote patterns (rows of ``votes``) that occur ``counts`` times.
 
-    Documents are good, or bad of one kind per rule: documents that a rule
+    Documents are good, or bad of one kind per rule (that ``kinds`` holds, by
+    default every rule): documents that a rule
     was written against set off that rule nearly always and others at rates
     of their own, which EM estimates for every kind as for the good ones.
     Rules that vote bad have each found something, so those votes, and their
     absence, add up. Rules that find nothing wrong say much the same thing,
     so their votes count together as one, by the mean of their log rates. Ten
-    imagined documents of each kind keep rates off zero, and a rule is taken
-    to vote bad on at most MAX_FALSE of the good documents.
+    imagined documents of each kind keep rates off zero. How often a rule votes
+    bad on good documents is estimated like every other rate.
 
     Returns the share of good documents, the accuracy of each rule's bad and
     good votes, and each pattern's posterior of being good.
@@ -129,10 +146,12 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance
     bad, good = (votes == -1).astype(float), (votes == 1).astype(float)
     n_good = np.maximum(good.sum(axis=1, keepdims=True), 1)
     m = votes.shape[1]
-    fires = np.vstack([np.full((1, m), 0.005), np.full((m, m), 0.05) + 0.85 * np.eye(m)])
-    clears = np.vstack([np.full((1, m), 0.9), np.full((m, m), 0.7)])
-    share = np.r_[0.8, np.full(m, 0.2 / m)]
-    prior_fires, prior_clears, posterior = fires.copy(), clears.copy(), np.zeros((len(votes), m + 1))
+    own = np.eye(m)[np.array([True] * m if kinds is None else kinds)]
+    b = len(own)
+    fires = np.vstack([np.full((1, m), 0.005), 0.05 + 0.85 * own])
+    clears = np.vstack([np.full((1, m), 0.9), np.full((b, m), 0.7)])
+    share = np.r_[0.8, np.full(b, 0.2 / b)]
+    prior_fires, prior_clears, posterior = fires.copy(), clears.copy(), np.zeros((len(votes), b + 1))
     for _ in range(rounds):
         logs = np.log(share) + bad @ np.log(fires.T) + (1 - bad) @ np.log(1 - fires.T) + good @ np.log(clears.T) / n_good
         new = np.exp(logs - logs.max(axis=1, keepdims=True, initial=-np.inf))
@@ -144,7 +163,6 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rounds: int = 500, tolerance
         weight = posterior * counts[:, None]
         size = weight.sum(axis=0)[:, None] + 10
         fires = (weight.T @ bad + 10 * prior_fires) / size
-        fires[0] = np.minimum(fires[0], MAX_FALSE)
         clears = (weight.T @ good + 10 * prior_clears) / size
         share = size[:, 0] / size.sum()
     p = posterior[:, 0]
@@ -177,7 +195,7 @@ def score(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = K
     seen = written(document_features(docs, id_col, text_col).withColumn("pattern", F.concat(*digits)), "features")
     counted = sorted((r["pattern"], r["count"]) for r in seen.groupBy("pattern").count().collect())
     votes = np.array([[int(c) - 1 for c in p] for p, _ in counted], np.int64).reshape(-1, len(rules))
-    share, accuracy, posterior = estimate(votes, np.array([n for _, n in counted], float))
+    share, accuracy, posterior = estimate(votes, np.array([n for _, n in counted], float), kinds=[r.kind for r in rules])
     if report:
         report({"good": share, "rules": {r.name: {k: float(v[i]) for k, v in accuracy.items()} for i, r in enumerate(rules)}})
     known = spark.createDataFrame([(p, float(x)) for (p, _), x in zip(counted, posterior, strict=True)], "known string, posterior double")

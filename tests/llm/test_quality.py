@@ -77,3 +77,23 @@ def test_keeps_clean_and_drops_junk(frame):
 
 def test_empty_table(frame):
     assert quality.score(frame([])).count() == 0
+
+
+def test_one_bad_vote_does_not_outweigh_many_good_ones():
+    names = [r.name for r in quality.RULES]
+    good, code, junk = (np.ones((1, len(names)), int) for _ in range(3))
+    code[0, names.index("symbols")] = -1
+    junk[0, [names.index("symbols"), names.index("letters")]] = -1
+    for share in (50, 200, 500, 2000):
+        posterior = quality.estimate(np.vstack([good, code, junk]), np.array([9000.0, share, 300]), kinds=[r.kind for r in quality.RULES])[2]
+        assert posterior[0] > 0.9 and posterior[1] > 0.5 and posterior[2] < 0.5
+
+
+def test_final_marks_of_all_scripts_end_lines():
+    text = "\n".join(["a.", "नमस्ते।", "سلام؟", "هذا۔", "完。", "「完」", "ሰላም።", "no", "é", "nor,", "漢"])
+    assert quality.features(text)[quality.FEATURES.index("n_ended_lines")] == 7
+
+
+def test_strewn_symbols_are_not_markdown():
+    at = quality.FEATURES.index("n_strewn")
+    assert quality.features("word### and,%%% **bold** `a && b` | x | $$y$$ f(**k) <p><b>")[at] == 2
