@@ -9,9 +9,11 @@ blocks outside it that reach the threshold are content too. If the element
 lies in an ``article`` or ``main``, that element is the article, and nothing
 outside it is.
 
-Menus, headers, footers, sidebars, notices, adverts, forms, comments of
-readers, scripts and styles are taken out of the tree beforehand, by element,
-role or class name.
+Menus, headers, footers, asides, controls, scripts, styles and what is hidden
+are taken out of the tree beforehand. Class, id and role names of boilerplate
+only vote, as do forms: such an element is taken out if it has a small share of
+the page's text outside links, or is mostly links; never a heading, a paragraph
+or what holds the element with the largest sum.
 """
 
 from __future__ import annotations
@@ -32,7 +34,16 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea iframe title svg math xmp noembed noframes object canvas".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr output q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
-DROPPED = frozenset("head nav header footer aside form button select option datalist dialog menu audio video fieldset".split())
+DROPPED = frozenset("head nav header footer aside button select option datalist dialog menu audio video".split())
+#: Elements that vote for boilerplate, and those that no vote takes out.
+FORMS = frozenset(("form", "fieldset"))
+KEPT = frozenset("html body p h1 h2 h3 h4 h5 h6".split())
+#: A voted element goes with at most so much of the page's text outside links, or at least so much of its own text in links.
+SMALL_SHARE, LINK_SHARE = 0.3, 0.5
+#: What may stand in a head; anything else ends it.
+HEAD_CONTENT = frozenset("html head title base link meta style script noscript template basefont bgsound noframes".split())
+#: Elements that may close themselves.
+FOREIGN = frozenset(("svg", "math"))
 #: Words in class, id or role that name boilerplate.
 BOILERPLATE = frozenset("ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
                         "cookies contentinfo complementary discussion disqus footer form gdpr header login masthead menu modal nav navbar navigation "
@@ -43,28 +54,28 @@ ARTICLE = frozenset(("article", "main"))
 #: Which open elements a start tag ends, and the elements that shield those outside.
 CLOSES = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-          "thead": ({"thead", "tbody", "tfoot", "tr"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "tr"}, {"table"}),
-          "body": ({"head"}, {"body"})}
+          "thead": ({"thead", "tbody", "tfoot", "tr"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "tr"}, {"table"})}
 SHIELD = frozenset("td th caption table button object body html".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)>|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+(?![a-z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Tree:
     """Elements in page order: tag, parent, attributes, and the pieces of the
-    page: (element, text) or (element, None) where a block begins or ends."""
+    page: (element, text) or (element, None) where a block begins or ends.
+    The content of ``raw`` elements is left out; ``inline`` ones part no blocks."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, raw: frozenset[str] = RAW, inline: frozenset[str] = INLINE):
         self.tag, self.parent, self.attr, self.pieces = ["#page"], [-1], [""], []
         stack, open_count = [0], {"#page": 1}
 
         def pop() -> None:
             e = stack.pop()
             open_count[self.tag[e]] -= 1
-            if self.tag[e] not in INLINE:
+            if self.tag[e] not in inline:
                 self.pieces.append((stack[-1], None))
 
         def close(names, shield) -> None:
@@ -83,11 +94,13 @@ class Tree:
         at, end = 0, len(page)
         while at < end:
             m = _TOKEN.search(page, at)
+            start = end if m is None else m.start()
+            if start > at:
+                if open_count.get("head") and self.tag[stack[-1]] == "head" and not page[at:start].isspace():
+                    pop()
+                self.pieces.append((stack[-1], page[at:start]))
             if m is None:
-                self.pieces.append((stack[-1], page[at:]))
                 break
-            if m.start() > at:
-                self.pieces.append((stack[-1], page[at:m.start()]))
             at = m.end()
             if m[2] is None:
                 continue
@@ -98,7 +111,9 @@ class Tree:
                 elif t == "br":
                     self.pieces.append((stack[-1], None))
                 continue
-            if t not in INLINE:
+            if open_count.get("head") and t not in HEAD_CONTENT:
+                close({"head"}, {"body"})
+            if t not in inline:
                 if t not in VOID or t == "hr":
                     close({"p"}, SHIELD)
                 if t in CLOSES:
@@ -108,7 +123,9 @@ class Tree:
             self.tag.append(t)
             self.parent.append(stack[-1])
             self.attr.append(m[3])
-            if t in RAW:  # its content is no markup
+            if t in FOREIGN and m[3].endswith("/"):
+                continue
+            if t in raw:  # its content is no markup
                 stop = re.compile(f"</{re.escape(t)}\\s*>", re.I).search(page, at)
                 at = stop.end() if stop else (end if t in ("script", "style", "textarea") else at)
             elif t not in VOID and not m[3].endswith("/"):
@@ -119,14 +136,13 @@ class Tree:
 def _named(attributes: str) -> set[str]:
     words: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
-        if m[1].lower() in ("class", "id", "role"):
+        name = m[1].lower()
+        if name in ("class", "id", "role"):
             value = m[2] or m[3] or m[4] or ""
             words.update(x.lower() for x in _NAME_PART.findall(value))
             words.update(re.split(r"[^a-z0-9]+", value.lower()))
-        elif m[1].lower() == "style" and _HIDDEN.search(m[2] or m[3] or m[4] or ""):
+        elif name == "hidden" or name == "style" and _HIDDEN.search(m[2] or m[3] or m[4] or ""):
             words.add("#hidden")
-    if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes):
-        words.add("#hidden")
     return words
 
 
@@ -137,23 +153,36 @@ def boilerplate(t: Tree) -> list[bool]:
     for e in range(n - 1, 0, -1):
         if holds[e]:
             holds[t.parent[e]] = True
-    out = [False] * n
+    out, voted = [False] * n, []
     for e in range(1, n):
         tag = t.tag[e]
-        if out[t.parent[e]] or tag in RAW or tag in DROPPED and not (tag in ("form", "fieldset", "header") and holds[e]):
+        if out[t.parent[e]] or tag in RAW or tag in DROPPED and not (tag == "header" and holds[e]):
             out[e] = True
-        elif t.attr[e] and tag not in ("html", "body"):
-            words = _named(t.attr[e])
-            named = words & BOILERPLATE and not words & LAYOUT and not holds[e]
-            out[e] = bool("#hidden" in words or named or tag == "article" and words & {"comment", "comments"})
+            continue
+        words = _named(t.attr[e]) if t.attr[e] and tag not in ("html", "body") else set()
+        out[e] = bool("#hidden" in words or tag == "article" and words & {"comment", "comments"})
+        if not out[e] and not holds[e] and tag not in KEPT and (tag in FORMS or words & BOILERPLATE and not words & LAYOUT):
+            voted.append(e)
+    if not voted:
+        return out
+    chars, links = sizes(t, out)
+    sums = densities(t, out)[1]
+    best, holding = max(range(n), key=lambda e: (sums[e], -e)), set()
+    while best >= 0:
+        holding.add(best)
+        best = t.parent[best]
+    for e in voted:
+        if e not in holding:
+            out[e] = chars[e] - links[e] <= SMALL_SHARE * (chars[0] - links[0]) or links[e] >= LINK_SHARE * chars[e]
+    for e in range(1, n):
+        out[e] = out[e] or out[t.parent[e]]
     return out
 
 
-def densities(t: Tree, out: list[bool]) -> tuple[list[float], list[float]]:
-    """Composite text density of each element, and the sum over its children."""
+def sizes(t: Tree, out: list[bool]) -> tuple[list[int], list[int]]:
+    """Characters of each element, and those of them in links."""
     n = len(t.tag)
-    chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-    in_link = [False] * n
+    chars, links, in_link = [0] * n, [0] * n, [False] * n
     for e in range(1, n):
         in_link[e] = t.tag[e] == "a" or in_link[t.parent[e]]
     for e, text in t.pieces:
@@ -162,11 +191,21 @@ def densities(t: Tree, out: list[bool]) -> tuple[list[float], list[float]]:
             chars[e] += size
             if in_link[e]:
                 links[e] += size
+    for e in range(n - 1, 0, -1):
+        if not out[e]:
+            chars[t.parent[e]] += chars[e]
+            links[t.parent[e]] += links[e]
+    return chars, links
+
+
+def densities(t: Tree, out: list[bool]) -> tuple[list[float], list[float]]:
+    """Composite text density of each element, and the sum over its children."""
+    n = len(t.tag)
+    chars, links = sizes(t, out)
+    tags, link_tags = [0] * n, [0] * n
     for e in range(n - 1, 0, -1):
         if not out[e]:
             p = t.parent[e]
-            chars[p] += chars[e]
-            links[p] += links[e]
             tags[p] += tags[e] + 1
             link_tags[p] += link_tags[e] + (t.tag[e] == "a")
     page = links[0] / max(1, chars[0])

@@ -53,3 +53,21 @@ def test_rows(spark):
     got = Counter(map(tuple, htmltext.extract(pages).collect()))
     assert got == Counter([(1, "u", "", 0), (1, "u", "", 0), (None, None, LONG, len(LONG)), (2, "v", LONG, len(LONG)), (2, "v", LONG, len(LONG))])
     assert htmltext.extract(pages.where("page_id = 9")).count() == 0
+
+
+ARTICLE_TEXT = f"<p>{LONG}</p>" * 4
+NAMES_ONLY_VOTE = {
+    "form around the page": (f"<body><form id=aspnetForm><div>{ARTICLE_TEXT}</div></form></body>", " ".join([LONG] * 4)),
+    "container": (f"<body><div class='content sidebar-right'>{ARTICLE_TEXT}</div></body>", " ".join([LONG] * 4)),
+    "slug heading": (f"<article><h2 id='how-to-search'>How</h2><p class=notice>{LONG}</p>{ARTICLE_TEXT}</article>", " ".join(["How"] + [LONG] * 5)),
+    "hidden in a value": (f"<article><p title='a hidden gem'>{LONG}</p><p data-x=hidden>{LONG}</p><p hidden>no</p></article>", f"{LONG} {LONG}"),
+    "small named block": (f"<article>{ARTICLE_TEXT}<div class=share>Tell it</div><form>go <input></form></article>", " ".join([LONG] * 4)),
+    "open head": (f"<html><head><title>T</title><meta x><div>{ARTICLE_TEXT}</div></html>", " ".join([LONG] * 4)),
+    "self-closed svg": (f"<article><p>{LONG}<svg viewBox='0'/> on</p><p>{LONG}</p><svg><text>no</text></svg></article>", f"{LONG} on {LONG}"),
+}
+
+
+@pytest.mark.parametrize("name", NAMES_ONLY_VOTE)
+def test_names_only_vote(name):
+    page, want = NAMES_ONLY_VOTE[name]
+    assert htmltext.main_text(page) == want
