@@ -22,15 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_out, arrow_rows
-from .htmltext import INLINE
+from .htmltext import INLINE, Tree
 
 EOL = "\r\n"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the standard's namespace for URLs
-_UNSEEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(script|style|noscript|template|head|iframe|svg|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+#: Elements whose content is not shown.
+_UNSEEN = frozenset("script style noscript template iframe svg textarea title".split())
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
 _HREF = re.compile(r"<a\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_INLINE_TAG = re.compile(r"</?(?:" + "|".join(sorted(INLINE)) + r")(?:\s[^>]*)?/?>", re.I)
-_TAG = re.compile(r"<[/!?]?[a-zA-Z][^>]*>|<[!?][^>]*>")
 _CHARSET = re.compile(rb"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
 
@@ -94,7 +93,11 @@ def _decoded(fields: list[tuple[str, str]], body: bytes) -> bytes:
 
 def plain_text(page: str) -> str:
     """A page's text, a line per block, white space collapsed."""
-    page = _TAG.sub("\n", _INLINE_TAG.sub("", re.sub(r"\s+", " ", _UNSEEN.sub("", page))))
+    t = Tree(page, _UNSEEN, INLINE | _UNSEEN)
+    unseen = [False] * len(t.tag)
+    for e in range(1, len(t.tag)):
+        unseen[e] = t.tag[e] == "head" or unseen[t.parent[e]]
+    page = "".join("\n" if text is None else re.sub(r"\s+", " ", text) for e, text in t.pieces if text is None or not unseen[e])
     lines = (" ".join(line.split()) for line in html.unescape(page).split("\n"))
     return "\n".join(line for line in lines if line)
 

@@ -77,3 +77,11 @@ def test_pages(spark):
     bodies = {"sha256:" + hashlib.sha256((h or "").encode()).hexdigest() for _, _, h, _ in rows}
     assert {r.source_digest for r in got} == bodies
     assert warc.derive(warc.as_responses(pages.where("page_id = 9"))).count() == 0
+
+
+@pytest.mark.parametrize("page,want", [("<html><head><title>T</title><body><p>Whole article</p></body></html>", "Whole article"),
+                                       ("<head><meta x><p>a</p>b", "a\nb"), ("<p>a<svg class=i />b</p><p>c</p>", "ab\nc"), ("a<svg><text>no</text></svg>b", "ab"),
+                                       ("a<iframe src=x>b<p>c", "ab\nc"), ("a<template><p>b", "a\nb"), ("a<script>b<p>c", "a"), ("a<!-- b <p>c", "a"),
+                                       ("a<canvas>b</canvas>", "a\nb")])
+def test_text_after_omitted_end_tags(page, want):
+    assert warc.plain_text(page) == want
