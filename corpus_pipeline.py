@@ -6,9 +6,8 @@ All but the last return the columns of ``docs``, whatever these are beside
 doc_id and text.
 
 Stages decide by doc_id. Rows that share an id are decided together: they
-stay if one of them does (the SimHash stage then keeps one of them). A row
-with a null id cannot be named in a decision and stays until the SimHash
-stage, which keeps no document without an id.
+stay if one of them does. A row with a null id cannot be named in a decision
+and stays. The SimHash stage decides by row: one row of each group stays.
 """
 
 from __future__ import annotations
@@ -53,16 +52,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the
-    smallest id; of rows that share this id, one."""
-    found = simhash.near_duplicates(docs, shingle=4, radius=4)
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    repeated = written(docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("repeated_id")), "repeated")
-    kept = docs.join(ids, docs["doc_id"] == ids["kept_id"], "left_semi")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept["doc_id"] == repeated["repeated_id"], "left_anti")
-    return once.union(kept.join(repeated, kept["doc_id"] == repeated["repeated_id"], "left_semi").dropDuplicates(["doc_id"]))
+    """One row of each group of near copies stays, the one with the smallest
+    id, null ids last, and of rows that share it the smallest text hash."""
+    return simhash.representatives(docs, shingle=4, radius=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

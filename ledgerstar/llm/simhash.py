@@ -29,7 +29,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_out, arrow_rows, release_shuffles, written
@@ -75,9 +75,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
     return majority_bits(hashes)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; fp is the fingerprint as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                 id_type: str = "long") -> DataFrame:
+    """(doc_id, fp) per row; fp is the fingerprint as a signed long, the id a long or a string."""
+    schema = pa.schema([("doc_id", pa.int64() if id_type == "long" else pa.string()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -86,7 +87,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, id_col: str = "d
                 yield doc_id, f - (1 << 64) if f >> 63 else f
         return arrow_out(schema, rows())
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast(id_type).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
 def ball(flips: int) -> tuple[np.ndarray, np.ndarray]:
@@ -280,5 +281,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     return fps.join(named, F.col("fp") == F.col("cfp"), "left").select("doc_id", "fp", "component_id")
 
 
+def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ..) that stay, one of each group of
+    near copies: the one with the smallest id, null ids last, of equal ids
+    that with the smallest text hash, of equal texts that whose row sorts first.
+    """
+    text_hash = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    texts = fingerprints(docs.withColumn("_hash", text_hash), shingle, "_hash", "text", "string")
+    fps = written(texts.select(F.col("doc_id").alias("thash"), "fp").distinct(), "fingerprints")
+    nodes = written(fps.select("fp").distinct(), "nodes")
+    roots = written(components(link_edges(nodes, radius)), "roots")
+    rooted = (fps.join(roots, F.col("fp") == F.col("node"), "left")
+              .select("thash", F.coalesce("root", "fp").alias("component")))
+    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_hash)
+    order = F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"), F.col("_text").alias("c"))
+    best = (keyed.select("_text", order.alias("o"))
+            .join(rooted, F.col("_text") == F.col("thash")).groupBy("component").agg(F.min("o").alias("o"))
+            .select(F.col("o.b").alias("kept_id"), F.col("o.c").alias("kept_text")))
+    kept = keyed.join(best, F.col("_id").eqNullSafe(F.col("kept_id")) & (F.col("_text") == F.col("kept_text")), "left_semi")
+    first = Window.partitionBy("_id", "_text").orderBy(*(F.col(c) for c in docs.columns))
+    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(docs.columns)
+
+
 def hex_fingerprint(col: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(col)), 16, "0"))

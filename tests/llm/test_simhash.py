@@ -76,3 +76,11 @@ def test_near_duplicates_equal_brute_force(frame, odd_texts):
 
 def test_empty_table(frame):
     assert simhash.near_duplicates(frame([])).count() == 0
+
+
+def test_one_row_of_each_group_stays_also_without_an_id(frame):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(80)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a), (None, c), (None, c), (None, b), (7, a)]
+    got = sorted(((r.doc_id, r.text) for r in simhash.representatives(frame(rows), 4, 4).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c)], key=str)
+    assert simhash.representatives(frame([]), 4, 4).count() == 0
