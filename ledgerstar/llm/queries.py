@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, urlfilter, warc
+from . import audit, decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, urlfilter, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,10 @@ def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramlm.score(table(spark, sf_dir, "documents"), learn=part != 0, held_out=part == 0)
 
 
+def op13_removal_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_weak_supervision": op2_weak_supervision,
@@ -76,6 +80,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_rans_files": op9_rans_files,
     "op10_ngram_trie": op10_ngram_trie,
+    "op13_removal_ranks": op13_removal_ranks,
 }
 
 _FOLD = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -108,4 +113,32 @@ fit as (select n, rule, verdict, row_number() over (partition by n order by leng
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join (select * from fit where k = 1) using (n)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_prefix_join": OP4_SQL, "op6_url_filter": OP6_SQL}
+OP13_SQL = r"""
+with w as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+firsts as (select t, min(doc_id) as first_id from w group by t),
+l as (select doc_id, max((coalesce(quality, 0) = 1)::int) as good, max((coalesce(toxic, 0) = 1)::int) as toxic from labels group by doc_id),
+f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+             case when len(ws) < 100 then 'A' else '' end || case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 'B' else '' end
+             || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' else '' end
+             || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end || case when w.doc_id > first_id then 'E' else '' end as failed
+      from w join firsts using (t) left join l on w.doc_id = l.doc_id),
+c as (select part, failed, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (select a.x || b.x || c.x || d.x || e.x as filter_order from x a, x b, x c, x d, x e
+      where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select filter_order, step, substr(filter_order, step::int, 1) as fl, substr(filter_order, 1, step::int - 1) as before, substr(filter_order, 1, step::int) as upto
+      from o, (select unnest(range(1, 6)) as step)),
+m as (select part, filter_order, step, fl, n, good, toxic, contains(failed, fl) as hit, failed = fl as alone,
+             before <> '' and regexp_matches(failed, '[' || before || '_]') as earlier, regexp_matches(failed, '[' || upto || ']') as gone
+      from c, s),
+r as (select part, filter_order, step, fl, coalesce(sum(n) filter (not gone), 0) as kept, coalesce(sum(n) filter (hit and not earlier), 0) as removed,
+             coalesce(sum(n) filter (hit and earlier), 0) as redundant, coalesce(sum(n) filter (alone), 0) as unique_fails,
+             coalesce(sum(good) filter (hit and not earlier), 0) as good_lost, coalesce(sum(toxic) filter (hit and not earlier), 0) as toxic_lost
+      from m group by all)
+select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+       unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+       (sum(removed) over (partition by part, fl))::bigint as shapley
+from r
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_prefix_join": OP4_SQL, "op6_url_filter": OP6_SQL, "op13_removal_ranks": OP13_SQL}

@@ -7,11 +7,11 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
 
-@pytest.mark.parametrize("name", ["op4_prefix_join", "op6_url_filter"])
+@pytest.mark.parametrize("name", ["op4_prefix_join", "op6_url_filter", "op13_removal_ranks"])
 def test_query_equals_its_sql(spark, name):
     from ledgerstar.llm.queries import ORACLE_SQL, QUERIES
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "labels"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in want.description]
@@ -23,6 +23,6 @@ def test_query_equals_its_sql(spark, name):
 def test_registered_queries():
     import __spark_entry__ as E
     names = list(E.queries())
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
-    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op4_prefix_join", "op6_url_filter"}
+    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op4_prefix_join", "op6_url_filter", "op13_removal_ranks"}
