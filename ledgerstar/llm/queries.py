@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, urlfilter, warc
+from . import audit, decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, turns, urlfilter, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramlm.score(table(spark, sf_dir, "documents"), learn=part != 0, held_out=part == 0)
 
 
+def op12_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return turns.report(turns.repair(turns.damage(conversations), conversations.select("conv_id")))
+
+
 def op13_removal_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_rans_files": op9_rans_files,
     "op10_ngram_trie": op10_ngram_trie,
+    "op12_checkpointed_repair": op12_checkpointed_repair,
     "op13_removal_ranks": op13_removal_ranks,
 }
 
