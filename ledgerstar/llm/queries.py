@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, turns, urlfilter, warc
+from . import audit, decontam, htmltext, langid, ngramlm, packing, quality, rans, simhash, substrings, turns, urlfilter, warc
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op10_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramlm.score(table(spark, sf_dir, "documents"), learn=part != 0, held_out=part == 0)
 
 
+def op11_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op12_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return turns.report(turns.repair(turns.damage(conversations), conversations.select("conv_id")))
@@ -85,6 +90,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_sum_of_squares": op8_sum_of_squares,
     "op9_rans_files": op9_rans_files,
     "op10_ngram_trie": op10_ngram_trie,
+    "op11_prefix_suffix_trees": op11_prefix_suffix_trees,
     "op12_checkpointed_repair": op12_checkpointed_repair,
     "op13_removal_ranks": op13_removal_ranks,
 }
@@ -119,6 +125,17 @@ fit as (select n, rule, verdict, row_number() over (partition by n order by leng
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join (select * from fit where k = 1) using (n)
 """
 
+OP11_SQL = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+wins as (select r, k, md5(array_to_string(w[k:k + 34], ' ')) as h from (select r, w, unnest(range(1, len(w) - 33)) as k from d where len(w) >= 35)),
+twice as (select h from wins group by h having count(*) > 1),
+hit as (select distinct r, unnest(range(k, k + 35)) as pos from wins where h in (select h from twice)),
+kept as (select r, string_agg(word, ' ' order by pos) as t from (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from d) anti join hit using (r, pos) group by r),
+n as (select r, count(*) as n from hit group by r)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join n using (r) left join kept using (r)
+"""
+
 OP13_SQL = r"""
 with w as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
 firsts as (select t, min(doc_id) as first_id from w group by t),
@@ -147,4 +164,4 @@ select part, filter_order, step::int as step, kept::bigint as kept, removed::big
 from r
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_prefix_join": OP4_SQL, "op6_url_filter": OP6_SQL, "op13_removal_ranks": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_prefix_join": OP4_SQL, "op6_url_filter": OP6_SQL, "op11_prefix_suffix_trees": OP11_SQL, "op13_removal_ranks": OP13_SQL}

@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
 
-@pytest.mark.parametrize("name", ["op4_prefix_join", "op6_url_filter", "op13_removal_ranks"])
+@pytest.mark.parametrize("name", ["op4_prefix_join", "op6_url_filter", "op11_prefix_suffix_trees", "op13_removal_ranks"])
 def test_query_equals_its_sql(spark, name):
     from ledgerstar.llm.queries import ORACLE_SQL, QUERIES
     con = duckdb.connect()
@@ -25,4 +25,4 @@ def test_registered_queries():
     names = list(E.queries())
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in names
-    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op4_prefix_join", "op6_url_filter", "op13_removal_ranks"}
+    assert {n for n in E.oracle_sql() if n.startswith("op")} == {"op4_prefix_join", "op6_url_filter", "op11_prefix_suffix_trees", "op13_removal_ranks"}
