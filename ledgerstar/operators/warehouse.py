@@ -140,9 +140,20 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, batch_ts: str) ->
     # One join. Each account then becomes the versions it is left with: its
     # current one kept or closed, a new one opened, or both. Closed versions
     # do not take part.
+    decided = _decided(current, inc, ts, "full_outer")
+    versions = decided.select(F.explode(F.filter(F.array(F.coalesce("_kept", "_closed"), "_opened"), lambda v: v.isNotNull())).alias("v")).select("v.*")
+    state = current.filter(~F.col("is_current")).select(cols).unionByName(versions)
+    changes = decided.filter(F.col("_action") != "kept").select(
+        "account_id", F.col("_action").alias("action"))
+    return Scd2Result(state, changes)
+
+
+def _decided(current: DataFrame, inc: DataFrame, ts: Column, how: str) -> DataFrame:
+    """account_id, _action and the versions _kept, _closed, _opened (or NULL)."""
+    cols = [f.name for f in DIM_ACCOUNT.fields]
+    attrs = ["region", "account_status"]
     cur = current.filter(F.col("is_current")).select("account_id", F.struct(*cols).alias("_c"))
     new = inc.select("account_id", F.struct(*attrs).alias("_i"))
-    j = cur.join(new, "account_id", "full_outer")
     same = F.lit(True)
     for a in attrs:
         same = same & F.col(f"_c.{a}").eqNullSafe(F.col(f"_i.{a}"))
@@ -155,18 +166,36 @@ def scd2_merge(current: DataFrame | None, incoming: DataFrame, batch_ts: str) ->
     def version(**changed: Column) -> Column:
         return F.struct(*(changed.get(c, F.col(f"_c.{c}")).cast(DIM_ACCOUNT[c].dataType).alias(c) for c in cols))
 
-    old = (F.when(F.col("_action") == "kept", version())
-            .when(F.col("_action") == "closed_and_reopened", version(effective_end=closed_at, is_current=F.lit(False))))
-    opened_now = F.when(F.col("_action") != "kept", version(
-        account_key=account_key_of(F.col("account_id"), ts), account_id=F.col("account_id"),
-        region=F.col("_i.region"), account_status=F.col("_i.account_status"), effective_start=ts,
-        effective_end=F.lit(None), is_current=F.lit(True)))
-    decided = j.withColumn("_action", action)
-    versions = decided.select(F.explode(F.filter(F.array(old, opened_now), lambda v: v.isNotNull())).alias("v")).select("v.*")
-    state = current.filter(~F.col("is_current")).select(cols).unionByName(versions)
-    changes = decided.filter(F.col("_action") != "kept").select(
-        "account_id", F.col("_action").alias("action"))
-    return Scd2Result(state, changes)
+    return cur.join(new, "account_id", how).withColumn("_action", action).select(
+        "account_id", "_action",
+        F.when(F.col("_action") == "kept", version()).alias("_kept"),
+        F.when(F.col("_action") == "closed_and_reopened", version(effective_end=closed_at, is_current=F.lit(False))).alias("_closed"),
+        F.when(F.col("_action") != "kept", version(
+            account_key=account_key_of(F.col("account_id"), ts), account_id=F.col("account_id"),
+            region=F.col("_i.region"), account_status=F.col("_i.account_status"), effective_start=ts,
+            effective_end=F.lit(None), is_current=F.lit(True))).alias("_opened"))
+
+
+def scd2_delta(current: DataFrame, incoming: DataFrame, batch_ts: str) -> DataFrame:
+    """What a batch does to the current versions: account_id, action, the
+    version it closes (or NULL) and the version it opens, for changed and new
+    accounts only. ``current`` may leave out accounts that the batch does not
+    hold; closed history is neither read nor returned."""
+    inc = _refuse_duplicates(incoming.select("account_id", "region", "account_status"), "account_id", ["region", "account_status"])
+    return (_decided(current, inc, _ts(batch_ts), "right").filter(F.col("_action") != "kept")
+            .select("account_id", F.col("_action").alias("action"), F.col("_closed").alias("closed"), F.col("_opened").alias("opened")))
+
+
+def type1_delta(current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The merchants that a batch adds or changes, as they are to be stored."""
+    attrs = ["merchant_category", "region"]
+    inc = _refuse_duplicates(incoming.select("merchant_id", *attrs), "merchant_id", attrs)
+    old = current.select("merchant_key", "merchant_id", *[F.col(a).alias(f"_old_{a}") for a in attrs])
+    same = F.col("merchant_key").isNotNull()
+    for a in attrs:
+        same = same & F.col(a).eqNullSafe(F.col(f"_old_{a}"))
+    return inc.join(old, "merchant_id", "left").filter(~same).select(
+        F.coalesce("merchant_key", merchant_key_of(F.col("merchant_id"))).alias("merchant_key"), "merchant_id", *attrs)
 
 
 def change_report(changes: DataFrame) -> DataFrame:

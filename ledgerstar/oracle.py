@@ -726,7 +726,7 @@ SELECT orig_account_id, dest_account_id, dest_merchant_id, date_key, partition_d
     CAST(balance_before_dest AS DOUBLE) AS balance_before_dest,
     CAST(balance_after_dest AS DOUBLE) AS balance_after_dest,
     is_fraud, is_flagged_by_system, source_step
-FROM fact WHERE partition_date <= DATE '2024-01-15'""")
+FROM fact""")
 
 STAGE_SQL["fact_replace_partitions"] = with_star(f"""
 SELECT partition_date, COUNT(*) AS rows, CAST(SUM(amount) AS DOUBLE) AS total_amount,

@@ -4,10 +4,12 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import quality as Q
 from ..operators import warehouse as W
@@ -16,8 +18,8 @@ from ..operators.dimensions import (account_dimension, date_dimension, dim_trans
                                     fact_staging, merchant_dimension)
 from ..operators.enrich import enrich
 from ..schemas import (DIM_ACCOUNT, DIM_ACCOUNT_STAGING, DIM_DATE, DIM_MERCHANT, DIM_MERCHANT_STAGING,
-                       FACT_STAGING, FACT_TRANSACTIONS)
-from ..sources import sinks
+                       DIM_TRANSACTION_TYPE, FACT_STAGING, FACT_TRANSACTIONS)
+from ..sources import sinks, snapshots
 from ..sources.conform import conform
 from .star import Staged, Warehouse
 
@@ -79,85 +81,157 @@ def read_staged(spark: SparkSession, path: str) -> Staged:
                   table("dim_date", DIM_DATE), table("fact_transactions", FACT_STAGING))
 
 
-def read_warehouse_state(spark: SparkSession, root: str) -> Warehouse | None:
-    r = root.rstrip("/")
-    acct = sinks.read_latest(spark, f"{r}/dim_account")
-    if acct is None:
-        return None
-    fact_path = f"{r}/fact_transactions"
-    fact = _read(spark, fact_path, FACT_TRANSACTIONS) if sinks.path_exists(spark, fact_path) else None
-    return Warehouse(fact, acct, sinks.read_latest(spark, f"{r}/dim_merchant"),
-                     sinks.read_latest(spark, f"{r}/dim_date"),
-                     spark.read.parquet(f"{r}/dim_transaction_type"))
+HISTORY = "dim_account_closed"
+CHANGES = "dim_account_changes"
+ACCOUNT_CHANGES = T.StructType([
+    T.StructField("account_id", T.StringType()), T.StructField("action", T.StringType()),
+    T.StructField("closed", DIM_ACCOUNT), T.StructField("opened", DIM_ACCOUNT)])
+#: Hash buckets of the account and merchant dimensions, set by a warehouse's first load.
+BUCKETS = 16
+#: Snapshots that a load leaves readable, its own included.
+KEEP_SNAPSHOTS = 20
 
 
-def read_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    wh = read_warehouse_state(spark, root)
-    if wh is None:
-        raise FileNotFoundError(f"no warehouse at {root}")
-    return wh
+def read_warehouse(spark: SparkSession, root: str, number: int | None = None) -> Warehouse:
+    """The tables of the newest snapshot, or of an older one that is kept."""
+    found = snapshots.latest(spark, root) if number is None else snapshots.read(spark, root, number)
+    if found is None:
+        raise FileNotFoundError(f"no warehouse at {root}" if number is None else f"no snapshot {number} at {root}")
+    return warehouse_of(spark, root, found)
 
 
-def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str) -> dict:
-    """Date (insert-if-new) -> merchant (type 1) -> account (type 2) -> fact
-    (resolve keys, replace the staged days).
+def warehouse_of(spark: SparkSession, root: str, found: snapshots.Snapshot) -> Warehouse:
+    def table(name: str, schema) -> DataFrame:
+        return snapshots.table(spark, root, found, name, schema)
+
+    return Warehouse(snapshots.by_day(spark, root, found, "fact_transactions", FACT_TRANSACTIONS, "partition_date"),
+                     table("dim_account", DIM_ACCOUNT).unionByName(table(HISTORY, DIM_ACCOUNT)),
+                     table("dim_merchant", DIM_MERCHANT), table("dim_date", DIM_DATE), table("dim_transaction_type", DIM_TRANSACTION_TYPE))
 
-    Everything is written where no reader looks: dimensions as unpublished
-    versions, facts in a folder of their own. The constraints are then checked
-    on what was written, and only a batch that keeps them is published. A
-    ``batch_ts`` earlier than a stored version is refused; the same one again
-    is allowed if it changes no version that started with it (a replay).
+
+def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buckets: int = BUCKETS,
+             keep: int = KEEP_SNAPSHOTS) -> dict:
+    """Date (insert-if-new) -> merchant (type 1) -> account (type 2) -> fact
+    (resolve keys, replace the staged days), published as one snapshot.
+
+    Written are only new folders: the dates that are new, the buckets with
+    merchants or accounts that change, the versions that are closed, and the
+    staged days. Nothing that is stored is written again. What can be wrong
+    after that lies in these folders, so the constraints are checked there
+    (and keys against the dimensions); a batch that breaks one, or a job that
+    ends before the manifest is written, leaves the snapshot before it as it
+    was. A ``batch_ts`` earlier than a stored version is refused; the same one
+    again is allowed if it changes no version that started with it (a replay).
     """
-    r = root.rstrip("/")
-    state = read_warehouse_state(spark, r)
-    if state is None:
-        sinks.write_dimension(dim_transaction_type(spark), f"{r}/dim_transaction_type")
-    else:
-        newest = state.dim_account.agg(F.max("effective_start").cast("string")).first()[0]
-        if newest is not None and _later(newest, batch_ts):
-            raise ValueError(f"batch {batch_ts} is earlier than the newest stored version, {newest}")
-    types = spark.read.parquet(f"{r}/dim_transaction_type")
-
-    dates = W.insert_if_new(state.dim_date if state else None, staged.dim_date, "date_key")
-    merchants = W.type1_upsert(state.dim_merchant if state else None, staged.dim_merchant)
-    accounts = W.scd2_merge(state.dim_account if state else None, staged.dim_account, batch_ts)
-    new = {"dim_date": sinks.write_version(dates.state, f"{r}/dim_date", files=1, publish=False),
-           "dim_merchant": sinks.write_version(merchants.state, f"{r}/dim_merchant", publish=False),
-           "dim_account": sinks.write_version(accounts.state, f"{r}/dim_account", publish=False)}
-    dims = {k: _read(spark, path, {"dim_date": DIM_DATE, "dim_merchant": DIM_MERCHANT, "dim_account": DIM_ACCOUNT}[k]) for k, path in new.items()}
-
-    incoming_path = f"{r}/_incoming"
-    sinks.write_fact(W.resolve_fact(staged.fact, dims["dim_account"], dims["dim_merchant"], types, batch_ts), incoming_path, replace_days_only=False)
-    incoming = _read(spark, incoming_path, FACT_TRANSACTIONS)
-    audit = W.unresolved_counts(staged.fact, dims["dim_account"], types).first().asDict()
-    audit["inserted"] = incoming.count()
+    r, run = root.rstrip("/"), snapshots.new_run()
+    before = snapshots.latest(spark, r)
+    if before and before.newest_version and _later(before.newest_version, batch_ts):
+        raise ValueError(f"batch {batch_ts} is earlier than the newest stored version, {before.newest_version}")
+    n_buckets = before.buckets if before else buckets
+    parts = {name: dict(before.parts.get(name, {})) if before else {} for name in
+             ("dim_date", "dim_transaction_type", "dim_merchant", "dim_account", HISTORY, CHANGES, "fact_transactions")}
+    folder = {name: f"{name}/load={run}" for name in parts}
+
+    def stored(name: str, schema, only=None) -> DataFrame:
+        return snapshots.table(spark, r, before, name, schema, only)
+
+    def added(name: str, df: DataFrame, schema) -> DataFrame:
+        """Write ``df`` as a new part; an empty one is not named."""
+        snapshots.write(df, f"{r}/{folder[name]}")
+        return _read(spark, f"{r}/{folder[name]}", schema)
+
+    def part(name: str, schema) -> DataFrame:
+        return snapshots.read_parts(spark, r, sorted(set(parts[name].values())), schema)
+
+    def load_types() -> None:
+        if not parts["dim_transaction_type"]:
+            added("dim_transaction_type", dim_transaction_type(spark).coalesce(1), DIM_TRANSACTION_TYPE)
+            parts["dim_transaction_type"][run] = folder["dim_transaction_type"]
+
+    def load_dates() -> int:
+        new = W.insert_if_new(stored("dim_date", DIM_DATE), staged.dim_date, "date_key").inserted
+        inserted = added("dim_date", new.coalesce(1), DIM_DATE).count()
+        if inserted:
+            parts["dim_date"][run] = folder["dim_date"]
+        return inserted
+
+    def load_merchants() -> dict[str, str]:
+        scratch = f"{r}/dim_merchant_changes/load={run}"
+        snapshots.write(W.type1_delta(stored("dim_merchant", DIM_MERCHANT), staged.dim_merchant), scratch)
+        return snapshots.upsert_buckets(spark, r, before, "dim_merchant", DIM_MERCHANT, "merchant_id", _read(spark, scratch, DIM_MERCHANT), run, n_buckets)
+
+    def load_accounts() -> tuple[dict, dict[str, str], DataFrame]:
+        delta = added(CHANGES, W.scd2_delta(stored("dim_account", DIM_ACCOUNT), staged.dim_account, batch_ts), ACCOUNT_CHANGES)
+        changes, closed = W.change_report(delta).first().asDict(), spark.createDataFrame([], DIM_ACCOUNT)
+        if not any(changes.values()):
+            return changes, {}, closed
+        parts[CHANGES][run] = folder[CHANGES]
+        if changes["closed_and_reopened"]:
+            closed = added(HISTORY, delta.where("closed is not null").select("closed.*"), DIM_ACCOUNT)
+            parts[HISTORY][run] = folder[HISTORY]
+        return changes, snapshots.upsert_buckets(spark, r, before, "dim_account", DIM_ACCOUNT, "account_id", delta.select("opened.*"), run, n_buckets), closed
+
+    _, date_inserted, merchants, (changes, accounts, closed) = _together(load_types, load_dates, load_merchants, load_accounts)
+    sinks.remove(spark, f"{r}/dim_merchant_changes/load={run}")
+    parts["dim_merchant"] |= merchants
+    parts["dim_account"] |= accounts
+    types, current, all_merchants = (part(n, s) for n, s in (("dim_transaction_type", DIM_TRANSACTION_TYPE), ("dim_account", DIM_ACCOUNT), ("dim_merchant", DIM_MERCHANT)))
+
+    def load_facts() -> DataFrame:
+        facts = W.resolve_fact(staged.fact, current, all_merchants, types, batch_ts)
+        snapshots.write_parts(facts, f"{r}/{folder['fact_transactions']}", "partition_date")
+        return _read(spark, f"{r}/{folder['fact_transactions']}", FACT_TRANSACTIONS)
+
+    incoming, audit, days = _together(
+        load_facts, lambda: W.unresolved_counts(staged.fact, current, types).first().asDict(),
+        lambda: [str(d[0]) for d in staged.fact.select("partition_date").distinct().collect()])  # at most 31
+
+    dim_date = part("dim_date", DIM_DATE)
+    # a key has one bucket, so keys that clash do so inside the buckets written
+    written = {"dim_date": dim_date, "dim_transaction_type": types, "fact_transactions": incoming,
+               "dim_account": snapshots.read_parts(spark, r, accounts.values(), DIM_ACCOUNT).unionByName(closed),
+               "dim_merchant": snapshots.read_parts(spark, r, merchants.values(), DIM_MERCHANT)}
+    checks = (Q.domain_checks(dim_date, incoming), Q.uniqueness_checks(written), Q.not_null_checks(written),
+              Q.foreign_key_checks({**written, "dim_account": current, "dim_merchant": all_merchants}))
+    _, by_day = _together(lambda: Q.assert_ok(reduce(DataFrame.unionByName, checks)),
+                          lambda: {str(d[0]): d[1] for d in incoming.groupBy("partition_date").count().collect()})  # at most 31
+    audit["inserted"] = sum(by_day.values())
     audit["fan_out"] = audit["inserted"] + audit["unresolved_type"] + audit["unresolved_account"] - audit["staged"]
-    tables = {**dims, "fact_transactions": incoming, "dim_transaction_type": types}
-    Q.assert_ok(reduce(DataFrame.unionByName, (
-        Q.domain_checks(dims["dim_date"], incoming), Q.uniqueness_checks(tables), Q.foreign_key_checks(tables), Q.not_null_checks(tables))))
     if audit["fan_out"]:
         raise ValueError(f"facts multiply in the key lookup: {audit}")
 
-    ts = F.lit(batch_ts).cast("timestamp_ntz")
-    m = dims["dim_account"].agg(F.count_if(F.col("effective_end") == ts).alias("closed"), F.count_if(F.col("effective_start") == ts).alias("opened")).first()
-    changes = {"closed_and_reopened": m["closed"], "inserted_new": m["opened"] - m["closed"]}
-    date_inserted = dims["dim_date"].count() - (state.dim_date.count() if state else 0)
-    days = [d[0] for d in staged.fact.select("partition_date").distinct().collect()]  # at most 31
-    filled = {d[0] for d in incoming.select("partition_date").distinct().collect()}
-    audit["deleted"] = 0
-    if state is not None and state.fact_transactions is not None and days:
-        audit["deleted"] = state.fact_transactions.filter(F.col("partition_date").isin(days)).count()
-
-    for path in new.values():
-        sinks.publish_version(spark, path)
-    fact_path = f"{r}/fact_transactions"
-    # already balanced by day: copied without a shuffle
-    (incoming.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("partition_date").parquet(fact_path))
-    sinks.remove_days(spark, fact_path, [d for d in days if d not in filled])
-    sinks.remove(spark, incoming_path)
+    counted = dict(before.rows.get("fact_transactions", {})) if before else {}
+    audit["deleted"] = sum(counted.pop(d, 0) for d in days)
+    for day in days:  # a staged day replaces the stored one, also when none of its rows could be resolved
+        parts["fact_transactions"].pop(day, None)
+    parts["fact_transactions"] |= {d: f"{folder['fact_transactions']}/partition_date={d}" for d in by_day}
+    snapshots.publish(spark, r, snapshots.Snapshot(
+        batch_ts=batch_ts, newest_version=batch_ts if any(changes.values()) else before and before.newest_version,
+        buckets=n_buckets, parts=parts, rows={"fact_transactions": counted | by_day}), before)
+    named = {p for table in parts.values() for p in table.values()}
+    for path in folder.values():  # written without a row
+        if not any(p == path or p.startswith(f"{path}/") for p in named):
+            sinks.remove(spark, f"{r}/{path}")
+    snapshots.expire(spark, r, keep)
     return {"dates_inserted": date_inserted, "accounts": changes, "fact": audit}
 
 
+def _together(*tasks: Callable):
+    """Results of tasks that do not need each other, run as Spark jobs at the
+    same time; if one fails, its error is raised when all have ended."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
+def account_changes(spark: SparkSession, root: str, number: int) -> DataFrame:
+    """account_id and action of the load that published the snapshot."""
+    now, earlier = snapshots.read(spark, root, number), snapshots.read(spark, root, number - 1)
+    if now is None:
+        raise FileNotFoundError(f"no snapshot {number} at {root}")
+    new = set(now.parts.get(CHANGES, {})) - set(earlier.parts.get(CHANGES, {}) if earlier else {})
+    return snapshots.table(spark, root, now, CHANGES, ACCOUNT_CHANGES, new).select("account_id", "action")
+
+
 def _later(a: str, b: str) -> bool:
     """Whether timestamp ``a`` lies after ``b``."""
     return datetime.datetime.fromisoformat(a) > datetime.datetime.fromisoformat(b)

@@ -1,10 +1,5 @@
-"""Parquet sinks: small dimensions, the day-partitioned fact, and versioned
-table folders for state that is rewritten from itself (type-1/type-2).
-
-A table rewritten from its own content cannot overwrite the folder it reads.
-Each new state goes to ``{root}/v=<n>`` and becomes visible only when Spark
-commits the job (``_SUCCESS``); readers take the highest committed version.
-"""
+"""Parquet sinks of the staging: small dimensions and the day-partitioned
+fact. The warehouse's own tables are written by ``snapshots``."""
 
 from __future__ import annotations
 
@@ -29,52 +24,6 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    versions = committed_versions(spark, root)
-    if not versions:
-        return None
-    return spark.read.parquet(f"{root.rstrip('/')}/v={versions[-1]}")
-
-
-def write_version(df: DataFrame, root: str, files: int | None = None, publish: bool = True) -> str:
-    """Write ``df`` as the next version of the table at ``root``.
-
-    Without ``publish`` no reader sees it until ``publish_version``; a later
-    write replaces an unpublished version.
-    """
-    spark = df.sparkSession
-    versions = committed_versions(spark, root)
-    path = f"{root.rstrip('/')}/v={(versions[-1] + 1) if versions else 1}"
-    out = df.coalesce(files) if files else df.hint("rebalance")
-    out.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(publish).lower()).parquet(path)
-    return path
-
-
-def publish_version(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, f"{path}/_SUCCESS")
-    fs.create(p, True).close()
-
-
-def remove_days(spark: SparkSession, path: str, days: list) -> None:
-    """Delete whole days of a day-partitioned fact."""
-    for day in days:
-        remove(spark, f"{path.rstrip('/')}/partition_date={day}")
-
-
 def write_dimension(df: DataFrame, path: str, single_file: bool = True) -> None:
     """Full overwrite. One file for the small dimensions; size-balanced
     files (AQE rebalance) for a dimension that grows with the data."""
