@@ -51,6 +51,39 @@ def clean(df: DataFrame, strict_types: bool = False) -> DataFrame:
     return _filtered(df, strict_types).dropDuplicates(RAW_COLUMNS)
 
 
+REJECTED_BY = "rejected_by"
+
+
+def judged(df: DataFrame, strict_types: bool = False) -> DataFrame:
+    """Every raw row with the first rule that it fails, or NULL, and whether
+    its line could not be parsed."""
+    failed = F.lit(None).cast("string")
+    for name, passes in reversed(rule_columns(strict_types)):
+        failed = F.when(~F.coalesce(passes, F.lit(False)), name).otherwise(failed)
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in df.columns else F.lit(False)
+    return df.select(*RAW_COLUMNS, failed.alias(REJECTED_BY), corrupt.alias("corrupt"))
+
+
+def accepted(rows: DataFrame, strict_types: bool = False) -> DataFrame:
+    """The rows of ``judged`` that no rule rejects, as ``clean`` returns them."""
+    kept = rows.filter(F.col(REJECTED_BY).isNull())
+    if not strict_types:
+        kept = kept.withColumn("type", normalise_type("type"))
+    return kept.select(*RAW_COLUMNS).dropDuplicates(RAW_COLUMNS)
+
+
+def judged_counts(rows: DataFrame, corrupt: bool = False) -> DataFrame:
+    """``rule_counts`` from rows that ``judged`` has tagged."""
+    by = F.col(REJECTED_BY)
+    aggs = [F.count(F.lit(1)).alias("rows_in"),
+            *[F.count_if(by == name).cast("long").alias(f"dropped_{name}") for name, _ in rule_columns()],
+            F.count_if(by.isNull()).cast("long").alias("passed"),
+            F.count_if(by.isNull() & (F.col("nameOrig") != F.trim(F.col("nameOrig")))).cast("long").alias("padded_orig_ids")]
+    if corrupt:
+        aggs.append(F.count_if(F.col("corrupt")).cast("long").alias("corrupt_rows"))
+    return rows.agg(*aggs)
+
+
 def rule_counts(df: DataFrame, strict_types: bool = False) -> DataFrame:
     """One row: rows_in, rows dropped by each rule (first failing rule wins),
     rows passed, padded originator ids that were kept, unparsable lines if

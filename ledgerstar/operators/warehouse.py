@@ -220,6 +220,11 @@ STAGING_ROW_COLUMNS = [
 ]
 
 
+def transaction_key() -> Column:
+    """The digest of a staged row."""
+    return wide_key(*[F.col(c) for c in STAGING_ROW_COLUMNS])
+
+
 def _money(c: str) -> Column:
     col = F.col(c)
     return F.when(F.isnan(col), F.lit(None)).otherwise(col).cast("decimal(18,2)")
@@ -290,7 +295,7 @@ def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataF
     flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type)
     ok = F.col("transaction_type_key").isNotNull() & F.col("orig_account_key").isNotNull()
     return flagged.filter(ok).select(
-        wide_key(*[F.col(c) for c in STAGING_ROW_COLUMNS]).alias("transaction_key"),
+        transaction_key().alias("transaction_key"),
         "date_key", "transaction_type_key", "orig_account_key", "dest_account_key",
         F.col("merchant_key").alias("dest_merchant_key"),
         _money("amount").alias("amount"),

@@ -250,11 +250,11 @@ def x10_incremental_type_mix(spark, sf_dir):
 
 
 def x10_same_day_drops(spark, sf_dir):
-    """Rows and value per day after two drops that both hold every day: as if
+    """Rows and value per day after eight drops that all hold every day: as if
     all rows had come at once."""
-    from ..streaming.incremental import run_events_in_two_drops
+    from ..streaming.incremental import run_events_in_drops
     from .jobs import read_warehouse
-    wh = read_warehouse(spark, f"{run_events_in_two_drops(spark, sf_dir, TEST_SALT)}/warehouse")
+    wh = read_warehouse(spark, f"{run_events_in_drops(spark, sf_dir, TEST_SALT)}/warehouse")
     return (wh.fact_transactions.groupBy(F.col("partition_date").alias("calendar_date"))
             .agg(F.count(F.lit(1)).alias("txn_count"), round_double(F.sum("amount"), 2).alias("total_value")))
 

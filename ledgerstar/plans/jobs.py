@@ -9,22 +9,25 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import quality as Q
 from ..operators import warehouse as W
-from ..operators.clean import clean, rule_counts
+from ..operators.clean import CORRUPT_COLUMN, REJECTED_BY, accepted, judged, judged_counts
 from ..operators.dimensions import (account_dimension, date_dimension, dim_transaction_type,
                                     fact_staging, merchant_dimension)
 from ..operators.enrich import enrich
 from ..schemas import (DIM_ACCOUNT, DIM_ACCOUNT_STAGING, DIM_DATE, DIM_MERCHANT, DIM_MERCHANT_STAGING,
-                       DIM_TRANSACTION_TYPE, FACT_STAGING, FACT_TRANSACTIONS)
+                       DIM_TRANSACTION_TYPE, FACT_STAGING, FACT_TRANSACTIONS, RAW_SCHEMA)
 from ..sources import sinks, snapshots
 from ..sources.conform import conform
 from .star import Staged, Warehouse
 
 
 VALIDATED_MARKER = "_validated"
+#: Raw rows by outcome; of a finished transform only the rejected ones are left.
+ROWS = "rows"
 
 
 def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
@@ -32,6 +35,11 @@ def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
     """Clean, enrich and write the fact staging, then build, write and
     validate the dimensions derived from it.
 
+    The raw input is read once. Its rows are written as they are, each with
+    the first rule that it fails; the staging is built from those without
+    one, and the others stay in ``rejected``. The counts by rule are taken
+    from the same files.
+
     The ``_validated`` marker of an earlier run is removed first and written
     last: whatever fails in between leaves a folder that the load refuses to
     read. The dimensions are read from the written fact, only the columns they
@@ -42,21 +50,26 @@ def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
     spark = raw.sparkSession
     o = out.rstrip("/")
     sinks.remove(spark, f"{o}/{VALIDATED_MARKER}")
-    txn = enrich(clean(raw, strict_types=strict_types), salt)
+    corrupt = CORRUPT_COLUMN in raw.columns
+    split = judged(raw, strict_types).withColumn("outcome", F.when(F.col(REJECTED_BY).isNull(), "accepted").otherwise("rejected"))
+    split.write.mode("overwrite").partitionBy("outcome").parquet(f"{o}/{ROWS}")
+    rows = spark.read.schema(split.schema).parquet(f"{o}/{ROWS}")
+    txn = enrich(accepted(rows.where("outcome = 'accepted'"), strict_types), salt)
     # staging holds exactly this batch: static overwrite of the folder
     sinks.write_fact(fact_staging(txn), f"{o}/fact_transactions", replace_days_only=False)
     fact = _read(spark, f"{o}/fact_transactions", FACT_STAGING)
 
-    sinks.write_dimension(account_dimension(fact), f"{o}/dim_account", single_file=False)
-    sinks.write_dimension(merchant_dimension(fact), f"{o}/dim_merchant", single_file=False)
-    sinks.write_dimension(date_dimension(fact), f"{o}/dim_date")
+    _together(lambda: sinks.write_dimension(account_dimension(fact), f"{o}/dim_account", single_file=False),
+              lambda: sinks.write_dimension(merchant_dimension(fact), f"{o}/dim_merchant", single_file=False),
+              lambda: sinks.write_dimension(date_dimension(fact), f"{o}/dim_date"))
     tables = {"fact": fact, "dim_account": _read(spark, f"{o}/dim_account", DIM_ACCOUNT_STAGING),
               "dim_merchant": _read(spark, f"{o}/dim_merchant", DIM_MERCHANT_STAGING), "dim_date": _read(spark, f"{o}/dim_date", DIM_DATE)}
-    rows = {k: df.count() for k, df in tables.items()}
-    rules = rule_counts(raw, strict_types=strict_types).first().asDict()
+    *counted, rules = _together(*[df.count for df in tables.values()], lambda: judged_counts(rows, corrupt).first().asDict())
+    counts = dict(zip(tables, counted, strict=True))
     passed = rules.pop("passed")
-    report = {**rules, "dropped_duplicates": passed - rows["fact"], "rows_out": rows["fact"],
-              "dropped": rules["rows_in"] - rows["fact"], "rows": rows}
+    report = {**rules, "dropped_duplicates": passed - counts["fact"], "rows_out": counts["fact"],
+              "dropped": rules["rows_in"] - counts["fact"], "rows": counts}
+    sinks.remove(spark, f"{o}/{ROWS}/outcome=accepted")
     if validate:
         report["validation"] = Q.assert_ok(Q.validate_staging(fact, tables["dim_account"]))
     spark.createDataFrame([(str(report),)], "report string").coalesce(1) \
@@ -64,6 +77,13 @@ def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
     return report
 
 
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The raw rows that a transform left out, with the first rule that each failed."""
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(REJECTED_BY, T.StringType()), T.StructField("corrupt", T.BooleanType()), T.StructField("outcome", T.StringType())])
+    rows = spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{ROWS}")
+    return rows.where("outcome = 'rejected'").drop("outcome")
+
+
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     """A table that a job wrote; an empty one has no files to take a schema from."""
     return spark.read.schema(schema).parquet(path)
@@ -110,7 +130,7 @@ def warehouse_of(spark: SparkSession, root: str, found: snapshots.Snapshot) -> W
 
 
 def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buckets: int = BUCKETS,
-             keep: int = KEEP_SNAPSHOTS) -> dict:
+             keep: int = KEEP_SNAPSHOTS, append: bool = False) -> dict:
     """Date (insert-if-new) -> merchant (type 1) -> account (type 2) -> fact
     (resolve keys, replace the staged days), published as one snapshot.
 
@@ -122,6 +142,12 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
     ends before the manifest is written, leaves the snapshot before it as it
     was. A ``batch_ts`` earlier than a stored version is refused; the same one
     again is allowed if it changes no version that started with it (a replay).
+
+    With ``append`` the staged rows are added to their days instead: rows
+    that are stored already are left out (``already_stored``), the others
+    become one more folder of the day. The surrogate key of a fact is the
+    digest of its row and the row names its hour, so only the keys stored for
+    the batch's hours are read: what the day holds beside them costs nothing.
     """
     r, run = root.rstrip("/"), snapshots.new_run()
     before = snapshots.latest(spark, r)
@@ -143,6 +169,14 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
     def part(name: str, schema) -> DataFrame:
         return snapshots.read_parts(spark, r, sorted(set(parts[name].values())), schema)
 
+    already = 0
+    if append:
+        scratch = f"{r}/fact_fresh/load={run}"
+        snapshots.write(fresh_facts(spark, r, before, staged.fact), scratch)
+        fresh = _read(spark, scratch, FACT_STAGING)
+        already = staged.fact.count() - fresh.count()
+        staged = Staged(staged.dim_account, staged.dim_merchant, staged.dim_date, fresh)
+
     def load_types() -> None:
         if not parts["dim_transaction_type"]:
             added("dim_transaction_type", dim_transaction_type(spark).coalesce(1), DIM_TRANSACTION_TYPE)
@@ -201,10 +235,16 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
         raise ValueError(f"facts multiply in the key lookup: {audit}")
 
     counted = dict(before.rows.get("fact_transactions", {})) if before else {}
-    audit["deleted"] = sum(counted.pop(d, 0) for d in days)
-    for day in days:  # a staged day replaces the stored one, also when none of its rows could be resolved
-        parts["fact_transactions"].pop(day, None)
-    parts["fact_transactions"] |= {d: f"{folder['fact_transactions']}/partition_date={d}" for d in by_day}
+    audit["deleted"] = 0
+    if append:
+        sinks.remove(spark, scratch)
+        audit["already_stored"] = already
+        by_day = {f"{d} {run}": n for d, n in by_day.items()}
+    else:  # a staged day replaces the stored one, also when none of its rows could be resolved
+        for name in [p for p in parts["fact_transactions"] if p.split(" ")[0] in days]:
+            del parts["fact_transactions"][name]
+            audit["deleted"] += counted.pop(name, 0)
+    parts["fact_transactions"] |= {d: f"{folder['fact_transactions']}/partition_date={d.split(' ')[0]}" for d in by_day}
     snapshots.publish(spark, r, snapshots.Snapshot(
         batch_ts=batch_ts, newest_version=batch_ts if any(changes.values()) else before and before.newest_version,
         buckets=n_buckets, parts=parts, rows={"fact_transactions": counted | by_day}), before)
@@ -216,6 +256,21 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
     return {"dates_inserted": date_inserted, "accounts": changes, "fact": audit}
 
 
+def fresh_facts(spark: SparkSession, root: str, stored: snapshots.Snapshot | None, staging: DataFrame) -> DataFrame:
+    """The staged rows that the snapshot does not hold."""
+    if stored is None or not stored.parts.get("fact_transactions"):
+        return staging
+    hours = staging.select("partition_date", "source_step").distinct().collect()  # at most 744
+    days, steps = sorted({h[0] for h in hours}), sorted({h[1] for h in hours})
+    names = [p for p in stored.parts["fact_transactions"] if p.split(" ")[0] in {str(d) for d in days}]
+    if not names:
+        return staging
+    held = snapshots.table(spark, root, stored, "fact_transactions", FACT_TRANSACTIONS, names)
+    # rows of one drop share their hours, so files of other hours are skipped by their statistics
+    keys = held.where(F.col("source_step").isin(steps)).select("transaction_key")
+    return staging.withColumn("transaction_key", W.transaction_key()).join(keys, "transaction_key", "left_anti").select([f.name for f in FACT_STAGING.fields])
+
+
 def _together(*tasks: Callable):
     """Results of tasks that do not need each other, run as Spark jobs at the
     same time; if one fails, its error is raised when all have ended."""

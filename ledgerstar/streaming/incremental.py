@@ -6,7 +6,7 @@ each micro-batch runs the transform and load jobs (``foreachBatch``). With
 processes everything that arrived since the last run and stops. The stream
 checkpoint records which files are done, so a restarted run neither skips
 nor repeats files, and the loads themselves are idempotent (a replayed
-micro-batch lands and replaces the same days and finds no account changes).
+micro-batch finds its rows stored and no account changes).
 """
 
 from __future__ import annotations
@@ -15,12 +15,12 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..plans import jobs
-from ..schemas import MAX_STEP, MIN_STEP, RAW_COLUMNS, RAW_SCHEMA
+from ..schemas import RAW_COLUMNS, RAW_SCHEMA
+from ..sources import sinks
 from ..sources.raw import events_as_transactions, with_defects
 from ..session import checkpoint_dir
 
@@ -36,39 +36,25 @@ def batch_ts_for(batch_id: int) -> str:
 
 def load_each_batch(root: str, salt: str,
                     to_raw: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Land the micro-batch's raw rows in a folder of its own (a replay
-    overwrites the same one), then rebuild every day that it touches from all
-    rows landed for that day so far, and replace those days. A day may so
-    arrive in any number of drops."""
+    """Transform the micro-batch and append what the warehouse does not hold
+    yet to its days. A day may so arrive in any number of drops, and each
+    drop reads, moves and writes only rows of its own hours. A micro-batch
+    that runs again finds its rows stored."""
     r = root.rstrip("/")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        landing = f"{r}/landing/batch={batch_id}"
-        raw = to_raw(batch).select(*RAW_COLUMNS)
-        raw.withColumn("landed_day", day_of_step("step")).hint("rebalance", "landed_day").write.mode("overwrite").partitionBy("landed_day").parquet(landing)
-        landed = spark.read.schema(LANDED).parquet(f"{r}/landing").where(F.col("batch") <= batch_id)
-        own = landed.where((F.col("batch") == batch_id) & (F.col("landed_day") >= 0))
-        days = [x[0] for x in own.select("landed_day").distinct().collect()]  # at most 31
-        if not days:
-            return
-        touched = landed.where(F.col("landed_day").isin(days)).select(*RAW_COLUMNS)
         staging = f"{r}/staging/batch={batch_id}"
-        jobs.run_transform(touched, staging, salt)
-        jobs.run_load(spark, jobs.read_staged(spark, staging), f"{r}/warehouse", batch_ts_for(batch_id))
+        report = jobs.run_transform(to_raw(batch).select(*RAW_COLUMNS), staging, salt)
+        if report["rows_out"]:
+            jobs.run_load(spark, jobs.read_staged(spark, staging), f"{r}/warehouse", batch_ts_for(batch_id), append=True)
+        rejected = f"{r}/rejected/batch={batch_id}"
+        sinks.remove(spark, rejected)
+        jobs.read_rejected(spark, staging).write.parquet(rejected)
+        sinks.remove(spark, staging)
     return run
 
 
-def day_of_step(step: str) -> Column:
-    """The day (from 0) of an hourly step; -1 for a step out of range, whose row is landed but never loaded."""
-    ok = F.col(step).between(MIN_STEP, MAX_STEP)
-    return F.when(ok, F.floor((F.col(step) - 1) / 24).cast("int")).otherwise(F.lit(-1))
-
-
-#: Landed raw rows, with the folders' columns.
-LANDED = T.StructType([*(RAW_SCHEMA[c] for c in RAW_COLUMNS), T.StructField("batch", T.LongType()), T.StructField("landed_day", T.IntegerType())])
-
-
 def start_incremental(spark: SparkSession, source_dir: str, root: str, salt: str,
                       fmt: str = "csv", glob: str | None = None,
                       to_raw: Callable[[DataFrame], DataFrame] | None = None,
@@ -106,13 +92,13 @@ def run_events_incremental(spark: SparkSession, sf_dir: str, salt: str, root: st
     return root
 
 
-def run_events_in_two_drops(spark: SparkSession, sf_dir: str, salt: str) -> str:
-    """The same events in two drops, even ids first: every day arrives twice.
-    Returns the root."""
+def run_events_in_drops(spark: SparkSession, sf_dir: str, salt: str, drops: int = 8) -> str:
+    """The same events dealt over several drops by id: every day arrives in
+    each of them. Returns the root."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/drops-{uuid.uuid4().hex}"
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    for parity in (0, 1):
-        events.where(F.col("event_id") % 2 == parity).write.parquet(f"{base}/source/drop={parity}")
+    for n in range(drops):
+        events.where(F.col("event_id") % drops == n).write.parquet(f"{base}/source/drop={n}")
         q = start_incremental(
             spark, f"{base}/source", f"{base}/run", salt, fmt="parquet", glob="*.parquet", schema=events.schema,
             to_raw=lambda df: with_defects(events_as_transactions(df, keep_event_id=True)).drop("event_id"))

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ledgerstar.functions.numeric import avg_half_up, pct
 from ledgerstar.operators import quality as Q
 from ledgerstar.operators import warehouse as W
+from ledgerstar.operators.clean import clean_report
 from ledgerstar.operators.dimensions import dim_transaction_type
 from ledgerstar.plans import analytics, jobs
 from ledgerstar.plans.star import Warehouse, star_from_raw
 from ledgerstar.schemas import DIM_ACCOUNT, DIM_DATE, DIM_MERCHANT, FACT_TRANSACTIONS, RAW_COLUMNS, RAW_SCHEMA
-from ledgerstar.sources import sinks
+from ledgerstar.sources import sinks, snapshots
 from ledgerstar.sources.raw import write_raw_csv
 from ledgerstar.streaming.incremental import start_incremental
 
@@ -179,21 +180,63 @@ def test_schemas_of_written_tables(spark, tmp_dir):
         assert {(f.name, f.dataType) for f in df.schema} == {(f.name, f.dataType) for f in schema}
 
 
-def test_two_drops_for_one_day_keep_every_row(spark, tmp_dir):
+def test_drops_for_one_day_keep_every_row_and_append(spark, tmp_dir):
     src, root = f"{tmp_dir}/in", f"{tmp_dir}/run"
 
-    def run():
+    def run(name, *rows):
+        if rows:
+            write_raw_csv(raw(spark, *rows).coalesce(1), f"{src}/{name}")
         q = start_incremental(spark, src, root, "salt", glob="*.csv", max_files_per_trigger=1)
         q.awaitTermination()
         assert q.exception() is None
 
-    write_raw_csv(raw(spark, raw_row(1, "C1", "C2"), raw_row(2, "C1", "C3"), raw_row(30, "C1", "C2")).coalesce(1), f"{src}/a")
-    run()
-    write_raw_csv(raw(spark, raw_row(3, "C4", "C2"), raw_row(2, "C1", "C3"), raw_row(900, "C4", "C2")).coalesce(1), f"{src}/b")
-    run()
-    days = {str(r[0]): r[1] for r in jobs.read_warehouse(spark, f"{root}/warehouse").fact_transactions.groupBy("partition_date").count().collect()}
-    assert days == {"2024-01-01": 3, "2024-01-02": 1}
-    run()  # nothing new
-    write_raw_csv(raw(spark, raw_row(900, "C4", "C2")).coalesce(1), f"{src}/c")  # nothing that can be loaded
-    run()
-    assert jobs.read_warehouse(spark, f"{root}/warehouse").fact_transactions.count() == 4
+    def days():
+        return {str(r[0]): r[1] for r in jobs.read_warehouse(spark, f"{root}/warehouse").fact_transactions.groupBy("partition_date").count().collect()}
+
+    def written():
+        return {p for p in snapshots.latest(spark, f"{root}/warehouse").parts["fact_transactions"].values()}
+
+    run("a", raw_row(1, "C1", "C2"), raw_row(2, "C1", "C3"), raw_row(30, "C1", "C2"))
+    first = written()
+    run("b", raw_row(3, "C4", "C2"), raw_row(2, "C1", "C3"), raw_row(900, "C4", "C2"))
+    assert days() == {"2024-01-01": 3, "2024-01-02": 1}
+    assert first < written() and len(written()) == 3  # one more folder of the day, nothing rewritten
+    run("none")  # nothing new
+    run("c", raw_row(900, "C4", "C2"))  # nothing that can be loaded
+    assert days() == {"2024-01-01": 3, "2024-01-02": 1}
+    rejected = spark.read.parquet(f"{root}/rejected")
+    assert sorted((r.nameOrig, r.rejected_by) for r in rejected.collect()) == [("C4", "bad_step")] * 2
+    assert not os.path.exists(f"{root}/landing") and not os.listdir(f"{root}/staging")
+
+
+def test_append_leaves_out_stored_rows_and_a_load_replaces_all_parts(spark, tmp_dir):
+    wh = f"{tmp_dir}/wh"
+
+    def load(name, ts, *rows, **more):
+        jobs.run_transform(raw(spark, *rows), f"{tmp_dir}/{name}", "salt")
+        return jobs.run_load(spark, jobs.read_staged(spark, f"{tmp_dir}/{name}"), wh, ts, **more)["fact"]
+
+    a, b, c = raw_row(1, "C1", "C2"), raw_row(1, "C3", "C2"), raw_row(5, "C1", "C2", amount=2.0)
+    assert load("s1", T1, a, append=True)["already_stored"] == 0
+    got = load("s2", T2, a, b, c, append=True)
+    assert (got["staged"], got["inserted"], got["already_stored"], got["deleted"]) == (2, 2, 1, 0)
+    again = load("s3", T2, a, b, c, append=True)
+    assert (again["inserted"], again["already_stored"]) == (0, 3)
+    assert jobs.read_warehouse(spark, wh).fact_transactions.count() == 3
+    assert load("s4", T3, c)["deleted"] == 3
+    assert [float(r.amount) for r in jobs.read_warehouse(spark, wh).fact_transactions.collect()] == [2.0]
+
+
+def test_rejected_rows_stay_and_count_like_the_report(spark, tmp_dir):
+    rows = [raw_row(1, "C1", "C2"), raw_row(1, "C1", "C2"), raw_row(0, "C1", "C2"), raw_row(1, " ", "C2", amount=-1.0), raw_row(2, "C1", "", kind="BOGUS"),
+            raw_row(3, "C1", "C2", amount=float("nan")), raw_row(3, " C1", "C2"), raw_row(4, "C1", "C2", kind="cash-in"), raw_row(4, "C1", "C2", kind="BOGUS")]
+    for strict in (False, True):
+        out = f"{tmp_dir}/{strict}"
+        report = jobs.run_transform(raw(spark, *rows), out, "salt", strict_types=strict)
+        want = clean_report(raw(spark, *rows), strict).first().asDict()
+        assert {k: report[k] for k in want} == want
+        rejected = jobs.read_rejected(spark, out)
+        by_rule = {r[0]: r[1] for r in rejected.groupBy("rejected_by").count().collect()}
+        assert by_rule == {k[8:]: v for k, v in want.items() if k.startswith("dropped_") and k != "dropped_duplicates" and v}
+        assert rejected.columns[:11] == RAW_COLUMNS
+        assert os.listdir(f"{out}/rows") and not any("accepted" in d for d in os.listdir(f"{out}/rows"))
