@@ -1,71 +1,28 @@
-"""Distributed global row number, rank and ntile (W-G1).
+"""Distributed global place, rank and NTILE (W-G1), several measures at once.
 
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row into one
-task. Here the frame is range-partitioned on the full order key (which must
-end in a unique tie-breaker), sorted inside each partition and numbered with
-``monotonically_increasing_id`` (partition index in the upper bits, position
-in the lower 33 bits). The per-partition counts (one row per partition, a
-proven bound) are prefix-summed and broadcast back as offsets.
-
-The numbered frame is written once (Parquet) into the shared checkpoint
-folder and read back before anything is counted: range boundaries come from
-sampling, so a recomputation in a later job could otherwise move rows
-between partitions and break the numbering. The write also cuts lineage, so
-a lost executor only costs re-reading that folder.
+task. Here a row's place is counted instead of sorted for: rows are counted
+by group, a group being a value and the first characters of the tie-breaking
+key. Groups of a coarse, monotone bucket of the value are summed up in
+order, the buckets (a few thousand, whatever the number of rows) likewise,
+and only rows of one group are numbered among each other. A value that a
+third of all rows share is spread over thousands of groups by the key's
+characters. All measures of a frame go through the same counting, so the
+frame is read twice, however many there are: once to count and once to place.
+Nothing is written, sampled or collected.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from ..session import checkpoint_dir
 from .percentiles import value_bucket
 
-_LOW_BITS = (1 << 33) - 1
-
-
-def _numbered(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
-    """Rows with ``_pid`` (range partition), ``_pos`` (position in it),
-    ``_rn`` (1-based global row number) and ``_total``."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/row-number-{uuid.uuid4().hex}"
-    # Without an explicit count, AQE may merge adjacent range partitions;
-    # merged partitions are still contiguous key ranges, so the numbering
-    # (partition index, then position) keeps following the order.
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order))
-    (ranged
-       .sortWithinPartitions(*order)
-       .withColumn("_mid", F.monotonically_increasing_id())
-       .write.parquet(path))
-    numbered = spark.read.parquet(path)
-    numbered = numbered.select(
-        "*", F.shiftright(F.col("_mid"), 33).alias("_pid"),
-        F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"))
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # at most one row per partition: a single ordered pass is fine here
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
-    out = numbered.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns, "_pid", "_pos", "_total",
-                      (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1).alias("_rn"))
-
-
-def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
-    """Adds a 1-based ``name`` following ``order`` over the whole frame.
-
-    ``order`` must be a total order (end it with a unique column), otherwise
-    tied rows get an arbitrary (though consistent) numbering.
-    """
-    nb = _numbered(df, order, num_partitions)
-    return nb.select(*df.columns, F.col("_rn").alias(name), F.col("_total").alias(f"_{name}_total"))
+#: Characters of a string key that split the rows of one value.
+KEY_CHARS = 3
+_BEFORE = [Window.unboundedPreceding, -1]
 
 
 def ntile_of(row_number: Column, total: Column, k: int) -> Column:
@@ -78,88 +35,72 @@ def ntile_of(row_number: Column, total: Column, k: int) -> Column:
         .otherwise(r + F.ceil((row_number - big) / b)).cast("int")
 
 
-def global_ntile(df: DataFrame, order: list[Column], k: int, name: str = "ntile",
-                 num_partitions: int | None = None) -> DataFrame:
-    rn = global_row_number(df, order, "_rn", num_partitions)
-    return rn.withColumn(name, ntile_of(F.col("_rn"), F.col("__rn_total"), k)) \
-        .drop("_rn", "__rn_total")
+def _grouped(df: DataFrame, measures: dict[str, Column], ties: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` once per measure (_m) with their group (_g), and per
+    group where it starts (_start, from 0), where its value starts
+    (_value_start) and how many rows there are (_total)."""
+    values = df.withColumns({f"_v{i}": v for i, v in enumerate(measures.values())})
+    of = range(len(measures))
+    first = F.substring(ties[0], 1, KEY_CHARS) if isinstance(df.schema[ties[0]].dataType, StringType) else value_bucket(F.col(ties[0]))
+    m = F.explode(F.array(*[F.lit(i) for i in of])) if len(measures) > 1 else F.lit(0)
+    own = [F.when(F.col("_m") == i, F.col(f"_v{i}")) for i in of]  # NULL but for the row's measure
+    value = F.struct(F.col("_m"), *[v.alias(f"v{i}") for i, v in enumerate(own)])
+    bucket = F.coalesce(*[value_bucket(v) for v in own])
+    rows = (values.withColumn("_m", m).withColumn("_g", F.struct(value.alias("v"), first.alias("p"))).withColumn("_b", bucket)
+            .drop(*[f"_v{i}" for i in of]))
+
+    counts = rows.groupBy("_m", "_b", "_g").agg(F.count(F.lit(1)).alias("_n"))
+    # at most a few thousand buckets of a measure, whatever the rows
+    buckets = counts.groupBy("_m", "_b").agg(F.sum("_n").alias("_size"))
+    by_measure = Window.partitionBy("_m")
+    buckets = buckets.select(F.col("_m").alias("_bm"), F.col("_b").alias("_bb"),
+                             F.coalesce(F.sum("_size").over(by_measure.orderBy(F.col("_b").asc_nulls_first()).rowsBetween(*_BEFORE)), F.lit(0)).alias("_off"),
+                             F.sum("_size").over(by_measure).alias("_total"))
+    in_bucket, same_value = Window.partitionBy("_m", "_b"), Window.partitionBy("_m", "_b", "_g.v")
+    starts = counts.select(
+        "_m", "_b", F.col("_g").alias("_sg"),
+        F.coalesce(F.sum("_n").over(in_bucket.orderBy("_g").rowsBetween(*_BEFORE)), F.lit(0)).alias("_in"),
+        (F.sum("_n").over(in_bucket.orderBy("_g.v")) - F.sum("_n").over(same_value)).alias("_value_in"))
+    starts = starts.join(F.broadcast(buckets), (F.col("_m") == F.col("_bm")) & F.col("_b").eqNullSafe(F.col("_bb")))
+    return rows.drop("_b"), starts.select("_sg", (F.col("_off") + F.col("_in")).alias("_start"),
+                                          (F.col("_off") + F.col("_value_in")).alias("_value_start"), "_total")
+
+
+def _gathered(placed: DataFrame, columns: list[str], ties: list[str], place: Column, names: list[str]) -> DataFrame:
+    """One row per row of the frame again, with ``place`` per measure, and _total."""
+    if len(names) == 1:
+        return placed.select(*columns, place.alias(names[0]), "_total")
+    rest = [c for c in columns if c not in ties]
+    out = placed.groupBy(*ties).agg(*[F.first(c).alias(c) for c in rest],
+                                    *[F.max(F.when(F.col("_m") == i, place)).alias(n) for i, n in enumerate(names)], F.first("_total").alias("_total"))
+    return out.select(*columns, *names, "_total")
+
+
+def global_places(df: DataFrame, measures: dict[str, Column], ties: list[str]) -> DataFrame:
+    """Adds, for each measure (name -> number), the 1-based place of the row in
+    the order of the measure, ascending, NULL first, then of ``ties``
+    ascending, NULL first; and the number of rows as ``_total``.
+
+    ``ties`` are columns that identify a row; the first is a string whose
+    first characters spread the rows, or a number. For a descending measure
+    pass its negative.
+    """
+    rows, starts = _grouped(df, measures, ties)
+    in_group = Window.partitionBy("_g").orderBy(*[F.col(t).asc_nulls_first() for t in ties])
+    placed = (rows.join(starts, F.col("_g") == F.col("_sg"))
+              .withColumn("_place", F.col("_start") + F.row_number().over(in_group)))
+    return _gathered(placed, df.columns, ties, F.col("_place"), list(measures))
 
 
-def ntile_by_counts(df: DataFrame, value: Column, ties: list[str], k: int, name: str = "ntile") -> DataFrame:
-    """NTILE(k) over the whole frame by ``value`` ascending, then ``ties``.
+def global_ntiles(df: DataFrame, measures: dict[str, Column], ties: list[str], k: int) -> DataFrame:
+    """Adds NTILE(k) for each measure, over the order of ``global_places``."""
+    placed = global_places(df, measures, ties)
+    return placed.withColumns({n: ntile_of(F.col(n), F.col("_total"), k) for n in measures}).drop("_total")
 
-    NTILE needs only the last row of each of the first k - 1 tiles. Those rows
-    are found by counting, in ever narrower parts: buckets of the value, the
-    values of the buckets that hold a tile's end, the first characters of the
-    first tie among rows of such a value, and at last the rows themselves.
-    The k - 1 keys found are one row that every task gets; a row's tile is 1
-    and the number of ends before it. Nothing is sorted as a whole, and
-    nothing is written.
 
-    ``value`` is a number and not NULL, ``ties`` end in a unique key, and the
-    first of them is a string whose first characters spread the rows.
-    """
-    v = df.withColumn("_v", value)
-    upto = [Window.unboundedPreceding, 0]
-
-    def narrowed(targets: DataFrame, counts: DataFrame, by: list[str], key: str) -> DataFrame:
-        """Targets (j, off, *by) to the ``key`` where the count within ``by`` reaches off."""
-        w = Window.partitionBy(*by).orderBy(key).rowsBetween(*upto)
-        c = counts.select(*by, key, "_n", F.sum("_n").over(w).alias("_cum"))
-        t = targets.select("_j", "_off", *[F.col(b).alias(f"_t{b}") for b in by])
-        on = [F.col(b) == F.col(f"_t{b}") for b in by]
-        return (c.join(t, on).where((F.col("_cum") >= F.col("_off")) & (F.col("_cum") - F.col("_n") < F.col("_off")))
-                .select("_j", (F.col("_off") - (F.col("_cum") - F.col("_n"))).alias("_off"), *by, key))
-
-    def within(targets: DataFrame, by: list[str]) -> DataFrame:
-        t = targets.select(*[F.col(b).alias(f"_t{b}") for b in by]).distinct()
-        return rows.join(t, [F.col(b) == F.col(f"_t{b}") for b in by], "left_semi")
-
-    rows = v.select("_v", *ties).withColumn("_b", value_bucket(F.col("_v"))).withColumn("_p", F.substring(ties[0], 1, 4))
-    hist = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    ordered = hist.select("_b", "_n", F.sum("_n").over(Window.orderBy("_b").rowsBetween(*upto)).alias("_cum"),
-                          F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    j = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("_j")
-    end = F.expr(f"_j * (_all div {k}) + least(_j, _all % {k})")
-    targets = (ordered.select("*", j).withColumn("_end", end)
-               .where("_cum >= _end and _cum - _n < _end").select("_j", F.expr("_end - (_cum - _n)").alias("_off"), "_b"))
-    targets = narrowed(targets, within(targets, ["_b"]).groupBy("_b", "_v").agg(F.count(F.lit(1)).alias("_n")), ["_b"], "_v")
-    targets = narrowed(targets, within(targets, ["_v"]).groupBy("_v", "_p").agg(F.count(F.lit(1)).alias("_n")), ["_v"], "_p")
-    last = within(targets, ["_v", "_p"]).withColumn("_rn", F.row_number().over(Window.partitionBy("_v", "_p").orderBy(*[F.col(t).asc_nulls_first() for t in ties])))
-    t = targets.select(F.col("_v").alias("_tv"), F.col("_p").alias("_tp"), "_off")
-    ends = last.join(t, (F.col("_v") == F.col("_tv")) & (F.col("_p") == F.col("_tp")) & (F.col("_rn") == F.col("_off")))
-    one = ends.groupBy().agg(F.collect_list(F.struct("_v", *ties)).alias("_ends"))  # k - 1 keys
-    tile = F.size(F.filter(F.col("_ends"), lambda e: e < F.struct("_v", *ties))) + 1
-    return v.crossJoin(F.broadcast(one)).select(*df.columns, tile.alias(name))
-
-
-def global_rank(df: DataFrame, key: list[str], descending: bool = False,
-                tie_breaker: list[str] | None = None, name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """SQL RANK() over the whole frame: the row number of the first row of
-    the same key.
-
-    No join on the key itself (a value held by a third of all rows would
-    make it one hot partition): the first row number is taken per (range
-    partition, key), groups no larger than a range partition, since the
-    tie-breaker spreads a hot value over many partitions. Only keys that
-    open a partition can have started in an earlier one; they are at most
-    one per partition, so their true first row numbers form a small table
-    that is broadcast.
-    """
-    tie_breaker = tie_breaker or []
-    order = [(F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first())
-             for c in key] + [F.col(c).asc() for c in tie_breaker]
-    nb = _numbered(df, order, num_partitions)
-    nb = nb.withColumn("_first_here", F.min("_rn").over(Window.partitionBy("_pid", *key)))
-    openers = nb.filter(F.col("_pos") == 0).select(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(key)]).distinct()  # <= one per partition
-    opener_first = (nb.join(F.broadcast(openers),
-                            [F.col(c).eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(key)],
-                            "left_semi")
-                    .groupBy(*key).agg(F.min("_rn").alias("_first_all")))
-    renamed = opener_first.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], "_first_all")
-    cond = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)]
-    out = nb.join(F.broadcast(renamed), cond, "left")
-    return out.select(*[F.col(c) for c in df.columns],
-                      F.coalesce(F.col("_first_all"), F.col("_first_here")).cast("long").alias(name))
+def global_ranks(df: DataFrame, measures: dict[str, Column], ties: list[str]) -> DataFrame:
+    """Adds SQL RANK() for each measure, ascending, NULL first: one more than
+    the rows with a smaller value. ``ties`` as in ``global_places``."""
+    rows, starts = _grouped(df, measures, ties)
+    ranked = rows.join(starts, F.col("_g") == F.col("_sg"))
+    return _gathered(ranked, df.columns, ties, F.col("_value_start") + 1, list(measures)).drop("_total")

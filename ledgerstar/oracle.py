@@ -773,6 +773,10 @@ acct_value AS (
     FROM fact GROUP BY orig_account_id
 )"""
 
+STAGE_SQL["rank_with_nulls"] = with_star("""
+SELECT account_id, CAST(round(value, 2) AS DOUBLE) AS fraud_value, RANK() OVER (ORDER BY value DESC NULLS LAST) AS fraud_rank
+FROM (SELECT orig_account_id AS account_id, SUM(amount) FILTER (WHERE is_fraud) AS value FROM fact GROUP BY 1)""")
+
 STAGE_SQL["global_ntile"] = with_star(_ACCT_VALUE + """
 SELECT account_id, CAST(round(value, 2) AS DOUBLE) AS total_value,
        CAST(NTILE(10) OVER (ORDER BY value DESC, account_id) AS BIGINT) AS value_decile

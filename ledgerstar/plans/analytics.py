@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import avg_half_up, pct, round_double, safe_div
-from ..operators.ranking import global_ntile
+from ..operators.ranking import global_ntiles
 from .star import Warehouse
 
 
@@ -249,11 +249,9 @@ def q3_1_rfm(wh: Warehouse, k: int = 25) -> DataFrame:
 
 
 def q3_1_rfm_full(wh: Warehouse) -> DataFrame:
-    """RFM scores of every account (three distributed NTILE passes)."""
-    tie = [F.col("account_id").asc(), F.col("region").asc_nulls_first()]
-    scored = _rfm_base(wh)
-    for name, first in (("r_score", F.col("recency_days").desc()), ("f_score", F.col("frequency").asc()), ("m_score", F.col("_monetary").asc())):
-        scored = global_ntile(scored, [first, *tie], 5, name)
+    """RFM scores of every account (three distributed NTILEs in one pass)."""
+    scores = {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": F.col("_monetary")}
+    scored = global_ntiles(_rfm_base(wh), scores, ["account_id", "region"], 5)
     return scored.select("account_id", "region", "recency_days", "frequency",
                          F.col("_monetary").cast("double").alias("monetary"),
                          *[F.col(c).cast("long").alias(c) for c in ["r_score", "f_score", "m_score"]])
@@ -264,8 +262,7 @@ def q3_2_deciles(wh: Warehouse) -> DataFrame:
                                 _count().alias("txn_count"))
     # account_id only serves as the unique tie-breaker of the order
     keyed = _with_account(per_key, wh, "account_id")
-    deciled = global_ntile(keyed, [F.col("total_value").desc(), F.col("account_id").asc(),
-                                   F.col("orig_account_key").asc()], 10, "value_decile")
+    deciled = global_ntiles(keyed, {"value_decile": -F.col("total_value")}, ["account_id", "orig_account_key"], 10)
     g = deciled.groupBy("value_decile").agg(
         _count().alias("accounts"), F.sum("total_value").alias("_value"),
         F.sum("txn_count").alias("_txns"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.masking import mask_id
 from ..functions.numeric import avg_half_up, pct, round_double
-from ..operators.ranking import global_ntile, global_rank
+from ..operators.ranking import global_ntiles, global_ranks
 from ..oracle import TEST_SALT
 from .star import Warehouse, star_from_testdata
 
@@ -35,7 +35,7 @@ def _accounts_by_value(wh: Warehouse) -> DataFrame:
 def global_ntile_q(wh: Warehouse) -> DataFrame:
     """NTILE(10) of every account by total value, distributed (W-G1)."""
     base = _accounts_by_value(wh)
-    d = global_ntile(base, [F.col("_value").desc(), F.col("account_id").asc()], 10, "value_decile")
+    d = global_ntiles(base, {"value_decile": -F.col("_value")}, ["account_id"], 10)
     return d.select("account_id", round_double(F.col("_value"), 2).alias("total_value"),
                     F.col("value_decile").cast("long").alias("value_decile"))
 
@@ -43,8 +43,18 @@ def global_ntile_q(wh: Warehouse) -> DataFrame:
 def global_rank_q(wh: Warehouse) -> DataFrame:
     """RANK() of every account by transaction count (ties share a rank)."""
     base = _accounts_by_value(wh).select("account_id", "txns")
-    return global_rank(base, ["txns"], descending=True, tie_breaker=["account_id"],
-                       name="txn_rank")
+    return global_ranks(base, {"txn_rank": -F.col("txns")}, ["account_id"])
+
+
+def rank_with_nulls(wh: Warehouse) -> DataFrame:
+    """RANK() of every account by fraud value, largest first; accounts without
+    fraud have none (NULL) and come last, together (T4)."""
+    per_key = wh.fact_transactions.groupBy("orig_account_key").agg(F.sum(F.when(F.col("is_fraud"), F.col("amount"))).alias("_value"))
+    acct = wh.dim_account.select(F.col("account_key").alias("orig_account_key"), "account_id")
+    base = per_key.join(acct, "orig_account_key").groupBy("account_id").agg(F.sum("_value").alias("_value"))
+    # NULLs would come first in the ascending order of the negative values
+    last = -F.coalesce(F.col("_value"), F.lit(-1))
+    return global_ranks(base, {"fraud_rank": last}, ["account_id"]).select("account_id", round_double(F.col("_value"), 2).alias("fraud_value"), "fraud_rank")
 
 
 def x1_rolling_counts(wh: Warehouse) -> DataFrame:
@@ -209,6 +219,7 @@ EXTRA_FUNCS = {
     "global_ntile": global_ntile_q,
     "rfm_scores_all": rfm_scores_all,
     "global_rank": global_rank_q,
+    "rank_with_nulls": rank_with_nulls,
     "x1_rolling_counts": x1_rolling_counts,
     "x2_hourly_spikes": x2_hourly_spikes,
     "x2_off_hours_accounts": x2_off_hours_accounts,

@@ -3,82 +3,54 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerstar.operators.ranking import global_ntile, global_rank, global_row_number
+from ledgerstar.operators.ranking import global_ntiles, global_places, global_ranks
 
 
-def _data(spark, n, seed):
-    rnd = random.Random(seed)
-    rows = [(i, rnd.randint(0, 20)) for i in range(n)]
-    return spark.createDataFrame(rows, "id long, v int")
+def _data(spark, n, seed, values):
+    r = random.Random(seed)
+    rows = [(f"{r.randrange(16**6):06x}{i}", None if r.random() < 0.3 else "x", r.choice(values), r.choice([None, 0.5, -2.25, 7.0]), i) for i in range(n)]
+    return spark.createDataFrame(rows, "id string, region string, v long, d double, n long").withColumn("d", F.col("d").cast("decimal(20,2)"))
 
 
-def test_row_number_and_ntile_match_window(spark):
-    for n, k, seed in [(1, 5, 1), (7, 10, 2), (103, 5, 3), (250, 10, 4)]:
-        df = _data(spark, n, seed)
-        order = [F.col("v").desc(), F.col("id").asc()]
-        mine = global_ntile(df, order, k, "b", num_partitions=4)
-        ref = df.withColumn("b", F.ntile(k).over(Window.orderBy(*order)))
-        a = sorted((r["id"], r["b"]) for r in mine.collect())
-        b = sorted((r["id"], r["b"]) for r in ref.collect())
-        assert a == b, (n, k)
-        rn = global_row_number(df, order, "rn", num_partitions=3)
-        ref_rn = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
-        assert sorted((r["id"], r["rn"]) for r in rn.collect()) == \
-            sorted((r["id"], r["rn"]) for r in ref_rn.collect())
+CASES = [(0, 5, [1]), (1, 5, [3]), (3, 5, [1, 2]), (7, 3, [0]), (500, 10, [1]), (997, 10, [-5, 0, 1, 2, 1000]), (800, 4, range(10_000)), (900, 7, [7, 7, 7, 1, 2, 3, None])]
 
 
-def test_rank_matches_window(spark):
-    df = _data(spark, 300, 7)
-    mine = global_rank(df, ["v"], descending=True, tie_breaker=["id"], name="rk", num_partitions=4)
-    ref = df.withColumn("rk", F.rank().over(Window.orderBy(F.col("v").desc())))
-    assert sorted((r["id"], r["rk"]) for r in mine.collect()) == \
-        sorted((r["id"], r["rk"]) for r in ref.collect())
+def _order(by):
+    return [by, F.col("id").asc_nulls_first(), F.col("region").asc_nulls_first()]
 
 
-def test_row_number_plan_has_no_single_partition(spark):
-    df = _data(spark, 50, 9)
-    out = global_row_number(df, [F.col("v"), F.col("id")], "rn", num_partitions=4)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
-    # the only single-partition exchange carries the per-partition counts
-    for i, line in enumerate(plan):
-        if "Exchange SinglePartition" in line:
-            below = "\n".join(plan[i + 1:i + 4])
-            assert "HashAggregate(keys=[_pid" in below, below
-
-
-def test_default_partitioning_lets_aqe_merge_ranges(spark):
-    df = _data(spark, 500, 11)
-    order = [F.col("v").asc(), F.col("id").desc()]
-    mine = global_ntile(df, order, 7, "b")
-    ref = df.withColumn("b", F.ntile(7).over(Window.orderBy(*order)))
-    assert sorted((r["id"], r["b"]) for r in mine.collect()) == \
-        sorted((r["id"], r["b"]) for r in ref.collect())
+def test_several_measures_equal_the_windows(spark):
+    for n, k, values in CASES:
+        df = _data(spark, n, n, list(values))
+        measures = {"up": F.col("v"), "down": -F.col("v"), "dec": F.col("d")}
+        orders = {"up": F.col("v").asc_nulls_first(), "down": F.col("v").desc_nulls_first(), "dec": F.col("d").asc_nulls_first()}
+        for got, ref in ((global_ntiles(df, measures, ["id", "region"], k), lambda w: F.ntile(k).over(w)),
+                         (global_places(df, measures, ["id", "region"]).drop("_total"), lambda w: F.row_number().over(w)),
+                         (global_ranks(df, measures, ["id", "region"]), None)):
+            want = df
+            for name, by in orders.items():
+                want = want.withColumn(name, ref(Window.orderBy(*_order(by))) if ref else F.rank().over(Window.orderBy(by)))
+            assert got.columns == want.columns
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str), (n, k)
 
 
-def test_rank_with_a_value_held_by_a_third_of_rows(spark):
-    rnd = random.Random(23)
-    rows = [(i, 7 if i % 3 == 0 else rnd.randint(0, 40)) for i in range(900)]
-    df = spark.createDataFrame(rows, "id long, v int")
-    for desc in (True, False):
-        mine = global_rank(df, ["v"], descending=desc, tie_breaker=["id"], name="rk", num_partitions=6)
-        o = F.col("v").desc() if desc else F.col("v").asc()
-        ref = df.withColumn("rk", F.rank().over(Window.orderBy(o)))
-        assert sorted((r["id"], r["rk"]) for r in mine.collect()) == \
-            sorted((r["id"], r["rk"]) for r in ref.collect())
+def test_one_measure_and_a_number_as_key(spark):
+    df = _data(spark, 300, 5, [7, 7, 1, 2, 3])
+    got = global_places(df, {"place": F.col("v")}, ["n"])
+    want = df.withColumn("place", F.row_number().over(Window.orderBy("v", "n")))
+    assert sorted((r.n, r.place, r._total) for r in got.collect()) == sorted((r.n, r.place, 300) for r in want.collect())
 
 
-def test_ntile_by_counts_equals_the_window(spark, tmp_dir):
+def test_nothing_is_written_sampled_or_sent_to_one_task(spark):
     import os
-    import random
-
-    from ledgerstar.operators.ranking import ntile_by_counts
-    r = random.Random(4)
-    for n, k, values in ((0, 5, [1]), (1, 5, [3]), (3, 5, [1, 2]), (7, 3, [0]), (500, 10, [1]), (997, 10, [-5, 0, 1, 2, 1000]), (800, 4, range(10_000))):
-        rows = [(f"{r.randrange(16**6):06x}{i}", None if r.random() < 0.3 else "x", r.choice(list(values))) for i in range(n)]
-        df = spark.createDataFrame(rows, "id string, region string, v long")
-        before = set(os.listdir(spark.sparkContext.getCheckpointDir().replace("file:", "")))
-        got = {x.id: x.t for x in ntile_by_counts(df, F.col("v"), ["id", "region"], k, "t").collect()}
-        assert set(os.listdir(spark.sparkContext.getCheckpointDir().replace("file:", ""))) == before
-        want = df.withColumn("t", F.ntile(k).over(Window.orderBy("v", "id", "region"))).collect()
-        assert got == {x.id: x.t for x in want}, (n, k)
+    folder = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(folder))
+    df = _data(spark, 500, 3, range(50))
+    out = global_ntiles(df, {"a": F.col("v"), "b": -F.col("v"), "c": F.col("d")}, ["id", "region"], 5)
+    out.collect()
+    assert set(os.listdir(folder)) == before
+    plan = out._jdf.queryExecution().toString()
+    assert "Exchange SinglePartition" not in plan and "rangepartitioning" not in plan
+    # one reading to count, one to place; the buckets reuse the first
+    logical = out._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Generate explode") <= 3
