@@ -892,3 +892,16 @@ SELECT partition_date, COUNT(*) AS rows, CAST(1 AS BIGINT) AS files, round(SUM(a
 FROM fact_staging GROUP BY partition_date""")
 
 STAGE_SQL["rfm_scores_all"] = with_star(_VERSION_FACT + _RFM)
+
+STAGE_SQL["dim_single_file"] = with_star("""
+SELECT 'dim_date' AS dimension, COUNT(*) AS rows, COUNT(DISTINCT date_key) AS keys, CAST(1 AS BIGINT) AS files FROM dim_date
+UNION ALL SELECT 'dim_merchant', COUNT(*), COUNT(DISTINCT merchant_id), 1 FROM dim_merchant
+UNION ALL SELECT 'dim_transaction_type', COUNT(*), COUNT(DISTINCT type_code), 1 FROM dim_transaction_type""")
+
+STAGE_SQL["nan_balances"] = with_star(f"""
+SELECT partition_date, COUNT(*) AS rows,
+    COUNT(*) FILTER (WHERE balance_before_orig IS NULL OR {_hx('orig_account_id')} % 7 = 0) AS unknown_balance_before_orig,
+    COUNT(*) FILTER (WHERE balance_after_dest IS NULL OR {_hx('orig_account_id')} % 5 = 0) AS unknown_balance_after_dest,
+    CAST(SUM(balance_before_orig) FILTER (WHERE {_hx('orig_account_id')} % 7 <> 0) AS DOUBLE) AS sum_balance_before_orig,
+    CAST(SUM(balance_after_dest) FILTER (WHERE {_hx('orig_account_id')} % 5 <> 0) AS DOUBLE) AS sum_balance_after_dest
+FROM fact GROUP BY partition_date""")

@@ -213,3 +213,45 @@ def fact_partition_write(spark, sf_dir):
 
 STAGE_QUERIES["csv_roundtrip"] = csv_roundtrip
 STAGE_QUERIES["fact_partition_write"] = fact_partition_write
+
+
+def dim_single_file(spark, sf_dir):
+    """The small dimensions written twice to the same folders (full overwrite)
+    and read back: one file each, and no row of the first write."""
+    from ..sources.sinks import write_dimension
+    path = _scratch(spark, "dims")
+    fact = fact_staging_q(spark, sf_dir)
+    out = None
+    for name, df, key in (("dim_date", date_dimension(fact), "date_key"), ("dim_merchant", merchant_dimension(fact), "merchant_id"),
+                          ("dim_transaction_type", dim_transaction_type(spark), "type_code")):
+        write_dimension(df.unionByName(df), f"{path}/{name}")
+        write_dimension(df, f"{path}/{name}")
+        back = spark.read.parquet(f"{path}/{name}").withColumn("_file", F.input_file_name())
+        one = back.agg(F.lit(name).alias("dimension"), F.count(F.lit(1)).alias("rows"), F.countDistinct(key).cast("long").alias("keys"),
+                       F.countDistinct("_file").cast("long").alias("files"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+#: Balances that P24 reads as unknown: by hex digits of the originator.
+NAN_ORIG, NAN_DEST = 7, 5
+
+
+def nan_balances(spark, sf_dir):
+    """Facts whose balances came as NaN, resolved: NULL in the warehouse, not NaN and not zero."""
+    from ..operators import warehouse as W
+    s = transform(_raw(spark, sf_dir), TEST_SALT)
+    h = F.conv(F.substring("orig_account_id", 9, 2), 16, 10).cast("int")
+    nan = F.lit(float("nan"))
+    fact = s.fact.withColumns({"balance_before_orig": F.when(h % NAN_ORIG == 0, nan).otherwise(F.col("balance_before_orig")),
+                               "balance_after_dest": F.when(h % NAN_DEST == 0, nan).otherwise(F.col("balance_after_dest"))})
+    accounts = W.scd2_merge(None, s.dim_account, "2024-02-01 00:00:00").state
+    out = W.resolve_fact(fact, accounts, W.type1_upsert(None, s.dim_merchant).state, dim_transaction_type(spark), "2024-02-01 00:00:00")
+    return out.groupBy("partition_date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).cast("long").alias(f"unknown_{c}") for c in ("balance_before_orig", "balance_after_dest")],
+        *[F.sum(c).cast("double").alias(f"sum_{c}") for c in ("balance_before_orig", "balance_after_dest")])
+
+
+STAGE_QUERIES["dim_single_file"] = dim_single_file
+STAGE_QUERIES["nan_balances"] = nan_balances
