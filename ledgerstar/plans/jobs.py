@@ -106,8 +106,10 @@ CHANGES = "dim_account_changes"
 ACCOUNT_CHANGES = T.StructType([
     T.StructField("account_id", T.StringType()), T.StructField("action", T.StringType()),
     T.StructField("closed", DIM_ACCOUNT), T.StructField("opened", DIM_ACCOUNT)])
-#: Hash buckets of the account and merchant dimensions, set by a warehouse's first load.
-BUCKETS = 16
+#: Accounts per hash bucket of the account and merchant dimensions at a
+#: warehouse's first load, which sets the number of buckets for good: a power
+#: of two from 4 to 4096.
+BUCKET_ACCOUNTS = 50_000
 #: Snapshots that a load leaves readable, its own included.
 KEEP_SNAPSHOTS = 20
 
@@ -129,7 +131,7 @@ def warehouse_of(spark: SparkSession, root: str, found: snapshots.Snapshot) -> W
                      table("dim_merchant", DIM_MERCHANT), table("dim_date", DIM_DATE), table("dim_transaction_type", DIM_TRANSACTION_TYPE))
 
 
-def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buckets: int = BUCKETS,
+def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buckets: int | None = None,
              keep: int = KEEP_SNAPSHOTS, append: bool = False) -> dict:
     """Date (insert-if-new) -> merchant (type 1) -> account (type 2) -> fact
     (resolve keys, replace the staged days), published as one snapshot.
@@ -153,7 +155,7 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
     before = snapshots.latest(spark, r)
     if before and before.newest_version and _later(before.newest_version, batch_ts):
         raise ValueError(f"batch {batch_ts} is earlier than the newest stored version, {before.newest_version}")
-    n_buckets = before.buckets if before else buckets
+    n_buckets = before.buckets if before else buckets or min(4096, max(4, 1 << (staged.dim_account.count() // BUCKET_ACCOUNTS).bit_length()))
     parts = {name: dict(before.parts.get(name, {})) if before else {} for name in
              ("dim_date", "dim_transaction_type", "dim_merchant", "dim_account", HISTORY, CHANGES, "fact_transactions")}
     folder = {name: f"{name}/load={run}" for name in parts}
