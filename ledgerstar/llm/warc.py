@@ -28,6 +28,8 @@ EOL = "\r\n"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the standard's namespace for URLs
 #: Elements whose content is not shown.
 _UNSEEN = frozenset("script style noscript template iframe svg textarea title".split())
+#: What holds no title and no links: comments, scripts, styles and raw text.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|textarea)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
 _HREF = re.compile(r"<a\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _CHARSET = re.compile(rb"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
@@ -78,17 +80,43 @@ def _dechunked(body: bytes) -> bytes:
         at = stop + 4 + size
 
 
+def _gunzipped(body: bytes) -> bytes:
+    """All members of a gzip payload; zeros behind the last are padding."""
+    out = []
+    while body.strip(b"\0"):
+        reader = zlib.decompressobj(31)
+        out.append(reader.decompress(body))
+        if not reader.eof:
+            raise zlib.error("the coded payload ends early")
+        body = reader.unused_data
+    return b"".join(out)
+
+
+def _inflated(body: bytes) -> bytes:
+    """A deflate payload, with a zlib header or, as some servers send it, without."""
+    for kind in (15, -15):
+        reader = zlib.decompressobj(kind)
+        try:
+            out = reader.decompress(body)
+        except zlib.error:
+            continue
+        if reader.eof:
+            return out
+    raise zlib.error("no whole deflate payload")
+
+
 def _decoded(fields: list[tuple[str, str]], body: bytes) -> bytes:
     if "chunked" in (_get(fields, "transfer-encoding") or "").lower():
         body = _dechunked(body)
-    coding = (_get(fields, "content-encoding") or "").lower()
-    if coding not in ("gzip", "x-gzip", "deflate"):
-        return body
-    reader = zlib.decompressobj(15 if coding == "deflate" else 31)
-    out = reader.decompress(body)
-    if not reader.eof:
-        raise zlib.error("the coded payload ends early")
-    return out
+    codings = [c.strip() for c in (_get(fields, "content-encoding") or "").lower().split(",")]
+    for coding in reversed([c for c in codings if c not in ("", "identity")]):  # the last was applied last
+        if coding in ("gzip", "x-gzip"):
+            body = _gunzipped(body)
+        elif coding == "deflate":
+            body = _inflated(body)
+        else:
+            raise ValueError(f"unknown coding {coding}")
+    return body
 
 
 def plain_text(page: str) -> str:
@@ -160,6 +188,7 @@ def derive_record(record: bytes | None) -> list[tuple]:
                 text = page
             else:
                 text = plain_text(page)
+                page = _HIDDEN.sub(" ", page)
                 title = _TITLE.search(page)
                 if title:
                     lines.append(("title", " ".join(html.unescape(title[1]).split())))

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import zlib
 from collections import Counter
 
 import pytest
@@ -52,6 +53,27 @@ def test_codings_and_charsets():
     assert plain(response(b"")) == ""
 
 
+def test_members_raw_deflate_and_stacked_codings():
+    http = "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Encoding: "
+    plain = lambda r: parse(warc.derive_record(r)[1][6])[1]
+    two = gzip.compress(b"<p>one</p>") + gzip.compress(b"<p>two</p>")
+    assert plain(response(two, http + "gzip")) == plain(response(two + b"\0" * 8, http + "gzip")) == "one\ntwo"
+    raw = zlib.compressobj(wbits=-15)
+    raw = raw.compress(b"<p>x</p>") + raw.flush()
+    assert plain(response(raw, http + "deflate")) == plain(response(zlib.compress(b"<p>x</p>"), http + "deflate")) == "x"
+    assert plain(response(gzip.compress(zlib.compress(b"x")), http + "deflate, gzip")) == "x"
+    assert plain(response(b"x", http + "identity")) == "x"
+    for body, coding in ((b"x", "br"), (b"x", "zstd"), (gzip.compress(b"x"), "br, gzip"), (raw[:-3], "deflate"), (gzip.compress(b"x") + gzip.compress(b"y")[:-4], "gzip")):
+        (only,) = warc.derive_record(response(body, http + coding))
+        assert only[8] == "undecodable"
+
+
+def test_no_links_from_comments_and_scripts():
+    page = b"<!-- <a href=/1>x</a><title>no</title> --><script>'<a href=/2>'</script><title>T</title><a href=/3>y</a><!-- <a href=/4>"
+    block = parse(warc.derive_record(response(page))[0][6])[1].split("\r\n")
+    assert [x for x in block if x.startswith(("title", "outlink"))] == ["title: T", "outlink: /3"]
+
+
 @pytest.mark.parametrize("record,status", [(None, "malformed"), (b"", "malformed"), (b"WARC/1.0\r\nContent-Length: 99\r\n\r\nx", "malformed"), (b"junk\r\n\r\njunk", "malformed"),
                                            (response(b"x", more=[("WARC-Block-Digest", "sha1:AAAA")]), "digest-mismatch"),
                                            (response(b"x", "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Encoding: gzip"), "undecodable"),
