@@ -284,23 +284,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
 def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ..) that stay, one of each group of
     near copies: the one with the smallest id, null ids last, of equal ids
-    that with the smallest text hash, of equal texts that whose row sorts first.
+    that with the smallest text hash, of equal texts that with the smallest
+    hash of the row.
+
+    The columns of ``docs``, of whatever name and type, come back as they are.
+    A null text is an empty one. A null id is the largest. Of rows equal in
+    every column one stays. Texts of any length are read whole. An empty table
+    gives no rows.
     """
     text_hash = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
-    texts = fingerprints(docs.withColumn("_hash", text_hash), shingle, "_hash", "text", "string")
-    fps = written(texts.select(F.col("doc_id").alias("thash"), "fp").distinct(), "fingerprints")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # the row travels as one value beside the columns that decide, so no name of the user's can clash with them
+    rows = docs.select(whole.alias("row"), F.col("doc_id").cast("long").alias("id"), text_hash.alias("thash"))
+    fps = written(fingerprints(docs.select(text_hash.alias("thash"), "text"), shingle, "thash", "text", "string")
+                  .select(F.col("doc_id").alias("thash"), "fp").distinct(), "fingerprints")
     nodes = written(fps.select("fp").distinct(), "nodes")
     roots = written(components(link_edges(nodes, radius)), "roots")
     rooted = (fps.join(roots, F.col("fp") == F.col("node"), "left")
-              .select("thash", F.coalesce("root", "fp").alias("component")))
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", text_hash)
-    order = F.struct(F.col("_id").isNull().alias("a"), F.col("_id").alias("b"), F.col("_text").alias("c"))
-    best = (keyed.select("_text", order.alias("o"))
-            .join(rooted, F.col("_text") == F.col("thash")).groupBy("component").agg(F.min("o").alias("o"))
+              .select(F.col("thash").alias("rhash"), F.coalesce("root", "fp").alias("component")))
+    order = F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("thash").alias("c"))
+    best = (rows.select("thash", order.alias("o"))
+            .join(rooted, F.col("thash") == F.col("rhash")).groupBy("component").agg(F.min("o").alias("o"))
             .select(F.col("o.b").alias("kept_id"), F.col("o.c").alias("kept_text")))
-    kept = keyed.join(best, F.col("_id").eqNullSafe(F.col("kept_id")) & (F.col("_text") == F.col("kept_text")), "left_semi")
-    first = Window.partitionBy("_id", "_text").orderBy(*(F.col(c) for c in docs.columns))
-    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(docs.columns)
+    kept = rows.join(best, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("thash") == F.col("kept_text")), "left_semi")
+    first = Window.partitionBy("id", "thash").orderBy(F.sha2(F.to_json("row"), 256))
+    return kept.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")
 
 
 def hex_fingerprint(col: str = "fp"):

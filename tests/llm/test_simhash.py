@@ -84,3 +84,16 @@ def test_one_row_of_each_group_stays_also_without_an_id(frame):
     got = sorted(((r.doc_id, r.text) for r in simhash.representatives(frame(rows), 4, 4).collect()), key=str)
     assert got == sorted([(1, a), (1, b), (None, c)], key=str)
     assert simhash.representatives(frame([]), 4, 4).count() == 0
+
+
+def test_representatives_keep_every_column(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(80)) for x in "ab")
+    rows = [("u0", "h", 5, {"k": 1}, 1, a, "x", 9), ("u1", "h", 5, {"k": 2}, 2, a, "x", 9), ("u2", None, None, None, None, b, None, None), ("u3", "h", 5, {"k": 3}, None, None, "x", 9)]
+    docs = spark.createDataFrame(rows, "_id string, _text string, _n int, tags map<string,int>, doc_id long, text string, kept_id string, kept_text int")
+    out = simhash.representatives(docs, 4, 4)
+    assert out.schema == docs.schema
+    assert sorted((r._id, r._text, r._n, r.tags, r.doc_id) for r in out.collect()) == [("u0", "h", 5, {"k": 1}, 1), ("u2", None, None, None, None), ("u3", "h", 5, {"k": 3}, None)]
+    twice = spark.createDataFrame([rows[0], rows[0]], docs.schema)
+    assert simhash.representatives(twice, 4, 4).count() == 1
+    clash = docs.select("doc_id", "text", F.lit(1).alias("row"), F.lit(2).alias("id"), F.lit(3).alias("thash"), F.lit("f").alias("fp"), F.lit(4).alias("a.b"))
+    assert {(r.doc_id, r.id, r["a.b"]) for r in simhash.representatives(clash, 4, 4).collect()} == {(1, 2, 4), (None, 2, 4)}
