@@ -255,7 +255,9 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX, id
     same = Window.partitionBy("body")  # a row per batch and place at most
     lone = (found.where("first is not null").withColumn("leaves", F.sum("n").over(same)).where("leaves > 1")
             .select("batch", "segs", F.expr("shiftleft(1L, first)").alias("mask")))
-    hits = _subtrees(found.where("first is null"), -(-light // bucket_words) or 1, depth).unionByName(lone)
+    # as many as the words need, and as a shuffle has partitions
+    buckets = max(-(-light // bucket_words), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hits = _subtrees(found.where("first is null"), buckets, depth).unionByName(lone)
     per_batch = written(hits.groupBy("batch").agg(F.collect_list(F.struct("segs", "mask")).alias("hits")).withColumnRenamed("batch", "hbatch"), "hits", "zstd")
     release_shuffles(spark)
 
