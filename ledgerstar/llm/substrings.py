@@ -207,6 +207,17 @@ def _joined(rank: np.ndarray, step: int) -> np.ndarray:
     return np.unique(rank * span + further, return_inverse=True)[1]
 
 
+def bit_runs(mask: int) -> Iterator[tuple[int, int]]:
+    """Lowest bit and length of each run of set bits."""
+    at = 0
+    while mask:
+        zeros = (mask & -mask).bit_length() - 1
+        mask >>= zeros
+        n = (~mask & (mask + 1)).bit_length() - 1
+        yield at + zeros, n
+        at, mask = at + zeros + n, mask >> n
+
+
 def _subtrees(found: DataFrame, buckets: int, depth: int) -> DataFrame:
     """(batch, segs, mask): segments with the windows (bits) that hang below a
     node with another leaf. A bucket holds the groups of many prefixes."""
@@ -269,17 +280,17 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, prefix: int = PREFIX, id
             for doc_ids, texts, seg_start, hits in arrow_rows(batches):
                 parts = [t.split() for t in texts]
                 stops = np.cumsum([len(p) for p in parts])
-                edge = np.zeros(int(stops[-1]) + 1, np.int64)
                 start = np.frombuffer(seg_start, np.int32)
+                opened, closed = [], []
                 for hit in hits or ():
                     own = start[np.frombuffer(hit["segs"], np.int32)]
-                    mask = hit["mask"]
-                    while mask:
-                        low = mask & -mask
-                        first = own + (low.bit_length() - 1)
-                        np.add.at(edge, first, 1)
-                        np.add.at(edge, first + depth, -1)
-                        mask ^= low
+                    for first, n in bit_runs(hit["mask"]):
+                        opened.append(own + first)
+                        closed.append(own + (first + n - 1 + depth))
+                size = int(stops[-1]) + 1
+                edge = np.zeros(size, np.int64)
+                if opened:
+                    edge = np.bincount(np.concatenate(opened), minlength=size) - np.bincount(np.concatenate(closed), minlength=size)
                 gone = np.cumsum(edge[:-1]) > 0
                 for doc_id, words, stop in zip(doc_ids, parts, stops.tolist(), strict=True):
                     own = gone[stop - len(words):stop]
