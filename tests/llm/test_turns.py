@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -139,3 +140,13 @@ def test_no_rows_and_empty_table(spark):
     check(spark, [(lost, 0, "user", "Hi.")])
     d = frame(spark, [])
     assert turns.report(turns.repair(turns.damage(d), d.select("conv_id"))).collect() == []
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data")
+def test_query_equals_brute_force(spark):
+    from ledgerstar.llm.queries import QUERIES
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    got = QUERIES["op12_checkpointed_repair"](spark, folder)
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows)
