@@ -10,10 +10,11 @@ lies in an ``article`` or ``main``, that element is the article, and nothing
 outside it is.
 
 Menus, headers, footers, asides, controls, scripts, styles and what is hidden
-are taken out of the tree beforehand. Class, id and role names of boilerplate
-only vote, as do forms: such an element is taken out if it has a small share of
-the page's text outside links, or is mostly links; never a heading, a paragraph
-or what holds the element with the largest sum.
+are taken out of the tree beforehand. So are, whatever their size, elements
+whose class, id or role names boilerplate, as long as text outside links is
+left; never a heading or a paragraph, and never what wraps the page, that is,
+holds its first main heading and its densest element. A form is taken out if it has a small share of
+the page's text outside links, or is mostly links.
 """
 
 from __future__ import annotations
@@ -31,14 +32,19 @@ from .common import arrow_out, arrow_rows
 
 # HTML's elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe title svg math xmp noembed noframes object canvas".split())
+RAW = frozenset("script style noscript template textarea iframe title svg noembed noframes object canvas".split())
+#: Its content is shown as it stands.
+VERBATIM = "xmp"
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr output q rp rt ruby s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
-DROPPED = frozenset("head nav header footer aside button select option datalist dialog menu audio video".split())
-#: Elements that vote for boilerplate, and those that no vote takes out.
+                   "span strike strong sub sup time tt u var wbr "
+                   # formulas
+                   "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mpadded mphantom "
+                   "mfenced menclose mmultiscripts mprescripts none mtable mtr mtd".split())
+DROPPED = frozenset("head nav header footer aside button select option datalist dialog menu audio video annotation annotation-xml".split())
+#: Elements that may be boilerplate by their size, and those that no name takes out.
 FORMS = frozenset(("form", "fieldset"))
 KEPT = frozenset("html body p h1 h2 h3 h4 h5 h6".split())
-#: A voted element goes with at most so much of the page's text outside links, or at least so much of its own text in links.
+#: A form goes with at most so much of the page's text outside links, or at least so much of its own text in links.
 SMALL_SHARE, LINK_SHARE = 0.3, 0.5
 #: What may stand in a head; anything else ends it.
 HEAD_CONTENT = frozenset("html head title base link meta style script noscript template basefont bgsound noframes".split())
@@ -125,9 +131,12 @@ class Tree:
             self.attr.append(m[3])
             if t in FOREIGN and m[3].endswith("/"):
                 continue
-            if t in raw:  # its content is no markup
+            if t in raw or t == VERBATIM:  # its content is no markup
                 stop = re.compile(f"</{re.escape(t)}\\s*>", re.I).search(page, at)
-                at = stop.end() if stop else (end if t in ("script", "style", "textarea") else at)
+                if t == VERBATIM:
+                    self.pieces.append((e, page[at:stop.start() if stop else end].replace("&", "&amp;")))
+                    self.pieces.append((stack[-1], None))
+                at = stop.end() if stop else (end if t in ("script", "style", "textarea", VERBATIM) else at)
             elif t not in VOID and not m[3].endswith("/"):
                 stack.append(e)
                 open_count[t] = open_count.get(t, 0) + 1
@@ -153,7 +162,7 @@ def boilerplate(t: Tree) -> list[bool]:
     for e in range(n - 1, 0, -1):
         if holds[e]:
             holds[t.parent[e]] = True
-    out, voted = [False] * n, []
+    out, named, forms = [False] * n, [], []
     for e in range(1, n):
         tag = t.tag[e]
         if out[t.parent[e]] or tag in RAW or tag in DROPPED and not (tag == "header" and holds[e]):
@@ -161,24 +170,61 @@ def boilerplate(t: Tree) -> list[bool]:
             continue
         words = _named(t.attr[e]) if t.attr[e] and tag not in ("html", "body") else set()
         out[e] = bool("#hidden" in words or tag == "article" and words & {"comment", "comments"})
-        if not out[e] and not holds[e] and tag not in KEPT and (tag in FORMS or words & BOILERPLATE and not words & LAYOUT):
-            voted.append(e)
-    if not voted:
-        return out
-    chars, links = sizes(t, out)
-    sums = densities(t, out)[1]
-    best, holding = max(range(n), key=lambda e: (sums[e], -e)), set()
-    while best >= 0:
-        holding.add(best)
-        best = t.parent[best]
-    for e in voted:
-        if e not in holding:
-            out[e] = chars[e] - links[e] <= SMALL_SHARE * (chars[0] - links[0]) or links[e] >= LINK_SHARE * chars[e]
+        if not out[e] and not holds[e] and tag not in KEPT:
+            if words & BOILERPLATE and not words & LAYOUT:
+                named.append(e)
+            elif tag in FORMS:
+                forms.append(e)
+    if named:
+        _take_named(t, out, named)
+    if forms:
+        chars, links = sizes(t, out)
+        holding = _path(t, _densest(t, out))
+        for e in forms:
+            if e not in holding:
+                out[e] = out[e] or chars[e] - links[e] <= SMALL_SHARE * (chars[0] - links[0]) or links[e] >= LINK_SHARE * chars[e]
     for e in range(1, n):
         out[e] = out[e] or out[t.parent[e]]
     return out
 
 
+def _take_named(t: Tree, out: list[bool], named: list[int]) -> None:
+    """Take out the named elements, but for those that wrap the page."""
+    n = len(t.tag)
+    heading = next((e for e in range(n) if t.tag[e] == "h1" and not out[e]), -1)
+    wraps = _path(t, heading) & _path(t, _densest(t, out)) if heading > 0 else set()
+    taken = [e for e in named if e not in wraps]
+    without = out[:]
+    for e in taken:
+        without[e] = True
+    for e in range(1, n):
+        without[e] = without[e] or without[t.parent[e]]
+    chars, links = sizes(t, without)
+    if chars[0] > links[0]:
+        out[:] = without
+        return
+    # names alone hold the text: the densest of them is the article, without what is named inside
+    best = _path(t, _densest(t, out))
+    for e in taken:
+        out[e] = out[e] or e not in best
+    for e in range(1, n):
+        out[e] = out[e] or out[t.parent[e]]
+
+
+def _densest(t: Tree, out: list[bool]) -> int:
+    sums = densities(t, out)[1]
+    return max(range(len(sums)), key=lambda e: (sums[e], -e))
+
+
+def _path(t: Tree, e: int) -> set[int]:
+    """An element and all that hold it."""
+    path = set()
+    while e >= 0:
+        path.add(e)
+        e = t.parent[e]
+    return path
+
+
 def sizes(t: Tree, out: list[bool]) -> tuple[list[int], list[int]]:
     """Characters of each element, and those of them in links."""
     n = len(t.tag)
@@ -270,6 +316,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per row of ``pages``.
 
     Null and empty pages, and pages without any text, give an empty text.
+    A very long page is read whole, in one pass over its markup.
     Text outside all tags counts as the body's. Every row is taken by itself:
     repeated rows and ids come back as often as they are given, null ids and
     urls stay null. Other columns are ignored; an empty table gives no rows.

@@ -71,3 +71,21 @@ NAMES_ONLY_VOTE = {
 def test_names_only_vote(name):
     page, want = NAMES_ONLY_VOTE[name]
     assert htmltext.main_text(page) == want
+
+
+SIDE = "Side words that go on and on and on and on and on and on and on and on."
+NAMED_GO = {
+    "larger sidebar": (f"<body><div class=content><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar>{f'<p>{SIDE}</p><p>{SIDE}</p>' * 3}</div></body>", f"{LONG} {LONG}"),
+    "long cookie notice": (f"<body><div id=cookie-consent>{f'<p>{SIDE}</p>' * 9}</div><div><p>{LONG}</p></div></body>", LONG),
+    "one line beside a sidebar": (f"<body><div><p>Short.</p></div><div class=sidebar>{f'<p>{SIDE}</p>' * 5}</div></body>", "Short."),
+    "wrapper with the heading": (f"<body><div class='widget'><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div>(c) us</div></body>", f"T {LONG} {LONG}"),
+    "names alone": (f"<body><div class=banner>B.</div><div class=widget><p>{LONG}</p><p>{LONG}</p><div class=share>s</div></div></body>", f"{LONG} {LONG}"),
+    "formula": (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>", f"{LONG} x=2 holds"),
+    "verbatim": (f"<article><p>{LONG}</p><xmp><b>a</b> &amp; b</xmp><p>c</p></article>", f"{LONG} <b>a</b> &amp; b c"),
+}
+
+
+@pytest.mark.parametrize("name", NAMED_GO)
+def test_named_boilerplate_goes_whatever_its_size(name):
+    page, want = NAMED_GO[name]
+    assert htmltext.main_text(page) == want
