@@ -23,10 +23,10 @@ def docs():
 
 def test_mixtures_have_their_proportions(frame):
     rows = docs()
-    names, model = langid.train(frame(rows))
+    blocks = langid.train(frame(rows))
     a, b, c = (next(t for i, t, lang in rows if lang == x) for x in ("aa", "bb", "cc"))
     half = lambda t: t[:len(t) // 2]
-    found = {r.doc_id: r for r in langid.predict(frame([(1, a), (2, f"{a} {half(b)}"), (3, f"{a} {b} {c}")]), names, model).collect()}
+    found = {r.doc_id: r for r in langid.predict(frame([(1, a), (2, f"{a} {half(b)}"), (3, f"{a} {b} {c}")]), blocks).collect()}
     assert found[1].mixture == "aa:1.000" and found[1].score > 0.99
     assert found[2].lang_pred == "aa" and found[2].mixture.count(":") == 2 and 0.55 < found[2].score < 0.75
     assert found[3].mixture.count(":") == 3
@@ -68,6 +68,30 @@ def test_nothing_learned_and_empty(frame):
     assert langid.identify(frame([])).count() == 0
 
 
+def test_blocks_agree_with_the_whole_model(frame):
+    rows = [r for k in range(12) for r in ((100 * k + i, t, f"l{k:02d}") for i, t in enumerate(texts(k, f"{chr(97 + 2 * k)}{chr(98 + 2 * k)}e", 12)))]
+    mixed = [(5000 + k, f"{rows[12 * k][1]} {rows[12 * ((k + 5) % 12)][1]}") for k in range(12)] + [(6000, None), (6001, "123"), (None, rows[3][1])]
+    whole = langid.train(frame(rows))
+    parted = langid.train(frame(rows), most=4)
+    assert len(whole) == 1 and len(parted) == 6
+    key = lambda r: str(r.doc_id)
+    a, b = (sorted(langid.predict(frame(rows + mixed), m).collect(), key=key) for m in (whole, parted))
+    assert len(a) == len(b) == len(rows) + len(mixed)
+    for x, y in zip(a, b, strict=True):
+        assert (x.doc_id, x.lang_pred, sorted(m.split(":")[0] for m in x.mixture.split())) == (y.doc_id, y.lang_pred, sorted(m.split(":")[0] for m in y.mixture.split()))
+        assert x.score == pytest.approx(y.score, abs=2e-3)
+    assert any(x.mixture.count(":") == 2 for x in a)
+
+
+def test_more_labels_than_one_block_holds(frame):
+    r = random.Random(3)
+    rows = [(i, " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(25)), f"x{i:03d}") for i in range(400)]
+    blocks = langid.train(frame(rows))
+    assert len(blocks) > 1
+    got = langid.predict(frame(rows), blocks).collect()
+    assert len(got) == 400 and all(x.lang_pred == f"x{x.doc_id:03d}" for x in got)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 def test_held_out_accuracy(spark):
     got = langid.identify(table(spark, SF, "documents")).where("held_out").join(table(spark, SF, "documents").select("doc_id", "lang"), "doc_id").collect()
