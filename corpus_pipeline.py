@@ -39,10 +39,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``lang`` column or label nothing can be learned, and every document is kept."""
     if "lang" not in docs.columns:
         return docs
-    names, model = langid.train(docs.where(langid.fold(parts=4) != 2))
-    if not names:
+    blocks = langid.train(docs.where(langid.fold(parts=4) != 2))
+    if not langid.learned(blocks):
         return docs
-    judged = langid.predict(docs, names, model)
+    judged = langid.predict(docs, blocks)
     return without(docs, judged.withColumn("known", (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LANGUAGE_SCORE)), "known")
 
 
