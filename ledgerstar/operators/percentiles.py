@@ -32,12 +32,29 @@ def value_bucket(value: Column) -> Column:
     return (F.signum(v) * mag).cast("long")
 
 
+def bucket_bounds(bucket: int) -> tuple[Decimal, Decimal]:
+    """Amounts in cents between which all values of a bucket lie. A little
+    wider than the bucket, for filters that a scan can apply by statistics."""
+    low, high = (2.0 ** (k / BUCKETS_PER_DOUBLING) - 1 for k in (abs(bucket), abs(bucket) + 1))
+    low, high = (-high if bucket == 0 else low), high
+    if bucket < 0:
+        low, high = -high, -low
+    cent, slack = Decimal("0.01"), lambda v: max(0.02, abs(v) * 1e-9)
+    return Decimal(low - slack(low)).quantize(cent), Decimal(high + slack(high)).quantize(cent)
+
+
 def exact_percentiles(df: DataFrame, group: str, value: str, probs: list[float],
                       names: list[str]) -> DataFrame:
     vals = df.select(group, value).filter(F.col(value).isNotNull()) \
         .withColumn("_b", value_bucket(F.col(value)))
     # pass 1: bucket histogram per group
     hist = vals.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    return order_statistics(vals, rank_targets(hist, group, probs, names), group, value, names)
+
+
+def rank_targets(hist: DataFrame, group: str, probs: list[float], names: list[str]) -> DataFrame:
+    """Buckets of the histogram (group, _b, _c) that hold a wanted order
+    statistic, and its offset there: groups x probabilities x 2 rows."""
     w = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.select(group, "_b", "_c", F.sum("_c").over(w).alias("_cum"),
                        F.sum("_c").over(Window.partitionBy(group)).alias("_n"))
@@ -47,11 +64,15 @@ def exact_percentiles(df: DataFrame, group: str, value: str, probs: list[float],
         for side, rank in ((0, F.floor(h)), (1, F.ceil(h))):
             wanted.append(F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"),
                                    rank.cast("long").alias("rank"), (h - F.floor(h)).alias("frac")))
-    targets = (hist.select(group, "_b", "_c", "_cum", F.explode(F.array(*wanted)).alias("t"))
+    return (hist.select(group, "_b", "_c", "_cum", F.explode(F.array(*wanted)).alias("t"))
                .filter((F.col("_cum") - F.col("_c") < F.col("t.rank")) & (F.col("t.rank") <= F.col("_cum")))
                .select(group, "_b", F.col("t.name").alias("_name"), F.col("t.side").alias("_side"),
                        (F.col("t.rank") - (F.col("_cum") - F.col("_c"))).alias("_off"),
                        F.col("t.frac").alias("_frac")))
+
+
+def order_statistics(vals: DataFrame, targets: DataFrame, group: str, value: str, names: list[str]) -> DataFrame:
+    """Percentiles per group from the values (group, value, _b) of the target buckets."""
     # pass 2: exact order statistics inside the target buckets only.
     # targets has groups x probabilities x 2 rows: tiny for a few groups, but
     # it grows with the number of groups, so no broadcast hint here; AQE

@@ -245,10 +245,49 @@ def _spread_null_key(staging: DataFrame, col: str) -> Column:
     return F.coalesce(F.col(col), F.concat(F.lit("\u0000"), spread.cast("string")))
 
 
+#: Ids per lookup that are resolved without a shuffle, at most, and items that the sketch tracks to find them.
+HOT_IDS, HOT_TRACKED = 1024, 16_384
+LOOKUP_IDS = ("orig_account_id", "dest_account_id", "dest_merchant_id")
+HOT_SCHEMA = "role string, id string, n long"
+
+
+def hot_ids(staging: DataFrame, share: float | None = None) -> DataFrame:
+    """role, id, n: the ids of each lookup that hold at least ``share`` of the
+    rows (default: what one shuffle partition holds on average).
+
+    One pass with a frequent-items sketch per lookup, of fixed size; at most
+    HOT_IDS rows per lookup. Counts are estimates: they only route rows.
+    """
+    if share is None:
+        share = 1 / max(1, int(staging.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = staging.agg(F.count(F.lit(1)).alias("_rows"), *[F.expr(f"approx_top_k({c}, {HOT_IDS}, {HOT_TRACKED})").alias(c) for c in LOOKUP_IDS])
+    items = F.concat(*[F.expr(f"transform({c}, x -> struct('{c}' AS role, x.item AS id, x.count AS n))") for c in LOOKUP_IDS])
+    return (found.select("_rows", F.explode(items).alias("i")).select("i.*", "_rows")
+            .where(F.col("id").isNotNull() & (F.col("n") >= F.lit(share) * F.col("_rows"))).select("role", "id", "n"))
+
+
+def lookup(facts: DataFrame, dim: DataFrame, id_col: str, key_col: str, hot: DataFrame) -> DataFrame:
+    """``facts`` with the key of ``id_col`` from ``dim`` (id, key), NULL if there is none.
+
+    Hot ids (at most HOT_IDS, and so many dimension rows) are broadcast. In
+    the shuffle join their rows, like those without an id, stand under values
+    that match nothing and are spread by a hash of the row.
+    """
+    mine = F.broadcast(hot.where(F.col("role") == id_col).select(F.col("id").alias("_hot_id")).distinct())
+    held = dim.join(mine, dim["id"] == mine["_hot_id"], "left_semi").select(F.col("id").alias("_held_id"), F.col("key").alias("_hot_key"))
+    common = mine.join(held, F.col("_hot_id") == F.col("_held_id"), "left").drop("_held_id")
+    routed = facts.join(F.broadcast(common), F.col(id_col) == F.col("_hot_id"), "left")
+    routed = routed.withColumn("_far", F.when(F.col("_hot_id").isNull(), F.col(id_col)))
+    routed = routed.withColumn("_far", _spread_null_key(routed, "_far"))
+    far = dim.select(F.col("id").alias("_far"), F.col("key").alias("_far_key"))
+    return routed.join(far, "_far", "left").withColumn(key_col, F.coalesce("_hot_key", "_far_key")).drop("_far", "_far_key", "_hot_id", "_hot_key")
+
+
 def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
-                  dim_type: DataFrame) -> DataFrame:
+                  dim_type: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Staged facts with surrogate keys looked up; unresolved rows are kept
-    with NULL keys so they can be counted by cause.
+    with NULL keys so they can be counted by cause. With the ids in ``hot``
+    (see ``hot_ids``) no id is more than a shuffle partition's share.
 
     Type (5 rows) is broadcast. Account and merchant dimensions grow with
     the data, so they are left to the planner (sort-merge, or broadcast when
@@ -256,6 +295,12 @@ def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: Data
     """
     cur = current_versions(dim_account).select("account_id", "account_key")
     types = F.broadcast(dim_type.select("type_code", "transaction_type_key"))
+    if hot is not None:
+        accounts = cur.select(F.col("account_id").alias("id"), F.col("account_key").alias("key"))
+        merchants = dim_merchant.select(F.col("merchant_id").alias("id"), F.col("merchant_key").alias("key"))
+        out = lookup(staging.join(types, "type_code", "left"), accounts, "orig_account_id", "orig_account_key", hot)
+        out = lookup(out, accounts, "dest_account_id", "dest_account_key", hot)
+        return lookup(out, merchants, "dest_merchant_id", "merchant_key", hot)
     orig = cur.select(F.col("account_id").alias("orig_account_id"),
                       F.col("account_key").alias("orig_account_key"))
     dest = cur.select(F.col("account_id").alias("_dest_account_join"),
@@ -290,9 +335,9 @@ def unresolved_counts(staging: DataFrame, dim_account: DataFrame, dim_type: Data
 
 
 def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
-                 dim_type: DataFrame, batch_ts: str) -> DataFrame:
+                 dim_type: DataFrame, batch_ts: str, hot: DataFrame | None = None) -> DataFrame:
     """Inner semantics on type and originator, outer on the destinations."""
-    flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type)
+    flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type, hot)
     ok = F.col("transaction_type_key").isNotNull() & F.col("orig_account_key").isNotNull()
     return flagged.filter(ok).select(
         transaction_key().alias("transaction_key"),

@@ -905,3 +905,32 @@ SELECT partition_date, COUNT(*) AS rows,
     CAST(SUM(balance_before_orig) FILTER (WHERE {_hx('orig_account_id')} % 7 <> 0) AS DOUBLE) AS sum_balance_before_orig,
     CAST(SUM(balance_after_dest) FILTER (WHERE {_hx('orig_account_id')} % 5 <> 0) AS DOUBLE) AS sum_balance_after_dest
 FROM fact GROUP BY partition_date""")
+
+_TWO_WEEKS = "f.partition_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"
+
+STAGE_SQL["q2_3_range"] = with_star(f""",
+ranked AS (
+    SELECT f.type_code, f.amount, ROW_NUMBER() OVER (PARTITION BY f.type_code ORDER BY f.amount) AS rn,
+           COUNT(*) OVER (PARTITION BY f.type_code) AS n
+    FROM fact f WHERE {_TWO_WEEKS}
+),
+g AS (
+    SELECT type_code, {_pcont('0.5')} AS median, {_pcont('0.9')} AS p90, {_pcont('0.99')} AS p99, MAX(amount) AS max_amount
+    FROM ranked GROUP BY type_code
+)
+SELECT type_code, {_r2('median')} AS median, {_r2('p90')} AS p90, {_r2('p99')} AS p99, {_r2('max_amount')} AS max_amount
+FROM g""")
+
+STAGE_SQL["x8_filtered_feed"] = with_star(f"""
+SELECT f.type_code, COUNT(*) AS txns, {_r2('SUM(f.amount)')} AS total_value, COUNT(*) FILTER (WHERE f.is_fraud) AS fraud_txns,
+       COUNT(DISTINCT f.orig_account_id) AS accounts, COUNT(DISTINCT f.dest_merchant_id) AS merchants,
+       TRUE AS accounts_within, TRUE AS merchants_within
+FROM fact f WHERE {_TWO_WEEKS} GROUP BY f.type_code""")
+
+STAGE_SQL["account_lookup"] = with_star(f""",
+seen AS (
+    SELECT 'sent' AS direction, * FROM fact WHERE orig_account_id = {_mask("'C7'")}
+    UNION ALL SELECT 'received', * FROM fact WHERE dest_account_id = {_mask("'C7'")}
+)
+SELECT direction, partition_date AS calendar_date, type_code, COUNT(*) AS txns, {_r2('SUM(amount)')} AS total_value
+FROM seen GROUP BY 1, 2, 3""")

@@ -26,6 +26,8 @@ from .star import Staged, Warehouse
 
 
 VALIDATED_MARKER = "_validated"
+#: Ids that hold many rows of the staged facts.
+HOT = "hot_ids"
 #: Raw rows by outcome; of a finished transform only the rejected ones are left.
 ROWS = "rows"
 
@@ -61,7 +63,8 @@ def run_transform(raw: DataFrame, out: str, salt: str, validate: bool = True,
 
     _together(lambda: sinks.write_dimension(account_dimension(fact), f"{o}/dim_account", single_file=False),
               lambda: sinks.write_dimension(merchant_dimension(fact), f"{o}/dim_merchant", single_file=False),
-              lambda: sinks.write_dimension(date_dimension(fact), f"{o}/dim_date"))
+              lambda: sinks.write_dimension(date_dimension(fact), f"{o}/dim_date"),
+              lambda: sinks.write_dimension(W.hot_ids(fact), f"{o}/{HOT}"))
     tables = {"fact": fact, "dim_account": _read(spark, f"{o}/dim_account", DIM_ACCOUNT_STAGING),
               "dim_merchant": _read(spark, f"{o}/dim_merchant", DIM_MERCHANT_STAGING), "dim_date": _read(spark, f"{o}/dim_date", DIM_DATE)}
     *counted, rules = _together(*[df.count for df in tables.values()], lambda: judged_counts(rows, corrupt).first().asDict())
@@ -98,7 +101,8 @@ def read_staged(spark: SparkSession, path: str) -> Staged:
         return conform(_read(spark, f"{p}/{name}", schema), schema)
 
     return Staged(table("dim_account", DIM_ACCOUNT_STAGING), table("dim_merchant", DIM_MERCHANT_STAGING),
-                  table("dim_date", DIM_DATE), table("fact_transactions", FACT_STAGING))
+                  table("dim_date", DIM_DATE), table("fact_transactions", FACT_STAGING),
+                  _read(spark, f"{p}/{HOT}", W.HOT_SCHEMA) if sinks.path_exists(spark, f"{p}/{HOT}") else None)
 
 
 HISTORY = "dim_account_closed"
@@ -177,7 +181,7 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
         snapshots.write(fresh_facts(spark, r, before, staged.fact), scratch)
         fresh = _read(spark, scratch, FACT_STAGING)
         already = staged.fact.count() - fresh.count()
-        staged = Staged(staged.dim_account, staged.dim_merchant, staged.dim_date, fresh)
+        staged = Staged(staged.dim_account, staged.dim_merchant, staged.dim_date, fresh, staged.hot)
 
     def load_types() -> None:
         if not parts["dim_transaction_type"]:
@@ -214,8 +218,10 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
     types, current, all_merchants = (part(n, s) for n, s in (("dim_transaction_type", DIM_TRANSACTION_TYPE), ("dim_account", DIM_ACCOUNT), ("dim_merchant", DIM_MERCHANT)))
 
     def load_facts() -> DataFrame:
-        facts = W.resolve_fact(staged.fact, current, all_merchants, types, batch_ts)
-        snapshots.write_parts(facts, f"{r}/{folder['fact_transactions']}", "partition_date")
+        hot = W.hot_ids(staged.fact) if staged.hot is None else staged.hot
+        hot = spark.createDataFrame(hot.collect(), W.HOT_SCHEMA)  # at most 3 x HOT_IDS
+        facts = W.resolve_fact(staged.fact, current, all_merchants, types, batch_ts, hot)
+        snapshots.write_parts(facts, f"{r}/{folder['fact_transactions']}", "partition_date", "orig_account_key", ["dest_account_key"])
         return _read(spark, f"{r}/{folder['fact_transactions']}", FACT_TRANSACTIONS)
 
     incoming, audit, days = _together(

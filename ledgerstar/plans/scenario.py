@@ -20,6 +20,7 @@ the state after a batch is the snapshot that its load published.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -27,12 +28,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.masking import mask_id
+from ..functions.numeric import round_double
 from ..operators import warehouse as W
 from ..operators.dimensions import fact_staging
 from ..oracle import ACCOUNT_SQL, TEST_SALT
 from ..session import checkpoint_dir
 from ..sources.raw import raw_transactions
-from . import analytics, jobs
+from . import analytics, jobs, mart
+from .lookups import account_transactions
 from .star import Staged, Warehouse, enriched, stage
 
 BATCH_TS = ["2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-04-01 00:00:00",
@@ -221,6 +225,46 @@ def _on_versions(name: str):
     return run
 
 
+def _with_mart(spark, sf_dir):
+    """The warehouse with all days, and its mart, written beside it."""
+    run = run_scenario(spark, sf_dir)
+    wh, path = run.state(spark, 2), f"{run.root}-mart-{uuid.uuid4().hex}"
+    mart.write_mart(wh, path)
+    return wh, mart.read_mart(spark, path)
+
+
+RANGE = datetime.date(2024, 1, 8), datetime.date(2024, 1, 21)
+
+
+def q2_3_range(spark, sf_dir):
+    """Percentiles per type over two weeks, from the mart's histograms."""
+    wh, m = _with_mart(spark, sf_dir)
+    names = ["median", "p90", "p99", "max_amount"]
+    p = mart.range_percentiles(wh, m, *RANGE, [0.5, 0.9, 0.99, 1.0], names)
+    return p.select("type_code", *[round_double(F.col(n), 2).alias(n) for n in names])
+
+
+def x8_filtered_feed(spark, sf_dir):
+    """The feed by type over two weeks: exact distinct numbers, and whether the
+    sketches' estimates lie within their stated error."""
+    wh, m = _with_mart(spark, sf_dir)
+    days = F.col("partition_date").between(*map(F.lit, RANGE))
+    feed = mart.filtered_feed(m, days, ["type_code"]).withColumnsRenamed({"accounts": "est_accounts", "merchants": "est_merchants"})
+    return feed.join(mart.exact_distinct(wh, days, ["type_code"]), "type_code").select(
+        "type_code", "txns", "total_value", "fraud_txns", "accounts", "merchants",
+        mart.within_error(F.col("est_accounts"), F.col("accounts")).alias("accounts_within"),
+        mart.within_error(F.col("est_merchants"), F.col("merchants")).alias("merchants_within"))
+
+
+def account_lookup(spark, sf_dir):
+    """Every day's transactions of one account, sent and received."""
+    wh = run_scenario(spark, sf_dir).state(spark, 2)
+    focus = spark.range(1).select(mask_id(F.lit("C7"), TEST_SALT)).first()[0]
+    rows = account_transactions(wh, focus).join(F.broadcast(wh.dim_transaction_type.select("transaction_type_key", "type_code")), "transaction_type_key")
+    return (rows.groupBy("direction", F.col("partition_date").alias("calendar_date"), "type_code")
+            .agg(F.count(F.lit(1)).alias("txns"), round_double(F.sum("amount"), 2).alias("total_value")))
+
+
 SCENARIO_QUERIES = {
     **{f"{name}_versions": _on_versions(name) for name in ACCOUNT_SQL},
     "load_insert_if_new": load_insert_if_new,
@@ -231,4 +275,7 @@ SCENARIO_QUERIES = {
     "fact_resolved": fact_resolved,
     "fact_replace_partitions": fact_replace_partitions,
     "load_audit": load_audit_q,
+    "q2_3_range": q2_3_range,
+    "x8_filtered_feed": x8_filtered_feed,
+    "account_lookup": account_lookup,
 }

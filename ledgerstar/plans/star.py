@@ -28,6 +28,7 @@ class Staged:
     dim_merchant: DataFrame
     dim_date: DataFrame
     fact: DataFrame
+    hot: DataFrame | None = None  # ids that hold many rows, see warehouse.hot_ids
 
 
 @dataclass

@@ -119,9 +119,20 @@ def write(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
-def write_parts(df: DataFrame, path: str, by: str) -> None:
-    """One folder per value of ``by``, written once; a large value is split into several files."""
-    df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+def write_parts(df: DataFrame, path: str, by: str, cluster: str | None = None, bloom: Iterable[str] = ()) -> None:
+    """One folder per value of ``by``, written once; a large value is split into several files.
+
+    The rows of a file are sorted by ``cluster``, so that a lookup by it skips
+    row groups and pages by their statistics; columns in ``bloom`` get Bloom
+    filters, sized by what a row group holds, for lookups the order does not serve.
+    """
+    out = df.hint("rebalance", by)
+    if cluster:
+        out = out.sortWithinPartitions(by, cluster)
+    w = out.write.partitionBy(by)
+    for c in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    w.parquet(path)
 
 
 def read_parts(spark: SparkSession, root: str, paths: Iterable[str], schema: StructType) -> DataFrame:
