@@ -12,13 +12,14 @@ text is encoded once. Windows that are still partial at the end of a split,
 unless nearly full, go to a further round: whole windows are dealt by a hash
 to tasks of about ROUND_TOKENS tokens, and their pieces are placed anew, the
 longest first. Rounds end with one that fits a single task, or with the third.
-Only what the last round leaves partial is cut into sequences of powers of
-two, which need no padding.
+What the last round leaves partial is strung together into full windows, as
+pieces may be cut freely. Of each task less than one window stays over; it is
+cut into sequences of powers of two, which need no padding.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ WINDOW = 4096
 MOST_PADDING = 16
 #: Tokens of open windows that a task of a further round packs, on the average.
 ROUND_TOKENS = 1 << 24
-#: Rounds after that of the splits. A round leaves about a million tokens per task.
+#: Rounds after that of the splits. A round leaves about a million tokens per task, the last one less than a window.
 MORE_ROUNDS = 2
 _COLUMNS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 _SCHEMA = pa.schema([*((c, pa.binary() if c == "ids" else pa.int64()) for c in _COLUMNS), ("closed", pa.bool_())])
@@ -86,7 +87,8 @@ def _nearly_full(pieces: list[tuple], window: int) -> bool:
 
 
 def cut_to_powers(pieces: list[tuple], window: int = WINDOW) -> list[list[tuple]]:
-    """Sequences of power-of-two length from the pieces (.., start, ids) of one window."""
+    """Sequences of power-of-two length from the pieces (.., start, ids) of one
+    window; a full or nearly full one stays whole."""
     total = sum(len(p[-1]) for p in pieces)
     if _nearly_full(pieces, window):
         return [pieces]
@@ -104,6 +106,24 @@ def cut_to_powers(pieces: list[tuple], window: int = WINDOW) -> list[list[tuple]
     return out
 
 
+def strung(windows: Iterable[list[tuple]], window: int = WINDOW) -> Iterator[list[tuple]]:
+    """Full windows from the pieces (.., start, ids) of partial ones, one
+    behind the other and cut at the borders; the last window may be partial."""
+    now, room = [], window
+    for *doc, start, ids in (p for pieces in windows for p in pieces):
+        at = 0
+        while at < len(ids):
+            part = ids[at:at + room]
+            now.append((*doc, start + at, part))
+            at += len(part)
+            room -= len(part)
+            if not room:
+                yield now
+                now, room = [], window
+    if now:
+        yield now
+
+
 def _placed(windows: Iterator[tuple[list, bool]], first: int) -> Iterator[tuple]:
     """Rows of _SCHEMA from (pieces, closed), windows numbered from ``first``."""
     for k, (pieces, closed) in enumerate(windows):
@@ -127,11 +147,14 @@ def _again(open_windows: DataFrame, tasks: int, number: int, last: bool, window:
                 full = levels.place(len(piece), (doc_id.as_py(), n.as_py(), start.as_py(), piece))
                 if full:
                     yield full, True
+            partial = []
             for pieces in levels.rest():
-                if last:
-                    yield from ((s, True) for s in cut_to_powers(pieces, window))
-                else:
+                if not last or _nearly_full(pieces, window):
                     yield pieces, _nearly_full(pieces, window)
+                else:
+                    partial.append(pieces)
+            for pieces in strung(partial, window):
+                yield from ((s, True) for s in cut_to_powers(pieces, window))
 
         return pa.Table.from_batches(arrow_out(_SCHEMA, _placed(windows(), first), weight=lambda r: len(r[3])), _SCHEMA)
 
