@@ -54,14 +54,14 @@ class Levels:
         """The level to place ``size`` tokens on; 0 is a new window. Of equal
         choices the fullest level wins."""
         n = self.count
-        levels = np.flatnonzero(n[1:self.window - size + 1]) + 1
-        rise = 2 * n[levels + size] + 1
-        rise[levels + size == self.window] = 0
-        change = 1 - 2 * n[levels] + rise
-        fresh = 2 * n[size] + 1
-        if not len(levels) or fresh < change.min():
+        levels = np.flatnonzero(n[1:self.window - size + 1] > 0) + 1
+        if not len(levels):
             return 0
-        return int(levels[len(levels) - 1 - np.argmin(change[::-1])])
+        change = 2 * (n[levels + size] - n[levels] + 1)
+        if levels[-1] + size == self.window:
+            change[-1] -= 1  # a full window is on no level
+        best = len(levels) - 1 - int(change[::-1].argmin())
+        return 0 if 2 * n[size] + 1 < change[best] else int(levels[best])
 
     def place(self, size: int, piece) -> list | None:
         """Place a piece; the pieces of its window if that is now full."""
