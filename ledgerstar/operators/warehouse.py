@@ -32,6 +32,17 @@ def wide_key(*cols: Column) -> Column:
     return F.md5(F.concat_ws(",", *parts).cast("binary"))
 
 
+#: Rows of a dimension that a join may send through the driver to all executors; larger ones are shuffled.
+BROADCAST_ROWS = 10_000
+
+
+def shuffled_if_large(dim: DataFrame) -> DataFrame:
+    """A written table for joins in which it is looked up. Left to itself, the
+    planner broadcasts by the size of compressed files: a load has a dozen
+    such joins, and each would send the driver as much as it just allows."""
+    return dim.hint("shuffle_hash") if dim.count() > BROADCAST_ROWS else dim
+
+
 def _refuse_duplicates(incoming: DataFrame, key: str, attrs: list[str]) -> DataFrame:
     """One row per key; a key twice in the batch fails the job.
 
@@ -266,13 +277,26 @@ def hot_ids(staging: DataFrame, share: float | None = None) -> DataFrame:
             .where(F.col("id").isNotNull() & (F.col("n") >= F.lit(share) * F.col("_rows"))).select("role", "id", "n"))
 
 
-def lookup(facts: DataFrame, dim: DataFrame, id_col: str, key_col: str, hot: DataFrame) -> DataFrame:
+def few_ids(staging: DataFrame) -> set[str]:
+    """The lookups whose ids are at most BROADCAST_ROWS, by an estimate that
+    decides nothing but how they are joined."""
+    found = staging.agg(*[F.approx_count_distinct(c).alias(c) for c in LOOKUP_IDS]).first()
+    return {c for c in LOOKUP_IDS if found[c] <= BROADCAST_ROWS}
+
+
+def lookup(facts: DataFrame, dim: DataFrame, id_col: str, key_col: str, hot: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """``facts`` with the key of ``id_col`` from ``dim`` (id, key), NULL if there is none.
 
-    Hot ids (at most HOT_IDS, and so many dimension rows) are broadcast. In
+    With ``among``, rows that hold all ids of the facts and few different
+    ones, the dimension rows of these ids are broadcast and no fact moves.
+    Else hot ids (at most HOT_IDS, and so many dimension rows) are broadcast. In
     the shuffle join their rows, like those without an id, stand under values
     that match nothing and are spread by a hash of the row.
     """
+    if among is not None:
+        ids = F.broadcast(among.select(F.col(id_col).alias("id")).distinct())
+        keys = dim.join(ids, "id", "left_semi").select(F.col("id").alias("_held_id"), F.col("key").alias(key_col))
+        return facts.join(F.broadcast(keys), F.col(id_col) == F.col("_held_id"), "left").drop("_held_id")
     mine = F.broadcast(hot.where(F.col("role") == id_col).select(F.col("id").alias("_hot_id")).distinct())
     held = dim.join(mine, dim["id"] == mine["_hot_id"], "left_semi").select(F.col("id").alias("_held_id"), F.col("key").alias("_hot_key"))
     common = mine.join(held, F.col("_hot_id") == F.col("_held_id"), "left").drop("_held_id")
@@ -284,23 +308,27 @@ def lookup(facts: DataFrame, dim: DataFrame, id_col: str, key_col: str, hot: Dat
 
 
 def resolve_flags(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
-                  dim_type: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+                  dim_type: DataFrame, hot: DataFrame | None = None, few: set[str] = frozenset()) -> DataFrame:
     """Staged facts with surrogate keys looked up; unresolved rows are kept
     with NULL keys so they can be counted by cause. With the ids in ``hot``
-    (see ``hot_ids``) no id is more than a shuffle partition's share.
+    (see ``hot_ids``) no id is more than a shuffle partition's share; lookups
+    in ``few`` (see ``few_ids``) do without a shuffle.
 
     Type (5 rows) is broadcast. Account and merchant dimensions grow with
     the data, so they are left to the planner (sort-merge, or broadcast when
-    AQE measures them small; skewed account keys are split by AQE).
+    AQE measures them small; skewed account keys are split by AQE). A caller
+    who has them written passes them through ``shuffled_if_large``.
     """
     cur = current_versions(dim_account).select("account_id", "account_key")
     types = F.broadcast(dim_type.select("type_code", "transaction_type_key"))
     if hot is not None:
         accounts = cur.select(F.col("account_id").alias("id"), F.col("account_key").alias("key"))
         merchants = dim_merchant.select(F.col("merchant_id").alias("id"), F.col("merchant_key").alias("key"))
-        out = lookup(staging.join(types, "type_code", "left"), accounts, "orig_account_id", "orig_account_key", hot)
-        out = lookup(out, accounts, "dest_account_id", "dest_account_key", hot)
-        return lookup(out, merchants, "dest_merchant_id", "merchant_key", hot)
+        out = staging.join(types, "type_code", "left")
+        for id_col, dim, key_col in (("orig_account_id", accounts, "orig_account_key"), ("dest_account_id", accounts, "dest_account_key"),
+                                     ("dest_merchant_id", merchants, "merchant_key")):
+            out = lookup(out, dim, id_col, key_col, hot, staging if id_col in few else None)
+        return out
     orig = cur.select(F.col("account_id").alias("orig_account_id"),
                       F.col("account_key").alias("orig_account_key"))
     dest = cur.select(F.col("account_id").alias("_dest_account_join"),
@@ -335,9 +363,9 @@ def unresolved_counts(staging: DataFrame, dim_account: DataFrame, dim_type: Data
 
 
 def resolve_fact(staging: DataFrame, dim_account: DataFrame, dim_merchant: DataFrame,
-                 dim_type: DataFrame, batch_ts: str, hot: DataFrame | None = None) -> DataFrame:
+                 dim_type: DataFrame, batch_ts: str, hot: DataFrame | None = None, few: set[str] = frozenset()) -> DataFrame:
     """Inner semantics on type and originator, outer on the destinations."""
-    flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type, hot)
+    flagged = resolve_flags(staging, dim_account, dim_merchant, dim_type, hot, few)
     ok = F.col("transaction_type_key").isNotNull() & F.col("orig_account_key").isNotNull()
     return flagged.filter(ok).select(
         transaction_key().alias("transaction_key"),

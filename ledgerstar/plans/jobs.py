@@ -197,11 +197,12 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
 
     def load_merchants() -> dict[str, str]:
         scratch = f"{r}/dim_merchant_changes/load={run}"
-        snapshots.write(W.type1_delta(stored("dim_merchant", DIM_MERCHANT), staged.dim_merchant), scratch)
-        return snapshots.upsert_buckets(spark, r, before, "dim_merchant", DIM_MERCHANT, "merchant_id", _read(spark, scratch, DIM_MERCHANT), run, n_buckets)
+        snapshots.write(W.type1_delta(W.shuffled_if_large(stored("dim_merchant", DIM_MERCHANT)), staged.dim_merchant), scratch)
+        changed = W.shuffled_if_large(_read(spark, scratch, DIM_MERCHANT))
+        return snapshots.upsert_buckets(spark, r, before, "dim_merchant", DIM_MERCHANT, "merchant_id", changed, run, n_buckets)
 
     def load_accounts() -> tuple[dict, dict[str, str], DataFrame]:
-        delta = added(CHANGES, W.scd2_delta(stored("dim_account", DIM_ACCOUNT), staged.dim_account, batch_ts), ACCOUNT_CHANGES)
+        delta = added(CHANGES, W.scd2_delta(W.shuffled_if_large(stored("dim_account", DIM_ACCOUNT)), staged.dim_account, batch_ts), ACCOUNT_CHANGES)
         changes, closed = W.change_report(delta).first().asDict(), spark.createDataFrame([], DIM_ACCOUNT)
         if not any(changes.values()):
             return changes, {}, closed
@@ -209,18 +210,19 @@ def run_load(spark: SparkSession, staged: Staged, root: str, batch_ts: str, buck
         if changes["closed_and_reopened"]:
             closed = added(HISTORY, delta.where("closed is not null").select("closed.*"), DIM_ACCOUNT)
             parts[HISTORY][run] = folder[HISTORY]
-        return changes, snapshots.upsert_buckets(spark, r, before, "dim_account", DIM_ACCOUNT, "account_id", delta.select("opened.*"), run, n_buckets), closed
+        return changes, snapshots.upsert_buckets(spark, r, before, "dim_account", DIM_ACCOUNT, "account_id", W.shuffled_if_large(delta.select("opened.*")), run, n_buckets), closed
 
     _, date_inserted, merchants, (changes, accounts, closed) = _together(load_types, load_dates, load_merchants, load_accounts)
     sinks.remove(spark, f"{r}/dim_merchant_changes/load={run}")
     parts["dim_merchant"] |= merchants
     parts["dim_account"] |= accounts
-    types, current, all_merchants = (part(n, s) for n, s in (("dim_transaction_type", DIM_TRANSACTION_TYPE), ("dim_account", DIM_ACCOUNT), ("dim_merchant", DIM_MERCHANT)))
+    types = part("dim_transaction_type", DIM_TRANSACTION_TYPE)
+    current, all_merchants = (W.shuffled_if_large(part(n, s)) for n, s in (("dim_account", DIM_ACCOUNT), ("dim_merchant", DIM_MERCHANT)))
 
     def load_facts() -> DataFrame:
         hot = W.hot_ids(staged.fact) if staged.hot is None else staged.hot
         hot = spark.createDataFrame(hot.collect(), W.HOT_SCHEMA)  # at most 3 x HOT_IDS
-        facts = W.resolve_fact(staged.fact, current, all_merchants, types, batch_ts, hot)
+        facts = W.resolve_fact(staged.fact, current, all_merchants, types, batch_ts, hot, W.few_ids(staged.fact))
         snapshots.write_parts(facts, f"{r}/{folder['fact_transactions']}", "partition_date", "orig_account_key", ["dest_account_key"])
         return _read(spark, f"{r}/{folder['fact_transactions']}", FACT_TRANSACTIONS)
 
