@@ -107,8 +107,12 @@ def _loaded(spark: SparkSession, sf_dir: str, name: str, staged: Callable[[], li
     key = (name, spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _RUNS:
         root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        _RUNS[key] = ScenarioRun(root, [jobs.run_load(spark, written_staging(b, f"{root}-staging/{n}"), root, ts)
-                                        for n, (b, ts) in enumerate(zip(staged(), times, strict=True))])
+        reports, before, files = [], None, None
+        for n, (batch, ts) in enumerate(zip(staged(), times, strict=True)):
+            if batch is not before:  # one that is loaded again is read from the same files
+                before, files = batch, written_staging(batch, f"{root}-staging/{n}")
+            reports.append(jobs.run_load(spark, files, root, ts))
+        _RUNS[key] = ScenarioRun(root, reports)
     return _RUNS[key]
 
 

@@ -25,6 +25,14 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_batch_loaded_again_is_staged_once(spark, monkeypatch):
+    staged, loaded = [], []
+    monkeypatch.setattr(scenario, "written_staging", lambda b, path: staged.append(path) or (b, path))
+    monkeypatch.setattr(jobs, "run_load", lambda s, files, root, ts: loaded.append((files[0], ts)) or {})
+    scenario._loaded(spark, "no-folder-a-batch-loaded-again", "twice", lambda: ["b1", "b2", "b2", "b3"], ["t1", "t2", "t3", "t4"])
+    assert [b for b, _ in loaded] == ["b1", "b2", "b2", "b3"] and len(staged) == 3
+
+
 def test_large_dimensions_are_shuffled(spark):
     dim, facts = spark.range(50).withColumnRenamed("id", "k"), spark.range(90).withColumnRenamed("id", "k")
     assert "BroadcastHashJoin" in _plan(facts.join(W.shuffled_if_large(dim), "k", "left"))
