@@ -25,6 +25,21 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_raw_rows_are_read_once_and_rules_see_finished_columns(spark, tmp_dir):
+    _events(spark).write.parquet(f"{tmp_dir}/events.parquet")
+    plan = _plan(clean(raw_transactions(spark, tmp_dir)))
+    assert plan.split("+- == Initial Plan")[0].count("Scan parquet") == 1
+    below = plan[plan.index("Generate"):]
+    assert "get_json_object" in below and "regexp_replace(upper" not in below
+
+
+def test_defects_repeat_every_fiftieth_row(spark):
+    mapped = events_as_transactions(_events(spark), keep_event_id=True)
+    got = {r[0]: r[1] for r in with_defects(mapped).groupBy("event_id").count().collect()}
+    assert got == {None: 1} | {i: 2 if i % 50 == 0 else 1 for i in range(1, 400)}
+    assert with_defects(mapped).columns == mapped.columns
+
+
 def test_a_batch_loaded_again_is_staged_once(spark, monkeypatch):
     staged, loaded = [], []
     monkeypatch.setattr(scenario, "written_staging", lambda b, path: staged.append(path) or (b, path))
