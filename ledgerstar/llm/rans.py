@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_out, arrow_rows, release_shuffles, scratch_path, written
-from .tokens import encoded_rows
+from .tokens import encoded_batches
 
 SCALE = 16
 LANES = 2048
@@ -172,7 +172,7 @@ def tokenize_in_order(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
 
         def rows():
             at, size, held, counts = 0, 0, [], np.zeros(0, np.int64)
-            for doc_id, raw in encoded_rows(tokenizer, arrow_rows(batches)):
+            for doc_id, raw in encoded_batches(tokenizer, batches):
                 ids = np.frombuffer(raw + end_id.to_bytes(4, "little"), "<u4")
                 n = len(ids)
                 yield shard, at, doc_id, n, (ids.astype("<u2") if ids.max() < 1 << 16 else ids).tobytes()
