@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_out, arrow_rows, written
-from .tokens import encoded_rows
+from .common import arrow_out, written
+from .tokens import encoded_batches
 
 WINDOW = 4096
 #: A partial window that lacks at most so many tokens is padded, not cut.
@@ -184,7 +184,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, id_
         levels = Levels(window)
 
         def windows():
-            for doc_id, raw in encoded_rows(tokenizer, arrow_rows(batches)):
+            for doc_id, raw in encoded_batches(tokenizer, batches):
                 ids = np.frombuffer(raw + end_id.to_bytes(4, "little"), "<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start:start + window]
